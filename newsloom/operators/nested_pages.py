@@ -1,0 +1,129 @@
+"""Article fields of pages with nested or unclosed elements.
+
+The patterns of `extraction` end an element at the first end tag of its kind.
+Here the standard library's tokenizer keeps the list of open elements, so that
+an element ends where its own end tag is, or its parent's if it has none. Only
+the page text goes to Python, in Arrow batches, and only the fields come back.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from newsloom.operators.extraction import FIELDS
+from newsloom.schemas import NOT_FOUND
+
+
+def _field_reader(selectors: Mapping[str, Mapping[str, str]]):
+    """A function from page text and source to the texts of the fields.
+
+    Everything it needs is inside, so that workers need no import of this module.
+    """
+    from html.parser import HTMLParser
+
+    fields, missing = list(FIELDS), NOT_FOUND
+    steps = {
+        source: {f: [tuple(step.partition(".")[::2]) for step in by_field[f].split()] for f in fields}
+        for source, by_field in selectors.items()
+    }
+    # Elements that never have an end tag, and those whose text is not page text.
+    void = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+            "source", "track", "wbr"}
+    hidden = {"script", "style", "template"}
+
+    class Fields(HTMLParser):
+        def __init__(self, wanted):
+            super().__init__(convert_charrefs=True)
+            self.wanted = wanted
+            self.open = []  # (tag, classes, texts that the element's text goes to)
+            self.found = {f: [] for f in wanted}
+            self.pending = []
+
+        def fits(self, step, tag, classes):
+            return step[0] in ("", tag) and (not step[1] or step[1] in classes)
+
+        def is_match(self, path, tag, classes):
+            if not self.fits(path[-1], tag, classes):
+                return False
+            left = len(path) - 1
+            for outer_tag, outer_classes, _ in reversed(self.open):
+                if left and self.fits(path[left - 1], outer_tag, outer_classes):
+                    left -= 1
+            return left == 0
+
+        def flush(self):
+            piece = "".join(self.pending).strip()
+            self.pending = []
+            if piece and not (self.open and self.open[-1][0] in hidden):
+                for _, _, texts in self.open:
+                    for text in texts:
+                        text.append(piece)
+
+        def handle_starttag(self, tag, attrs):
+            self.flush()
+            classes = (dict(attrs).get("class") or "").split()
+            texts = []
+            for field, path in self.wanted.items():
+                if self.is_match(path, tag, classes):
+                    text = []
+                    self.found[field].append(text)
+                    texts.append(text)
+            if tag not in void:
+                self.open.append((tag, classes, texts))
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+            self.handle_endtag(tag)
+
+        def handle_endtag(self, tag):
+            self.flush()
+            if tag in void or all(tag != outer for outer, _, _ in self.open):
+                return
+            while self.open.pop()[0] != tag:
+                pass
+
+        def handle_data(self, data):
+            self.pending.append(data)
+
+        def handle_comment(self, data):
+            self.flush()
+
+        def handle_decl(self, decl):
+            self.flush()
+
+    def read(html: pd.Series, source: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page, name in zip(html, source):
+            parser = Fields(steps[name])
+            parser.feed(page)
+            parser.close()
+            parser.flush()
+            row = {}
+            for field, texts in parser.found.items():
+                joined = ["".join(pieces) for pieces in texts]
+                row[field] = (", " if field == "tags" else "\n").join(joined) if joined else missing
+            rows.append(row)
+        return pd.DataFrame(rows, columns=fields)
+
+    return read
+
+
+def article_records(pages: DataFrame, selectors: Mapping[str, Mapping[str, str]], run_id: str,
+                    crawled_at: Column | None = None) -> DataFrame:
+    """As `extraction.article_records`, for any page."""
+    result = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
+    read = F.pandas_udf(_field_reader(selectors), result)
+    known = pages.filter(F.col("html").isNotNull() & F.col("source_name").isin(*selectors))
+    return known.withColumn("_fields", read("html", "source_name")).select(
+        "article_url",
+        F.col("source_name").alias("source_name_raw"),
+        F.col("category_name").alias("category_raw"),
+        *[F.col(f"_fields.{f}").alias(f"{f}_raw") for f in FIELDS],
+        (crawled_at if crawled_at is not None else F.current_timestamp()).alias("scraped_at"),
+        F.lit(run_id).alias("run_id"),
+    )
