@@ -5,7 +5,7 @@ from __future__ import annotations
 import html as html_std
 import json
 import re
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,10 +60,17 @@ def _constant_map(table: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
-def _entity_table() -> Column:
-    """Named entities of HTML 4 and `&apos;`, from the standard library's table."""
-    names = {**name2codepoint, "apos": ord("'")}
-    return _constant_map({name: chr(point) for name, point in names.items()})
+def _entity_text(name: Column) -> Column:
+    """Text of a named entity by the standard library's table, NULL for other names.
+
+    A map is searched from its start, so the frequent names have a map of their own.
+    """
+    table = {n.rstrip(";"): text for n, text in html5.items()}
+    frequent = ["amp", "lt", "gt", "quot", "nbsp", "apos", *name2codepoint]
+    return F.coalesce(
+        F.try_element_at(_constant_map({n: table[n] for n in frequent}), name),
+        F.try_element_at(_constant_map(table), name),
+    )
 
 
 def _code_point_text(point: Column) -> Column:
@@ -80,8 +87,6 @@ def _code_point_text(point: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Named and numeric character references to characters, each once; unknown names stay."""
-    table = _entity_table()
-
     def decode_one(ref: Column) -> Column:
         body = F.regexp_replace(ref, "^&|;$", "")
         number = F.regexp_replace(body, "^#[xX]?", "")
@@ -89,7 +94,7 @@ def decode_entities(c: Column) -> Column:
             F.lower(F.substring(body, 1, 2)) == "#x", F.conv(number, 16, 10).cast("bigint")
         ).otherwise(number.try_cast("bigint"))
         return F.when(F.startswith(body, F.lit("#")), _code_point_text(point)).otherwise(
-            F.coalesce(F.try_element_at(table, body), ref)
+            F.coalesce(_entity_text(body), ref)
         )
 
     pieces = F.split(c, ENTITY, -1)

@@ -27,7 +27,8 @@ def measured_bytes(df: DataFrame) -> int:
 def hot_values(df: DataFrame, key: str, share: float) -> list:
     """Keys that hold at least `share` of all rows; a bounded sketch, so only a hint for routing."""
     top, rows = df.agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS})"), F.count("*")).first()
-    return [t["item"] for t in top or [] if t["count"] >= rows * share]
+    # NULL is counted too; it never matches and must not get into a NOT IN.
+    return [t["item"] for t in top or [] if t["item"] is not None and t["count"] >= rows * share]
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",

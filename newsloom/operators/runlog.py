@@ -75,6 +75,21 @@ class RunLog:
     def end(self, run_id: str, status: str, extracted: int, loaded: int, error: str | None = None) -> None:
         self._append(run_id=run_id, event=END, status=status, extracted=extracted, loaded=loaded, error=error)
 
+    def append_jobs(self, summary: DataFrame, run_id: str) -> None:
+        """START and END rows of crawl jobs that ran together, under ids that extend `run_id`."""
+        job = F.concat_ws("/", F.lit(run_id), "source_name", "category_name")
+        events = summary.withColumn("event", F.explode(F.array(F.lit(START), F.lit(END))))
+        ended = F.col("event") == END
+        append_rows(events.select(
+            job.alias("run_id"), "event",
+            F.concat(F.lit("crawl: "), "source_name").alias("job_name"),
+            F.when(ended, F.col("status")).alias("status"),
+            F.when(ended, F.col("extracted")).alias("extracted"),
+            F.when(ended, F.col("loaded")).alias("loaded"),
+            F.when(ended, F.col("note")).alias("error"),
+            F.current_timestamp().alias("logged_at"),
+        ), self.table)
+
     def run(self, job_name: str, step: Callable[[str], tuple[int, int]],
             config_id: int | None = None) -> tuple[str | None, str]:
         """Run `step(run_id) -> (extracted, loaded)` between its two events.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _strings(*names: str) -> T.StructType:
+def text_columns(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
@@ -50,10 +50,10 @@ NULL_TOKENS = [
 ]
 # End of fixed values.
 
-STAGING = _strings(*STAGING_COLUMNS)
-DELTA = _strings(*DELTA_COLUMNS)
+STAGING = text_columns(*STAGING_COLUMNS)
+DELTA = text_columns(*DELTA_COLUMNS)
 
-CLEAN = T.StructType([T.StructField("id", T.LongType())] + _strings(*CLEAN_COLUMNS).fields)
+CLEAN = T.StructType([T.StructField("id", T.LongType())] + text_columns(*CLEAN_COLUMNS).fields)
 
 TRANSFORMED = T.StructType([
     T.StructField(f.name, T.TimestampType() if f.name in ("published_at", "scraped_at") else f.dataType)
@@ -94,6 +94,8 @@ BRIDGE = T.StructType([
     T.StructField("tag_key", T.LongType()),
 ])
 
+BRIDGE_BY_MONTH = T.StructType(BRIDGE.fields + [T.StructField("load_month", T.IntegerType())])
+
 MART_AGGREGATE = T.StructType([
     T.StructField(c, T.IntegerType() if c in ("article_year", "article_month") else T.LongType())
     for c in AGGREGATE_COLUMNS

@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 from newsloom.functions.nulls import blank_for_null, tokens_to_null
 from newsloom.schemas import AGGREGATE_COLUMNS, ARTICLE_CSV, DATE_POSITIONS, DELTA, DELTA_COLUMNS
 
+# The line end is taken from the first one in the file, so after the header; files without a header
+# that may hold line breaks in their cells are told theirs.
 _READ = {"multiLine": True, "escape": '"', "encoding": "UTF-8", "enforceSchema": False}
 _WRITE = {
     "escape": '"', "emptyValue": "", "nullValue": "", "encoding": "UTF-8",
-    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "lineSep": "\n", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 
 
@@ -60,7 +62,7 @@ def write_delta(df: DataFrame, path: str) -> None:
 
 def read_delta(spark: SparkSession, path: str) -> DataFrame:
     """Headerless rows under the given names, with the NULL tokens read as NULL."""
-    return tokens_to_null(spark.read.schema(DELTA).options(header=False, **_READ).csv(path))
+    return tokens_to_null(spark.read.schema(DELTA).options(header=False, lineSep="\n", **_READ).csv(path))
 
 
 # --- date dimension ---------------------------------------------------------------------------

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Scheme and host of a location.
+_SCHEME = "^[a-z0-9]+:(//[^/]*(?=/))?"
+
 
 def newest_file(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """The entry of `folder` that was modified last: `path`, `modified`.
@@ -19,9 +24,9 @@ def newest_file(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         .select("path", "modificationTime")
     )
     data_file = ~F.substring_index("path", "/", -1).rlike(r"^[_.]")
-    inside = F.length(F.lit(folder.rstrip("/").split(":")[-1])) + 2
-    local = F.regexp_replace("path", "^[a-z0-9]+:(//[^/]*(?=/))?", "")
-    entry = F.substring_index(F.substr(local, inside), "/", 1)
+    local_folder = re.sub(_SCHEME, "", folder.rstrip("/"))
+    local = F.regexp_replace("path", _SCHEME, "")
+    entry = F.substring_index(F.substr(local, F.lit(len(local_folder) + 2)), "/", 1)
     per_entry = files.filter(data_file).groupBy(entry.alias("entry")).agg(
         F.max("modificationTime").alias("modified"))
     return per_entry.agg(F.max_by("entry", F.struct("modified", "entry")).alias("entry"),

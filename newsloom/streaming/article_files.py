@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from newsloom.operators.staging import stage_rows
-from newsloom.schemas import ARTICLE_CSV, _strings
+from newsloom.schemas import ARTICLE_CSV, text_columns
 
 
 def stage_new_files(spark: SparkSession, folder: str, pattern: str, table: str, progress: str,
@@ -15,7 +15,7 @@ def stage_new_files(spark: SparkSession, folder: str, pattern: str, table: str,
     `progress` is the stream's checkpoint folder, on storage that all executors share.
     """
     raw = (
-        spark.readStream.schema(_strings(*ARTICLE_CSV))
+        spark.readStream.schema(text_columns(*ARTICLE_CSV))
         .options(header=True, multiLine=True, escape='"', encoding="UTF-8")
         .csv(f"{folder.rstrip('/')}/{pattern}")
     )
