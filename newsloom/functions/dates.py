@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -24,9 +25,23 @@ PUBLISHED_FORMATS = [
 ]
 
 
+def _shape(fmt: str) -> str:
+    """Pattern of the texts that a format of digits and marks can read; quoted letters stand for themselves."""
+    parts = re.split("'([^']*)'", fmt)
+    shaped = [re.escape(p) if i % 2 else re.sub("[yMdHmsS]", "[0-9]", re.escape(p)) for i, p in enumerate(parts)]
+    return f"^{''.join(shaped)}$"
+
+
 def parse_time(c: Column, formats: Sequence[str] = PUBLISHED_FORMATS) -> Column:
-    """The first format that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    """Read by the format whose shape the text has; NULL when none fits.
+
+    `c` is used once per format, so it should be a column and not a long expression.
+    """
+    parsed = F.lit(None).cast("timestamp")
+    for fmt in reversed(formats):
+        # Parsing a text of another shape would cost an exception each.
+        parsed = F.when(c.rlike(_shape(fmt)), F.try_to_timestamp(c, F.lit(fmt))).otherwise(parsed)
+    return parsed
 
 
 def time_text(c: Column) -> Column:

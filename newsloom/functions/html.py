@@ -26,35 +26,35 @@ DROPPED_VOID_ELEMENTS = ["source", "meta", "link"]
 # Elements whose body is raw text up to the end tag, or to the end of the page if that is missing.
 RAW_TEXT_ELEMENTS = ["script", "style"]
 
-# A tag whose quoted attributes may hold `>`; then, for broken quoting, anything up to the next `>`.
-TAG = r"""</?[A-Za-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
-LOOSE_TAG = r"</?[A-Za-z][^>]*>"
+_COMMENT = r"!--.*?(?:-->|\z)"
+_DECLARATION = r"[!?][^>]*>"
+# A tag whose quoted attributes may hold `>`; or, for broken quoting, anything up to the next `>`.
+_TAG = r"""/?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|/?[a-z][^>]*>"""
 
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?"
 
+def _element(names: list[str], group: int, or_end: bool) -> str:
+    end = rf"(?:</\{group}\s*>|\z)" if or_end else rf"</\{group}\s*>"
+    return rf"({'|'.join(names)})\b[^>]*>.*?{end}"
 
-def drop_player_texts(c: Column) -> Column:
-    for pattern in PLAYER_TEXTS:
-        c = F.regexp_replace(c, f"(?is){pattern}", " ")
-    return c
 
+# Whatever is not text, tried at each `<` in the order that a tokenizer would: what lies
+# inside a script is not a comment or a tag.
+RAW_TEXT = f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}|{_TAG})"
+MARKUP = (
+    f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}"
+    f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS], 2, False)}|{_TAG})"
+)
 
-def drop_comments(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?s)<!--.*?(?:-->|\z)", " ")
-    return F.regexp_replace(c, r"<[!?][^>]*>", " ")
+# What may follow an ampersand, at the start of a piece.
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)"
 
 
-def drop_elements(c: Column, elements: list[str] = DROPPED_ELEMENTS) -> Column:
-    for name in elements:
-        end = rf"(?:</{name}\s*>|\z)" if name in RAW_TEXT_ELEMENTS else rf"</{name}\s*>"
-        c = F.regexp_replace(c, rf"(?is)<{name}\b[^>]*>.*?{end}", " ")
+def drop_player_texts(c: Column) -> Column:
+    for pattern in PLAYER_TEXTS:
+        c = F.regexp_replace(c, f"(?is){pattern}", " ")
     return c
 
 
-def drop_tags(c: Column, put: str = " ") -> Column:
-    return F.regexp_replace(F.regexp_replace(c, TAG, put), LOOSE_TAG, put)
-
-
 def _constant_map(table: dict[str, str]) -> Column:
     """A map that the optimizer folds into one literal."""
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
@@ -87,29 +87,34 @@ def _code_point_text(point: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Named and numeric character references to characters, each once; unknown names stay."""
-    def decode_one(ref: Column) -> Column:
-        body = F.regexp_replace(ref, "^&|;$", "")
+    def decode_start(piece: Column) -> Column:
+        """A piece after an ampersand: its reference as text, then the rest."""
+        body = F.regexp_extract(piece, REFERENCE, 1)
         number = F.regexp_replace(body, "^#[xX]?", "")
         point = F.when(
             F.lower(F.substring(body, 1, 2)) == "#x", F.conv(number, 16, 10).cast("bigint")
         ).otherwise(number.try_cast("bigint"))
-        return F.when(F.startswith(body, F.lit("#")), _code_point_text(point)).otherwise(
-            F.coalesce(_entity_text(body), ref)
-        )
-
-    pieces = F.split(c, ENTITY, -1)
-    refs = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), decode_one)
-    joined = F.array_join(
-        F.transform(F.arrays_zip(pieces.alias("piece"), refs.alias("ref")),
-                    lambda x: F.concat(x["piece"], F.coalesce(x["ref"], F.lit("")))),
-        "",
+        char = F.when(F.startswith(body, F.lit("#")), _code_point_text(point)).otherwise(_entity_text(body))
+        rest = F.substr(piece, F.length(body) + 1)
+        rest = F.when(F.startswith(rest, F.lit(";")), F.substr(rest, F.lit(2))).otherwise(rest)
+        return F.when(body == "", F.lit(None)).otherwise(F.concat(char, rest))
+
+    pieces = F.transform(
+        F.split(c, "&", -1),
+        lambda piece, i: F.when(i == 0, piece).otherwise(
+            F.coalesce(decode_start(piece), F.concat(F.lit("&"), piece))),
     )
-    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+    return F.array_join(pieces, "")
+
+
+def drop_markup(c: Column, put: str = " ") -> Column:
+    """Unwanted elements with all they hold, comments and tags go."""
+    return F.regexp_replace(c, MARKUP, put)
 
 
 def html_to_text(c: Column) -> Column:
-    """Visible text: unwanted elements, comments and tags become spaces, entities are decoded."""
-    return decode_entities(drop_tags(drop_elements(drop_comments(c))))
+    """Visible text, with entities decoded."""
+    return decode_entities(drop_markup(c))
 
 
 def clean_content(c: Column, fix_quotes: bool = False) -> Column:
@@ -160,10 +165,9 @@ def inner_matches(html: Column, patterns: Column) -> Column:
 
 def element_text(inner: Column, trim_pieces: bool = True) -> Column:
     """Text of one element: its text pieces, trimmed or as they are, put together without a separator."""
-    bare = drop_elements(drop_comments(inner), RAW_TEXT_ELEMENTS)
     if not trim_pieces:
-        return decode_entities(drop_tags(bare, ""))
-    pieces = F.split(drop_tags(bare, "\u0000"), "\u0000", -1)
+        return decode_entities(F.regexp_replace(inner, RAW_TEXT, ""))
+    pieces = F.split(F.regexp_replace(inner, RAW_TEXT, "\u0000"), "\u0000", -1)
     return F.array_join(F.transform(pieces, lambda p: trim_spaces(decode_entities(p))), "")
 
 

@@ -10,7 +10,7 @@ from newsloom.functions.html import clean_content
 from newsloom.functions.nulls import column_or_blank
 from newsloom.functions.text import trim_spaces
 from newsloom.operators.ordering import number_rows
-from newsloom.schemas import CLEAN_COLUMNS, RAW_TO_STAGING, STAGING_COLUMNS
+from newsloom.schemas import CLEAN_COLUMNS, DELTA_COLUMNS, RAW_TO_STAGING, STAGING_COLUMNS
 
 
 def stage_rows(raw: DataFrame, run_id: str) -> DataFrame:
@@ -23,9 +23,7 @@ def stage_rows(raw: DataFrame, run_id: str) -> DataFrame:
 def clean_rows(staged: DataFrame, fix_quotes: bool = False) -> DataFrame:
     """Only the content is rewritten; the run id is left out."""
     content = clean_content(F.col("content"), fix_quotes)
-    return staged.select(*[
-        (F.coalesce(content, F.lit("")) if c == "content" else F.col(c)).alias(c) for c in CLEAN_COLUMNS
-    ])
+    return staged.select(*[(content if c == "content" else F.col(c)).alias(c) for c in CLEAN_COLUMNS])
 
 
 def clean_rows_with_ids(staged: DataFrame) -> DataFrame:
@@ -36,30 +34,24 @@ def clean_rows_with_ids(staged: DataFrame) -> DataFrame:
     """
     arrival = staged.withColumn("_arrival", F.monotonically_increasing_id())
     numbered = number_rows(arrival, ["article_url", "scraped_at", "_arrival"], "id")
-    cleaned = clean_content(F.col("content"))
     return numbered.select("id", *[
-        (F.coalesce(cleaned, F.lit("")) if c == "content" else F.col(c)).alias(c) for c in CLEAN_COLUMNS
+        (clean_content(F.col("content")) if c == "content" else F.col(c)).alias(c) for c in CLEAN_COLUMNS
     ])
 
 
 def transform_rows(clean: DataFrame, run_id: str) -> DataFrame:
     """Typed rows for the delta: names trimmed, times parsed, stamped with the run id."""
-    def text(c: str):
-        return trim_spaces(F.col(c))
-
-    return clean.select(
-        text("article_url").alias("article_url"),
-        text("source_name").alias("source_name"),
-        text("category").alias("category_name"),
-        text("author").alias("author_name"),
-        parse_time(text("published_at")).alias("published_at"),
-        text("title").alias("title"),
-        text("summary").alias("description"),
-        "content",
-        parse_time(text("scraped_at")).alias("scraped_at"),
-        F.lit(run_id).alias("run_id"),
-        text("tags").alias("tags"),
-    )
+    trimmed = {
+        "article_url": "article_url", "source_name": "source_name", "category": "category_name",
+        "author": "author_name", "published_at": "published_at", "title": "title",
+        "summary": "description", "scraped_at": "scraped_at", "tags": "tags",
+    }
+    texts = clean.select("content", *[trim_spaces(F.col(old)).alias(new) for old, new in trimmed.items()])
+    return texts.withColumns({
+        "published_at": parse_time(F.col("published_at")),
+        "scraped_at": parse_time(F.col("scraped_at")),
+        "run_id": F.lit(run_id),
+    }).select(*DELTA_COLUMNS)
 
 
 def rows_per_run(rows: DataFrame) -> DataFrame:

@@ -28,13 +28,18 @@ def _tidy(expr: str) -> str:
 
 
 def _tokens(expr: str) -> str:
+    # Points and commas between digits are put out of the way as letters of the private area.
+    for mark, letter in ((r"\.", "\ue000"), (",", "\ue001")):
+        for _ in range(2):
+            expr = _sub(expr, f"([0-9]){mark}([0-9])", rf"\1{letter}\2")
     token = "|".join([
         rf"[A-Za-z][A-Za-z0-9+.\-]*://[^{_WS}]+",
-        r"[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
-        r"[0-9]+(?:[.,][0-9]+)+", r"\.\.\.", r"[\p{L}\p{M}\p{N}_]+",
+        "[A-Za-z0-9_][A-Za-z0-9_.+\\-\ue000]*@[A-Za-z0-9\\-]+(?:[.\ue000][A-Za-z0-9\\-]+)+",
+        r"\.\.\.", "[\\p{L}\\p{M}\\p{N}_\ue000\ue001]+",
         rf"[^\p{{L}}\p{{M}}\p{{N}}_{_WS}]",
     ])
-    return _spaces(f"replace(array_to_string(regexp_extract_all({expr}, '{token}'), ' '), '_', ' ')")
+    joined = f"translate(array_to_string(regexp_extract_all({expr}, '{token}'), ' '), '_\ue000\ue001', ' .,')"
+    return _spaces(joined)
 
 
 def _case(expr: str) -> str:

@@ -22,7 +22,7 @@ from newsloom.operators.lookup import lookup
 from newsloom.schemas import (
     ARTICLE_CSV, CLEAN_COLUMNS, DELTA_COLUMNS, MART_AGGREGATE, dimension,
 )
-from newsloom.session import scratch_path, tune
+from newsloom.session import scratch_path, spread, tune
 from newsloom.sources import csv_files, newest, tables
 from newsloom.streaming import article_files
 
@@ -35,6 +35,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with long texts, ready for work on each of them."""
+    return spread(_table(spark, sf_dir, name))
+
+
 def _fresh_database(spark: SparkSession, label: str) -> str:
     """A database of its own in the shared folder."""
     path = scratch_path(spark, label)
@@ -90,7 +95,7 @@ def _raised() -> Column:
 
 def _document_articles(spark: SparkSession, d: str) -> DataFrame:
     """Documents as raw article rows, without author and tags and with some missing texts."""
-    return _table(spark, d, "documents").select(
+    return _texts(spark, d, "documents").select(
         F.concat(F.lit("doc/"), F.lpad("doc_id", 12, "0")).alias("article_url"),
         F.col("source").alias("source_name_raw"),
         F.when(F.col("lang") != "es", F.col("lang")).alias("category_raw"),
@@ -156,12 +161,12 @@ def article_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_html(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "pages").select("page_id", html.clean_content(F.col("html")).alias("content"))
+    return _texts(spark, d, "pages").select("page_id", html.clean_content(F.col("html")).alias("content"))
 
 
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     """The markup steps alone."""
-    return _table(spark, d, "pages").select(
+    return _texts(spark, d, "pages").select(
         "page_id", text.normalize_spaces(html.html_to_text(F.col("html"))).alias("content"))
 
 
@@ -169,34 +174,35 @@ def player_texts(spark: SparkSession, d: str) -> DataFrame:
     """Conversations with a player's boilerplate around each text."""
     wrapped = F.concat(F.lit("VIDEO player is loading.\n"), "role", F.lit(" end of Dialog window "), "text",
                        F.lit(" This is a modal window.\nClose End of dialog window"))
-    return _table(spark, d, "conversations").select(
+    return _texts(spark, d, "conversations").select(
         "conv_id", "turn", html.drop_player_texts(wrapped).alias("content"))
 
 
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "documents").select("doc_id", text.tidy_sentence(F.col("text")).alias("content"))
+    return _texts(spark, d, "documents").select("doc_id", text.tidy_sentence(F.col("text")).alias("content"))
 
 
 def token_spacing(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "documents").select("doc_id", text.space_tokens(F.col("text")).alias("content"))
+    return _texts(spark, d, "documents").select("doc_id", text.space_tokens(F.col("text")).alias("content"))
 
 
 def split_case_boundary(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "documents").select(
+    return _texts(spark, d, "documents").select(
         "doc_id", text.split_case_boundary(F.col("text")).alias("content"))
 
 
 def fix_quotes(spark: SparkSession, d: str) -> DataFrame:
     quoted = F.concat(F.lit("“"), "text", F.lit("” ‘"), "role", F.lit("’"))
-    return _table(spark, d, "conversations").select(
+    return _texts(spark, d, "conversations").select(
         "conv_id", "turn", text.straighten_quotes(quoted).alias("content"))
 
 
 def parse_published_at(spark: SparkSession, d: str) -> DataFrame:
-    parsed = dates.parse_time(_date_text())
-    return _table(spark, d, "orders").select(
-        "o_orderkey", dates.time_text(parsed).alias("published_at"),
-        F.year(parsed).alias("article_year"), F.month(parsed).alias("article_month"))
+    parsed = _table(spark, d, "orders").select("o_orderkey", _date_text().alias("published_at")).withColumn(
+        "published_at", dates.parse_time(F.col("published_at")))
+    return parsed.select(
+        "o_orderkey", dates.time_text(F.col("published_at")).alias("published_at"),
+        F.year("published_at").alias("article_year"), F.month("published_at").alias("article_month"))
 
 
 def _date_text() -> Column:
@@ -216,7 +222,7 @@ SITE_SELECTORS = {
 
 
 def _site_pages(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "pages").select(
+    return _texts(spark, d, "pages").select(
         "page_id", "url", "html",
         urls.site_root(F.col("url")).alias("base_url"),
         F.regexp_extract("url", r"^[a-z]+://[^/]*\.([a-z]+)/", 1).alias("source_name"))
@@ -254,7 +260,7 @@ def extract_fields_nested(spark: SparkSession, d: str) -> DataFrame:
 def home_page_items(spark: SparkSession, d: str) -> DataFrame:
     """The first three menu items of each page; an item without link would be left out."""
     return extraction.home_items(
-        _table(spark, d, "pages"), F.lit("2024-01-01 06:00:00"), limit=3, item="li", title="a", summary="b a",
+        _texts(spark, d, "pages"), F.lit("2024-01-01 06:00:00"), limit=3, item="li", title="a", summary="b a",
     ).drop("url")
 
 
@@ -262,7 +268,7 @@ def first_links_per_page(spark: SparkSession, d: str) -> DataFrame:
     """The first five links of each page, and then those of them that do not end in a comma."""
     links = html.inner_matches(F.col("html"), F.array(*[F.lit(p) for p in html.selector_patterns("a", "href")]))
     return (
-        _table(spark, d, "pages")
+        _texts(spark, d, "pages")
         .select("page_id", F.posexplode(F.slice(links, 1, 5)).alias("pos", "href"))
         .filter(~F.endswith("href", F.lit(",")))
     )

@@ -67,3 +67,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table just read, if its files are too few for all cores, before costly work per row.
+
+    A table of many files is left as it is. Not for results of joins or
+    aggregations: finding their number of partitions would run them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -52,10 +52,11 @@ def test_case_boundary(column_of):
 def test_token_spacing(column_of):
     got = column_of(text.space_tokens, [
         "Xin chào, bạn!", "1.000,5 đồng", "xem http://a.vn/b,c nhé.", "a_b", "wait...what?", "ab(c)d",
-        "me@mail.example.com.", "", " "])
+        "me@mail.example.com.", "", " ", "1.2.3,4", "a1.5", ".5 5. 5.a", "é+x@b.c", "ftp://x y@", "1.5http://x.y"])
     assert got == [
         "Xin chào , bạn !", "1.000,5 đồng", "xem http://a.vn/b,c nhé .", "a b", "wait ... what ?", "ab ( c ) d",
-        "me@mail.example.com .", "", ""]
+        "me@mail.example.com .", "", "", "1.2.3,4", "a1.5", ". 5 5 . 5 . a", "é + x@b.c", "ftp://x y @",
+        "1.5http : / / x . y"]
 
 
 def test_quotes(column_of):
