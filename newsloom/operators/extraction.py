@@ -86,12 +86,18 @@ def article_links(listings: DataFrame, catalogue: DataFrame) -> DataFrame:
     return page_links(known, F.col("at_article_link"), F.col("base_url")).drop("at_article_link")
 
 
-def field_columns(html: Column, patterns: Mapping[str, Column]) -> dict[str, Column]:
-    """A text per field: several matches on lines of their own, tags by comma, `N/A` for none."""
-    return {
-        f: joined_or_default(element_texts(html, at), ", " if f == "tags" else "\n")
-        for f, at in patterns.items()
-    }
+def page_fields(pages: DataFrame) -> DataFrame:
+    """Replace `html` and the patterns in `at_<field>` by a text per field.
+
+    Several matches stand on lines of their own, tags with commas between; `N/A` is for none.
+    One expression goes over all fields, so the plan stays small.
+    """
+    all_texts = F.transform(F.array(*[f"at_{f}" for f in FIELDS]), lambda at: element_texts(F.col("html"), at))
+    kept = [c for c in pages.columns if c != "html" and c not in {f"at_{f}" for f in FIELDS}]
+    return pages.select(*kept, all_texts.alias("_texts")).select(*kept, *[
+        joined_or_default(F.col("_texts")[i], ", " if f == "tags" else "\n").alias(f)
+        for i, f in enumerate(FIELDS)
+    ])
 
 
 def article_records(pages: DataFrame, catalogue: DataFrame, run_id: str,
@@ -103,12 +109,12 @@ def article_records(pages: DataFrame, catalogue: DataFrame, run_id: str,
     """
     fetched = lookup(pages.filter(F.col("html").isNotNull()),
                      catalogue.drop("at_article_link"), "source_name", "inner")
-    fields = field_columns(F.col("html"), {f: F.col(f"at_{f}") for f in FIELDS})
-    return fetched.select(
+    return page_fields(fetched.select("article_url", "source_name", "category_name", "html",
+                                      *[f"at_{f}" for f in FIELDS])).select(
         "article_url",
         F.col("source_name").alias("source_name_raw"),
         F.col("category_name").alias("category_raw"),
-        *[fields[f].alias(f"{f}_raw") for f in ("author", "published_at", "title", "summary", "content", "tags")],
+        *[F.col(f).alias(f"{f}_raw") for f in FIELDS],
         (crawled_at if crawled_at is not None else F.current_timestamp()).alias("scraped_at"),
         F.lit(run_id).alias("run_id"),
     )

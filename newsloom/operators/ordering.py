@@ -18,8 +18,7 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it be
 
 
 def _in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _shift_per_part(parts: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ class RunLog:
         return self.spark.table(self.table)
 
     def _append(self, **values) -> None:
-        row = self.spark.range(1).select(*[
+        row = self.spark.range(0, 1, 1, 1).select(*[
             (F.current_timestamp() if f.name == "logged_at" else F.lit(values.get(f.name)))
             .cast(f.dataType).alias(f.name)
             for f in RUN_LOG.fields

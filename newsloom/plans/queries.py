@@ -22,7 +22,7 @@ from newsloom.operators.lookup import lookup
 from newsloom.schemas import (
     ARTICLE_CSV, CLEAN_COLUMNS, DELTA_COLUMNS, MART_AGGREGATE, dimension,
 )
-from newsloom.session import scratch_path, spread, tune
+from newsloom.session import materialize, scratch_path, spread, tune
 from newsloom.sources import csv_files, newest, tables
 from newsloom.streaming import article_files
 
@@ -605,9 +605,9 @@ def mart_publish(spark: SparkSession, d: str) -> DataFrame:
     def dim(prefix: str, names: DataFrame) -> DataFrame:
         return dimensions.extended(spark.createDataFrame([], dimension(prefix)), names,
                                    f"{prefix}_key", f"{prefix}_name")
-    fact, pairs = _order_facts(spark, d), _order_tags(spark, d)
+    fact, pairs = _order_facts(spark, d), materialize(_order_tags(spark, d).distinct(), "order-tags")
     dims = {
-        "DimCategory": dim("category", fact.select("category_name")),
+        "DimCategory": dim("category", _table(spark, d, "orders").select(F.col("o_orderpriority").alias("category_name"))),
         "DimTag": dim("tag", pairs.select("tag_name")),
         "DimSource": dim("source", _table(spark, d, "supplier").select(F.col("s_name").alias("source_name"))),
     }

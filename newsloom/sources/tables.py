@@ -20,11 +20,9 @@ from newsloom.session import materialize, tune
 def create_table(spark: SparkSession, table: str, schema: T.StructType,
                  partition_by: Sequence[str] = ()) -> None:
     """Create the table unless it is there."""
-    if not spark.catalog.tableExists(table):
-        writer = spark.createDataFrame([], schema).write.format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    places = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{places}")
 
 
 def append_rows(df: DataFrame, table: str) -> None:
