@@ -201,7 +201,7 @@ class DailyRun:
             rows = warehouse.fact_rows(buffer, *[self.table(at.dim(p)) for p in ("category", "source", "author")])
             changes = materialize(warehouse.changed_facts(rows, self.table(at.fact)), "changes")
             loaded = changes.count()
-            tables.merge_rows(self.spark, at.fact, changes, warehouse.FACT_KEY, FACT_PARTITIONS)
+            tables.merge_rows(self.spark, at.fact, changes, warehouse.FACT_KEY, FACT_PARTITIONS, written=True)
             self._sync_tags(buffer, load_month)
             return extracted, loaded
 
@@ -221,7 +221,7 @@ class DailyRun:
         compared = materialize(tag_bridge.compare_with_bridge(sets, self.table(at.bridge)), "tag-sets")
         pairs = tag_bridge.new_pairs(compared).withColumn("load_month", F.lit(load_month))
         tables.merge_rows(self.spark, at.bridge, pairs, ["article_key"], BRIDGE_PARTITIONS,
-                          removed=tag_bridge.replaced_articles(compared))
+                          removed=tag_bridge.replaced_articles(compared), written=True)
 
     # --- mart -----------------------------------------------------------------------------
 

@@ -101,16 +101,20 @@ def upserted(current: DataFrame, incoming: DataFrame, key: Sequence[str],
 
 
 def merge_rows(spark: SparkSession, table: str, incoming: DataFrame, key: Sequence[str],
-               partition_by: Sequence[str], removed: DataFrame | None = None) -> None:
+               partition_by: Sequence[str], removed: DataFrame | None = None, written: bool = False) -> None:
     """Type-1 merge into a partitioned table, rewriting only the partitions with affected rows.
 
-    `incoming` replaces all rows of its keys and those of `removed`. Only key
-    and partition columns are read to find the partitions. The list of them is
-    held in the driver: partitions are calendar months, so it is short.
+    `incoming` replaces all rows of its keys and those of `removed`. Both may
+    come out of the table itself, so they are written down first, unless the
+    caller says that they stem from `written` rows. Only key and partition
+    columns are read to find the partitions. The list of them is held in the
+    driver: partitions are calendar months, so it is short.
     """
     tune(spark)
     key, partition_by = list(key), list(partition_by)
-    incoming = materialize(incoming.select(*spark.table(table).columns), "merge")
+    incoming = incoming.select(*spark.table(table).columns)
+    if not written:
+        incoming = materialize(incoming, "merge")
     gone = incoming.select(*key)
     if removed is not None:
         gone = gone.unionByName(removed.select(*key))
