@@ -45,6 +45,9 @@ MARKUP = (
     f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS], 2, False)}|{_TAG})"
 )
 
+# What is not part of the element tree.
+HIDDEN = f"(?is)<(?:{_COMMENT}|{_element(RAW_TEXT_ELEMENTS, 1, True)})"
+
 # What may follow an ampersand, at the start of a piece.
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)"
 
@@ -131,8 +134,8 @@ def selector_patterns(selector: str, attribute: str | None = None, whole: bool =
     """Patterns for the `tag.class` steps of a selector, from the outer element to the inner.
 
     Group 1 of each is what the element holds; of the last it is the value of
-    `attribute` if one is named, or the `whole` element with its own tags. Meant
-    for elements that do not contain one of their own kind;
+    `attribute` if one is named, still in its quotes (see `attribute_values`), or
+    the `whole` element with its own tags. Meant for elements that do not contain one of their own kind;
     `operators.nested_pages` follows those that do.
     """
     steps = selector.split()
@@ -144,7 +147,8 @@ def selector_patterns(selector: str, attribute: str | None = None, whole: bool =
         tag, cls = found["tag"], found["cls"]
         of_class = rf"""(?=[^>]*\sclass\s*=\s*["']?(?:[^"'>]*\s)?{re.escape(cls)}[\s"'>])""" if cls else ""
         if attribute and i == len(steps) - 1:
-            patterns.append(rf"""(?is)<{tag}\b{of_class}[^>]*?\s{attribute}\s*=\s*["']([^"']*)["']""")
+            patterns.append(
+                rf"""(?is)<{tag}\b{of_class}[^>]*?\s{attribute}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
         elif whole and i == len(steps) - 1:
             patterns.append(rf"(?is)(<{tag}\b{of_class}[^>]*>.*?</{tag}\s*>)")
         else:
@@ -152,6 +156,20 @@ def selector_patterns(selector: str, attribute: str | None = None, whole: bool =
     return patterns
 
 
+def visible_markup(html: Column) -> Column:
+    """A page without comments and scripts, where something may look like an element."""
+    return F.regexp_replace(html, HIDDEN, " ")
+
+
+def attribute_values(raw: Column) -> Column:
+    """Attribute values out of their quotes, entities decoded."""
+    def value(text: Column) -> Column:
+        quoted = F.left(text, F.lit(1)).isin('"', "'")
+        return decode_entities(F.when(quoted, F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(text))
+
+    return F.transform(raw, lambda text: value(text))
+
+
 def inner_matches(html: Column, patterns: Column) -> Column:
     """Apply an array of patterns one inside the other; all matches of the last."""
     return F.aggregate(

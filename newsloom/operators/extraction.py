@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.html import (
-    decode_entities, element_text, element_texts, inner_matches, joined_or_default,
-    selector_patterns,
+    attribute_values, element_text, element_texts, inner_matches, joined_or_default,
+    selector_patterns, visible_markup,
 )
-from newsloom.functions.text import trim_spaces
+from newsloom.functions.text import bound, trim_spaces
 from newsloom.functions.urls import normalize_url
 from newsloom.operators.lookup import lookup
 
@@ -71,7 +71,7 @@ def selector_catalogue(spark: SparkSession,
 
 def page_links(pages: DataFrame, patterns: Column, base_url: Column) -> DataFrame:
     """Every non-empty link that matches, in page order and with repeats, as an absolute address."""
-    hrefs = F.transform(inner_matches(F.col("html"), patterns), decode_entities)
+    hrefs = attribute_values(inner_matches(visible_markup(F.col("html")), patterns))
     return (
         pages.select("*", F.posexplode(hrefs).alias("link_pos", "href"))
         .filter("href != ''")
@@ -92,7 +92,9 @@ def page_fields(pages: DataFrame) -> DataFrame:
     Several matches stand on lines of their own, tags with commas between; `N/A` is for none.
     One expression goes over all fields, so the plan stays small.
     """
-    all_texts = F.transform(F.array(*[f"at_{f}" for f in FIELDS]), lambda at: element_texts(F.col("html"), at))
+    selectors = F.array(*[f"at_{f}" for f in FIELDS])
+    all_texts = bound(visible_markup(F.col("html")), lambda page: F.transform(
+        selectors, lambda at: element_texts(page, at)))
     kept = [c for c in pages.columns if c != "html" and c not in {f"at_{f}" for f in FIELDS}]
     return pages.select(*kept, all_texts.alias("_texts")).select(*kept, *[
         joined_or_default(F.col("_texts")[i], ", " if f == "tags" else "\n").alias(f)
@@ -141,7 +143,9 @@ def home_items(pages: DataFrame, crawled_at: Column, limit: int = HOME_LIMIT,
         patterns = selector_patterns(selector, whole=True)
         return F.get(inner_matches(of, F.array(*[F.lit(p) for p in patterns])), F.lit(0))
 
-    items = F.slice(inner_matches(F.col("html"), steps(item)), 1, limit)
+    items = F.slice(inner_matches(visible_markup(F.col("html")), steps(item)), 1, limit)
+    href = F.regexp_extract_all("title_tag", F.lit(
+        r"""(?is)^<[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
     return (
         pages.select("*", F.posexplode(items).alias("item_pos", "item"))
         .withColumn("title_tag", first_element(F.col("item"), title))
@@ -150,8 +154,7 @@ def home_items(pages: DataFrame, crawled_at: Column, limit: int = HOME_LIMIT,
         .select(
             *[c for c in pages.columns if c != "html"],
             "item_pos",
-            decode_entities(F.regexp_extract(
-                "title_tag", r"""(?is)^<[^>]*?\shref\s*=\s*["']([^"']*)["']""", 1)).alias("article_url"),
+            F.array_join(attribute_values(href), "").alias("article_url"),
             F.lit(HOME_SOURCE).alias("source_name_raw"),
             F.lit(HOME_CATEGORY).alias("category_raw"),
             F.lit("").alias("author_raw"),

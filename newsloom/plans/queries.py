@@ -266,7 +266,8 @@ def home_page_items(spark: SparkSession, d: str) -> DataFrame:
 
 def first_links_per_page(spark: SparkSession, d: str) -> DataFrame:
     """The first five links of each page, and then those of them that do not end in a comma."""
-    links = html.inner_matches(F.col("html"), F.array(*[F.lit(p) for p in html.selector_patterns("a", "href")]))
+    patterns = F.array(*[F.lit(p) for p in html.selector_patterns("a", "href")])
+    links = html.attribute_values(html.inner_matches(html.visible_markup(F.col("html")), patterns))
     return (
         _texts(spark, d, "pages")
         .select("page_id", F.posexplode(F.slice(links, 1, 5)).alias("pos", "href"))
