@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from newsloom.functions.nulls import null_tokens
 from newsloom.functions.urls import row_mark
+from newsloom.operators.lookup import with_keys
+from newsloom.session import materialize
 
 # What makes an article row differ; crawl time and run id do not.
 MARKED_COLUMNS = [
@@ -40,24 +42,29 @@ def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[Column])
 def find_changes(incoming: DataFrame, known: DataFrame, key: Sequence[str], mark: str) -> DataFrame:
     """Rows whose key is not known (`insert`) or known under another mark (`update`).
 
-    Both sides hold a key once. Of the known side only key and mark are moved.
+    Both sides hold a key once. Of the known side only key and mark are read,
+    and only those of incoming keys go into the join.
     """
-    old = known.select(*key, F.col(mark).alias("_old_mark"), F.lit(True).alias("_is_known"))
+    old = with_keys(known.select(*key, F.col(mark).alias("_old_mark")), incoming, key)
     change = F.when(F.col("_is_known").isNull(), "insert").when(
         ~F.col(mark).eqNullSafe(F.col("_old_mark")), "update")
     return (
-        incoming.join(old, list(key), "left")
+        incoming.join(old.withColumn("_is_known", F.lit(True)), list(key), "left")
         .withColumn("change", change)
         .filter(F.col("change").isNotNull())
         .drop("_old_mark", "_is_known")
     )
 
 
+def newest_articles(rows: DataFrame) -> DataFrame:
+    """The latest row of each address, with its mark in `row_mark`."""
+    marked = rows.withColumn("row_mark", article_mark(rows))
+    return latest_per_key(marked, ["article_url"], [F.col("scraped_at").desc_nulls_last(), F.col("row_mark")])
+
+
 def staging_delta(transformed: DataFrame, known: DataFrame) -> DataFrame:
     """The delta of one load: latest row per address, kept if new or changed.
 
     `known` holds `article_url` and `row_mark` of the articles in the warehouse.
     """
-    marked = transformed.withColumn("row_mark", article_mark(transformed))
-    newest = latest_per_key(marked, ["article_url"], [F.col("scraped_at").desc_nulls_last(), F.col("row_mark")])
-    return find_changes(newest, known, ["article_url"], "row_mark")
+    return find_changes(materialize(newest_articles(transformed), "newest"), known, ["article_url"], "row_mark")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension measured at no more than this is broadcast.
+# A dimension measured at no more than this is broadcast, and a set of keys at no more than that.
 BROADCAST_BYTES = 32 * 1024 * 1024
+KEY_SET_BYTES = 256 * 1024 * 1024
 # Keys that are looked at when a dimension is too large to broadcast.
 HOT_KEYS = 64
 
@@ -49,3 +52,15 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
     local = facts.filter(stays).join(F.broadcast(dim.filter(in_hot)), key, how)
     shuffled = facts.filter(~stays).join(dim.filter(~in_hot), key, how)
     return local.unionByName(shuffled)
+
+
+def with_keys(table: DataFrame, keys: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of a large table whose key is in `keys` (or is not, by `left_anti`).
+
+    While the measured keys fit, they are broadcast and the table is only
+    scanned. `keys` should be written rows, as measuring reads them once more.
+    """
+    wanted = keys.select(*key)
+    if measured_bytes(wanted) <= KEY_SET_BYTES:
+        wanted = F.broadcast(wanted)
+    return table.join(wanted, list(key), how)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.tags import has_tags, split_tags
 from newsloom.functions.urls import article_key
-from newsloom.operators.lookup import lookup
+from newsloom.operators.lookup import lookup, with_keys
 
 
 def tag_names(rows: DataFrame) -> DataFrame:
@@ -48,9 +48,8 @@ def new_tag_sets(delta: DataFrame, dim_tag: DataFrame) -> DataFrame:
 
 def compare_with_bridge(sets: DataFrame, bridge: DataFrame) -> DataFrame:
     """Add `changed`: does the new set differ from the bridge's?"""
-    wanted = sets.select("article_key").distinct()
     current = (
-        bridge.join(wanted, "article_key", "left_semi")
+        with_keys(bridge, sets, ["article_key"])
         .groupBy("article_key").agg(F.array_sort(F.collect_set("tag_key")).alias("old_keys"))
     )
     old = F.coalesce("old_keys", F.array().cast("array<bigint>"))

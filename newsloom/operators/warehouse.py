@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.urls import article_key
 from newsloom.operators.date_dim import date_key
-from newsloom.operators.delta import article_mark, find_changes, latest_per_key
+from newsloom.operators.delta import find_changes, newest_articles
 from newsloom.operators.dimensions import resolve_keys
 from newsloom.schemas import ARTICLE_FACT
 
@@ -25,9 +25,7 @@ def buffer_rows(delta: DataFrame) -> DataFrame:
 def fact_rows(buffer: DataFrame, dim_category: DataFrame, dim_source: DataFrame,
               dim_author: DataFrame) -> DataFrame:
     """Fact rows of the newest version of each buffered article."""
-    marked = buffer.withColumn("row_mark", article_mark(buffer))
-    newest = latest_per_key(marked, ["article_url"], [F.col("scraped_at").desc_nulls_last(), F.col("row_mark")])
-    keyed = resolve_keys(newest, {
+    keyed = resolve_keys(newest_articles(buffer), {
         "category_name": dim_category, "source_name": dim_source, "author_name": dim_author,
     })
     day = F.to_date("published_at")

@@ -199,6 +199,7 @@ class DailyRun:
             buffer = warehouse.buffer_rows(self.table(f"{at.warehouse}.buffer_delta"))
             self._extend_dimensions(buffer)
             rows = warehouse.fact_rows(buffer, *[self.table(at.dim(p)) for p in ("category", "source", "author")])
+            rows = materialize(rows, "fact-rows")
             changes = materialize(warehouse.changed_facts(rows, self.table(at.fact)), "changes")
             loaded = changes.count()
             tables.merge_rows(self.spark, at.fact, changes, warehouse.FACT_KEY, FACT_PARTITIONS, written=True)
@@ -217,8 +218,9 @@ class DailyRun:
 
     def _sync_tags(self, buffer: DataFrame, load_month: int) -> None:
         at = self.layers
-        sets = tag_bridge.new_tag_sets(buffer.select("article_url", "tags"), self.table(at.dim("tag")))
-        compared = materialize(tag_bridge.compare_with_bridge(sets, self.table(at.bridge)), "tag-sets")
+        sets = materialize(tag_bridge.new_tag_sets(
+            buffer.select("article_url", "tags"), self.table(at.dim("tag"))), "new-tag-sets")
+        compared = materialize(tag_bridge.compare_with_bridge(sets, self.table(at.bridge)), "compared-tags")
         pairs = tag_bridge.new_pairs(compared).withColumn("load_month", F.lit(load_month))
         tables.merge_rows(self.spark, at.bridge, pairs, ["article_key"], BRIDGE_PARTITIONS,
                           removed=tag_bridge.replaced_articles(compared), written=True)

@@ -140,7 +140,7 @@ def _part_bridge(spark: SparkSession, d: str, dim_tag: DataFrame) -> DataFrame:
 def _compared_tags(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     dim_tag = _part_dim_tag(spark, d)
     bridge = _part_bridge(spark, d, dim_tag)
-    sets = tag_bridge.new_tag_sets(_part_delta(spark, d), dim_tag)
+    sets = materialize(tag_bridge.new_tag_sets(_part_delta(spark, d), dim_tag), "tag-sets")
     return bridge, tag_bridge.compare_with_bridge(sets, bridge)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsloom.operators.lookup import with_keys
 from newsloom.session import materialize, tune
 
 
@@ -90,13 +91,9 @@ def replace_rows(df: DataFrame, table: str) -> int:
     return publish(df.sparkSession, {table: df})[table]
 
 
-def upserted(current: DataFrame, incoming: DataFrame, key: Sequence[str],
-             removed: DataFrame | None = None) -> DataFrame:
-    """`current` with the rows of the incoming (and removed) keys replaced by `incoming`."""
-    gone = incoming.select(*key)
-    if removed is not None:
-        gone = gone.unionByName(removed.select(*key))
-    kept = current.join(gone.distinct(), list(key), "left_anti")
+def upserted(current: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """`current` with the rows of the incoming keys replaced by `incoming`."""
+    kept = current.join(incoming.select(*key).distinct(), list(key), "left_anti")
     return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
 
 
@@ -120,13 +117,15 @@ def merge_rows(spark: SparkSession, table: str, incoming: DataFrame, key: Sequen
         gone = gone.unionByName(removed.select(*key))
     gone = materialize(gone.distinct(), "merge-keys")
 
-    old_places = spark.table(table).select(*key, *partition_by).join(gone, key, "left_semi").select(*partition_by)
+    old_places = with_keys(spark.table(table).select(*key, *partition_by), gone, key).select(*partition_by)
     touched = {tuple(r) for r in old_places.unionByName(incoming.select(*partition_by)).distinct().collect()}
     if not touched:
         return
     place = F.concat_ws("/", *[F.col(c).cast("string") for c in partition_by])
     in_touched = place.isin(*["/".join(str(v) for v in p if v is not None) for p in touched])
-    result = upserted(spark.table(table).filter(in_touched), incoming, key, removed=gone)
+    current = spark.table(table)
+    kept = with_keys(current.filter(in_touched), gone, key, "left_anti").select(*current.columns)
+    result = kept.unionByName(incoming)
     left = {tuple(r) for r in result.select(*partition_by).distinct().collect()}
     _insert_by_name(result, table, overwrite=True)
     for values in touched - left:
