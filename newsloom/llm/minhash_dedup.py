@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
 from newsloom.llm.components import components
-from newsloom.llm.texts import keyed, rows_with
+from newsloom.llm.texts import id_key, keyed, rows_with, rows_without, text_key, whole_text
 from newsloom.session import materialize
 
 SHINGLE_WORDS = 5
@@ -222,3 +222,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     done = rows.select("id", "key", "n_shingles", "class").join(of_class, "class", "left").withColumn(
         "component_id", F.coalesce("component_id", "id"))
     return done.select("id", "key", "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` that are kept, all their columns unchanged; rows equal in id and text once.
+
+    Of rows that repeat a kept id with different, linked texts the one with the smallest hash stays.
+    """
+    done = near_duplicates(docs, id_col, text_col, percent)
+    kept = done.filter("kept").groupBy("id", "component_id", F.when(F.col("n_shingles") == 0, F.col("key")).alias("alone")) \
+        .agg(F.min("key").alias("key")).select("id", "key")
+    kept = materialize(kept.distinct(), "minhash-kept")
+    gone = done.select("id", "key").distinct().join(kept, ["id", "key"], "left_anti").select(
+        F.col("id").alias("_id"), F.col("key").alias("_key"))
+    gone = materialize(gone, "minhash-gone")
+    rows = docs.select(F.struct("*").alias("kept_row"), id_key(F.col(id_col)).alias("_id"),
+                       text_key(whole_text(F.col(text_col))).alias("_key"))
+    rows = rows_without(rows, gone, ["_id", "_key"])
+    # Repeated rows are few and found by their keys alone, so that other texts need no shuffle.
+    again = materialize(done.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.col("id").alias("_id"), F.col("key").alias("_key")), "minhash-repeated")
+    single = rows_without(rows, again, ["_id", "_key"]).select("kept_row")
+    doubled = rows_with(rows, again, ["_id", "_key"]).dropDuplicates(["_id", "_key"]).select("kept_row")
+    return single.unionByName(doubled).select("kept_row.*")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.texts import SPACE_CHARS, SPACES, id_key, rows_without, text_key, whole_text, words
 from newsloom.session import materialize
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 #: Base limits: fewest words, and most words in repeated 3-word windows, in percent of the words.
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -56,11 +56,10 @@ def text_figures(docs: DataFrame, id_col: str, text_col: str, host_col: str) ->
         F.xxhash64(F.regexp_replace(F.regexp_replace(
             F.lower(F.btrim(l, F.lit(SPACE_CHARS))), SPACES, " "), "[0-9]", "0")).alias("hash"),
         F.size(F.split(F.btrim(l, F.lit(SPACE_CHARS)), SPACES)).alias("n_words"))))
-    n_chars = F.length("text")
     return rows.withColumn("row", F.monotonically_increasing_id()).select(
         "row", "id", text_key(F.col("text")).alias("key"), "host", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", SPACE_CHARS, "")).cast("long").alias("word_chars"),
-        (n_chars - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size("starts") > 0, F.expr(covered)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
         F.xxhash64(F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("word")))))

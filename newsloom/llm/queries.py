@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
-    chat_format, minhash_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter,
+    chat_format, decontamination, license_scan, minhash_dedup, mixing, quality_rules, secret_scan, substring_dedup,
+    suffix_dedup, url_filter,
 )
 from newsloom.llm.texts import shown_id
 from newsloom.session import materialize, spread
@@ -48,6 +49,12 @@ def secret_columns() -> list[Column]:
             secret_scan.joined(F.col("spans")).alias("spans")]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the most similar window."""
+    found = decontamination.leaks(_texts(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(shown_id("id").alias("doc_id"), "item_id", "start", "n_words", "similarity", "distance")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every byte under a 400-byte string that occurs elsewhere, removed from every document."""
     done, _ = suffix_dedup.dedup_strings(_texts(spark, sf_dir, "documents"), keep="none")
@@ -60,6 +67,14 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own or inherited licence of every document; source, language and hundreds of ids stand in for directories."""
+    docs = _texts(spark, sf_dir, "documents")
+    folder = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", "source", "lang", folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return minhash_dedup.near_duplicates(_texts(spark, sf_dir, "documents")).select(
@@ -98,8 +113,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_decontamination": op2_decontamination,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_license_scan": op5_license_scan,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_format": op8_chat_format,

@@ -151,10 +151,11 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES,
+           length_col: str | None = None) -> DataFrame:
     """`docs` with every finding in the text replaced by its kind in brackets; overlapping findings become one.
 
-    All columns stay. A null text stays null.
+    All columns stay; `length_col`, if named, is set to the new length of changed texts. A null text stays null.
     """
     ledger = materialize(scan(docs, None, rules, text_col), "secret-ledger")
     dirty = materialize(spans_of_blobs(ledger, rules), "secret-spans")
@@ -169,4 +170,9 @@ def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
             struct(greatest(s.at, x.end) AS at, s.done AS done)),
         s -> concat(s.done, substring({text}, s.at + 1)))"""
     new_text = F.when(F.size("spans") > 0, F.expr(masked)).otherwise(F.expr(text))
-    return rows.select(*[new_text.alias(c) if c == text_col else F.col(f"kept_row.`{c}`") for c in docs.columns])
+    rows = rows.select("kept_row", new_text.alias("new_text"), (F.size("spans") > 0).alias("changed"))
+    new = {text_col: F.col("new_text")}
+    if length_col:
+        old = F.col(f"kept_row.`{length_col}`")
+        new[length_col] = F.when(F.col("changed"), F.length("new_text").cast(docs.schema[length_col].dataType)).otherwise(old)
+    return rows.select(*[new.get(c, F.col(f"kept_row.`{c}`")).alias(c) for c in docs.columns])
