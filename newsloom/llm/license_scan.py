@@ -158,7 +158,7 @@ def scan(docs: DataFrame, path_col: str = "path", text_col: str = "text", templa
     files = best.filter(F.col("share") >= file_share).join(rows.select("row", "dir"), "row")
     licensed = materialize(files.groupBy("dir").agg(F.max(F.struct("score", "license")).alias("m")).select(
         "dir", "m.license"), "license-directories")
-    nearest = inherited(rows.select("dir").distinct(), licensed)
+    nearest = materialize(inherited(rows.select("dir").distinct(), licensed), "license-nearest")
     done = rows.join(best, "row", "left").join(
         nearest.select("dir", F.col("license").alias("dir_license"), F.col("from_dir").alias("nearest")), "dir", "left")
     own = F.col("license").isNotNull()

@@ -137,7 +137,8 @@ def links(classes: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     """
     members = classes.select("class", F.explode("keys").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialize(members.join(shared, "bucket"), "minhash-members")
+    # Counts are written before they are joined, so that a bucket with very many members is split.
+    members = materialize(members.join(materialize(shared, "minhash-shared"), "bucket"), "minhash-members")
     weights = members.groupBy("class").agg(F.sum("n").alias("weight"))
     members = materialize(members.join(weights, "class").select("class", "bucket", "weight"), "minhash-weighted")
 
@@ -169,7 +170,7 @@ def _with_leaders(members: DataFrame, among: DataFrame) -> DataFrame:
     new = F.col("class") != F.col("leader")
     if _label(among):
         new = F.col("label") != F.col("leader_label")
-    return members.join(leaders, "bucket").filter(new).select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    return members.join(materialize(leaders, "minhash-leaders"), "bucket").filter(new).select(F.col("class").alias("a"), F.col("leader").alias("b"))
 
 
 def _label(members: DataFrame) -> list[str]:
@@ -186,8 +187,8 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     spread = labelled.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
         F.max(F.struct("weight", "class", "label")).alias("top")).filter("low != high")
-    return materialize(labelled.join(
-        spread.select("bucket", F.col("top.label").alias("main")), "bucket"), "minhash-apart")
+    spread = materialize(spread.select("bucket", F.col("top.label").alias("main")), "minhash-spread")
+    return materialize(labelled.join(spread, "bucket"), "minhash-apart")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -206,6 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialize(classes.select("class", "first_id", "one.id", "one.key", "one.keys"), "minhash-classes")
     buckets = classes.select("class", F.explode("keys").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    crowded = materialize(crowded, "minhash-crowded")
     met = buckets.join(crowded, "bucket", "left_semi").select("class").distinct()
     met = materialize(classes.join(met, "class", "left_semi"), "minhash-met")
     wanted = materialize(met.groupBy("id", "key").agg(F.first("class").alias("class")), "minhash-wanted")

@@ -142,7 +142,8 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
     """
     kept = [c for c in versions.columns if c != text_col] if keep is None else keep
     paths = versions.select(*kept, blob_id(whole_text(F.col(text_col))).alias("blob"))
-    return paths.join(spans_of_blobs(ledger, rules), "blob", "left").withColumn(
+    # Written first, so that a blob with very many paths is split when it is joined.
+    return paths.join(materialize(spans_of_blobs(ledger, rules), "secret-spans"), "blob", "left").withColumn(
         "spans", F.coalesce("spans", F.expr(NO_SPANS)))
 
 

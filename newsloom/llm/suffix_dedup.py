@@ -141,7 +141,7 @@ def _by_counts(windows: DataFrame, length: int, keep: str) -> DataFrame:
     """The same for windows (anchor, hash, id, key, start, extra), counted with partial sums."""
     place = F.struct("id", "key", "start")
     counts = windows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    again = windows.join(counts.filter("n > 1"), ["anchor", "hash"])
+    again = windows.join(materialize(counts.filter("n > 1"), "suffix-counts"), ["anchor", "hash"])
     again = again.filter(place != F.col("first")) if keep == "first" else again
     return again.select("id", "key", "start", (F.col("start") + length).alias("end"))
 
