@@ -36,9 +36,14 @@ STAR_ROUNDS = 2
 
 _rng = np.random.default_rng(20240131)
 _FACTORS = _rng.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADDENDS = _rng.integers(0, 2**63, VALUES, dtype=np.uint64)
-#: Shingles hashed at once, to bound memory for very long texts.
-_AT_ONCE = 1 << 16
+#: Shingles hashed at once, to stay within the processor's caches.
+_AT_ONCE = 1 << 10
+
+#: For each key, the places of the values that are left of its chunk, and a salt of its own.
+_SIZE = VALUES // CHUNKS
+_LEFT = np.array([[chunk * _SIZE + i for i in range(_SIZE) if i != out] for chunk in range(CHUNKS) for out in range(_SIZE)])
+_SHIFTS = np.uint64(BITS) * np.arange(_SIZE - 1, dtype=np.uint64)
+_SALTS = fp.mixed(np.arange(1, VALUES + 1, dtype=np.uint64))
 
 FEATURES = "id long, key long, n_shingles long, class binary, keys array<long>"
 
@@ -56,23 +61,14 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     least = np.full(VALUES, np.iinfo(np.uint64).max, dtype=fp.U64)
     for begin in range(0, len(shingles), _AT_ONCE):
         part = shingles[begin:begin + _AT_ONCE]
-        # The high half of a product with an odd factor depends on all bits of the shingle's hash.
-        permuted = (part[:, None] ^ _ADDENDS) * _FACTORS
-        least = np.minimum(least, permuted.min(axis=0))
+        # Hashes are uniform already; an odd factor permutes them.
+        least = np.minimum(least, (part[:, None] * _FACTORS).min(axis=0))
     return fp.mixed(least) >> fp.U64(64 - BITS)
 
 
 def chunk_keys(values: np.ndarray) -> np.ndarray:
     """Keys of all chunks with every choice of `ALLOWED` (one) values left out."""
-    size = VALUES // CHUNKS
-    keys = []
-    for chunk in range(CHUNKS):
-        own = values[chunk * size:(chunk + 1) * size]
-        for out in range(size):
-            left = np.delete(own, out)
-            keys.append(fp.mixed(np.array([chunk * size + out], dtype=fp.U64))[0]
-                        ^ (left << (fp.U64(BITS) * np.arange(size - 1, dtype=fp.U64))).sum(dtype=fp.U64))
-    return fp.mixed(np.array(keys, dtype=fp.U64))
+    return fp.mixed(_SALTS ^ (values[_LEFT] << _SHIFTS).sum(axis=1, dtype=fp.U64))
 
 
 def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
