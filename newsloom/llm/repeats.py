@@ -109,7 +109,8 @@ def shared_runs(rows: DataFrame, across_ids: bool) -> DataFrame:
         F.min("run").alias("low"), F.max("run").alias("high"))
     anchors = anchors.filter("low_id < high_id" if across_ids else "n > 1").select(
         "anchor", (F.col("low") != F.col("high")).alias("open"))
-    return materialize(runs.join(anchors, "anchor"), "repeat-shared")
+    # Written before they are joined, so that an anchor with very many runs is split.
+    return materialize(runs.join(materialize(anchors, "repeat-anchors"), "anchor"), "repeat-shared")
 
 
 RUN = "struct<anchor: long, start: int, end: int, extra: boolean>"

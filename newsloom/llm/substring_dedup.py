@@ -20,7 +20,7 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     """(id, key, start, end) in words, end exclusive: what is covered by windows seen under a smaller id."""
     found = repeats.shared_runs(rows, across_ids=True)
     firsts = found.groupBy("anchor", "run").agg(F.min("id").alias("first_id"))
-    found = materialize(found.join(firsts, ["anchor", "run"]), "substring-runs")
+    found = materialize(found.join(materialize(firsts, "substring-firsts"), ["anchor", "run"]), "substring-runs")
     whole = found.filter("id > first_id").select(
         "id", "key", "start", (F.col("end") - 1 + units.window).alias("end"))
     # All later occurrences of a run are gone; only its first text may keep some of its windows.
@@ -29,7 +29,7 @@ def repeated_spans(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
         repeats.window_rows(repeats.with_texts(docs, id_col, text_col, first), units), "substring-windows")
     least = windows.groupBy("anchor", "hash").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")) \
         .filter("first_id < last_id").select("anchor", "hash", "first_id")
-    single = windows.join(least, ["anchor", "hash"]).filter("id > first_id").select(
+    single = windows.join(materialize(least, "substring-least"), ["anchor", "hash"]).filter("id > first_id").select(
         "id", "key", "start", (F.col("start") + units.window).alias("end"))
     return whole.unionByName(single)
 
