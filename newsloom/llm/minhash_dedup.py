@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
 from newsloom.llm.components import components
-from newsloom.llm.texts import id_key, keyed, rows_with, rows_without, text_key, whole_text
+from newsloom.llm.texts import BROADCAST_ROWS, id_key, keyed, rows_with, rows_without, text_key, whole_text
 from newsloom.session import materialize
 
 SHINGLE_WORDS = 5
@@ -117,8 +117,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.join(sizes.withColumnsRenamed({"class": "a", "bytes": "size_a"}), "a") \
         .join(sizes.withColumnsRenamed({"class": "b", "bytes": "size_b"}), "b") \
         .filter(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")).select("a", "b")
-    rows = pairs.join(sets.withColumnsRenamed({"class": "a", "shingles": "set_a"}), "a") \
-        .join(sets.withColumnsRenamed({"class": "b", "shingles": "set_b"}), "b")
+    pairs = materialize(pairs, "minhash-sized")
+    few = pairs.count() <= BROADCAST_ROWS
+    # While the pairs are few, sets meet their pairs where they lie, and of the others only those needed are moved.
+    left = sets.withColumnsRenamed({"class": "a", "shingles": "set_a"})
+    right = sets.withColumnsRenamed({"class": "b", "shingles": "set_b"})
+    if few:
+        right = right.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
+    rows = left.join(F.broadcast(pairs) if few else pairs, "a").join(right, "b")
     return rows.filter(similar("set_a", "set_b")).select("a", "b")
 
 
@@ -126,15 +132,21 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(classes: DataFrame, sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
-    """(a, b) links between classes (class, keys) that have the same components as all links at or above `percent`.
-
-    `sets` has the shingles of every class that shares a key with another.
-    """
+def crowded_buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, class, n): the keys that n > 1 classes (class, keys) share, with these."""
     members = classes.select("class", F.explode("keys").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Counts are written before they are joined, so that a bucket with very many members is split.
-    members = materialize(members.join(materialize(shared, "minhash-shared"), "bucket"), "minhash-members")
+    shared = materialize(shared, "minhash-shared")
+    few = shared.count() <= BROADCAST_ROWS
+    return materialize(members.join(F.broadcast(shared) if few else shared, "bucket"), "minhash-members")
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+    """(a, b) links between classes that have the same components as all links at or above `percent`.
+
+    `members` are the rows of `crowded_buckets`, `sets` has the shingles of their classes.
+    """
     weights = members.groupBy("class").agg(F.sum("n").alias("weight"))
     members = materialize(members.join(weights, "class").select("class", "bucket", "weight"), "minhash-weighted")
 
@@ -201,15 +213,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = texts.groupBy("class").agg(
         F.min("id").alias("first_id"), F.min(F.struct("id", "key", "keys")).alias("one"))
     classes = materialize(classes.select("class", "first_id", "one.id", "one.key", "one.keys"), "minhash-classes")
-    buckets = classes.select("class", F.explode("keys").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    crowded = materialize(crowded, "minhash-crowded")
-    met = buckets.join(crowded, "bucket", "left_semi").select("class").distinct()
-    met = materialize(classes.join(met, "class", "left_semi"), "minhash-met")
+    members = crowded_buckets(classes)
+    met = classes.join(materialize(members.select("class").distinct(), "minhash-met"), "class", "left_semi")
     wanted = materialize(met.groupBy("id", "key").agg(F.first("class").alias("class")), "minhash-wanted")
     chosen = rows_with(keyed(docs, id_col, text_col), wanted, ["id", "key"])
-    sets = materialize(shingle_sets(chosen).dropDuplicates(["class"]), "minhash-sets")
-    labels = components(links(met.select("class", "keys"), sets, percent))
+    # Copies of a row are dropped where the join has put them; rows of equal class but other ids are not chosen.
+    chosen = chosen.dropDuplicates(["id", "key"])
+    sets = materialize(shingle_sets(chosen), "minhash-sets")
+    labels = components(links(members, sets, percent))
 
     named = labels.join(classes.select(F.col("class").alias("node"), "first_id"), "node")
     firsts = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
