@@ -18,20 +18,53 @@ PUBLISHED_FORMATS = [
     TIME_FORMAT,
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "yyyy-MM-dd'T'HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy, HH:mm",
-    "dd/MM/yyyy",
+    "yyyy-MM-dd'T'HH:mm",
+    "d/M/yyyy H:mm",
+    "d/M/yyyy, H:mm",
+    "d/M/yyyy",
+    "d-M-yyyy H:mm",
+    "d-M-yyyy",
     "yyyy-MM-dd",
 ]
 
+# A weekday in front, as in `Thứ hai, ` or `Thứ 2, `, and an offset behind, as in ` (GMT+7)`, `+07:00` or `Z`.
+_WEEKDAY = r"^\p{L}[\p{L} ]*[2-7]?,\s*"
+_OFFSET = r"(?<=[0-9])\s*\(?\s*(?:(?:GMT|UTC)\s*(?:([+-])([0-9]{1,2})(?::?([0-9]{2}))?)?|([+-])([0-9]{2}):?([0-9]{2})|Z)\s*\)?$"
+
 
 def _shape(fmt: str) -> str:
     """Pattern of the texts that a format of digits and marks can read; quoted letters stand for themselves."""
     parts = re.split("'([^']*)'", fmt)
-    shaped = [re.escape(p) if i % 2 else re.sub("[yMdHmsS]", "[0-9]", re.escape(p)) for i, p in enumerate(parts)]
+    shaped = [re.escape(p) if i % 2 else re.sub(r"([yMdHmsS])\1*", _digits, re.escape(p)) for i, p in enumerate(parts)]
     return f"^{''.join(shaped)}$"
 
 
+def _digits(letters: re.Match) -> str:
+    """One letter reads one digit or two, more read just as many."""
+    n = len(letters[0])
+    return "[0-9]{1,2}" if n == 1 else f"[0-9]{{{n}}}"
+
+
+def parse_published(c: Column) -> Column:
+    """A date as news pages print it: a weekday in front is passed over, an offset behind is applied."""
+    return F.get(F.transform(F.array(F.regexp_replace(F.trim(c), _WEEKDAY, "")), _with_offset), F.lit(0))
+
+
+def _with_offset(said: Column) -> Column:
+    local = parse_time(F.regexp_replace(said, _OFFSET, ""))
+
+    def part(number: int) -> Column:
+        return F.regexp_extract(said, _OFFSET, number)
+
+    sign = F.concat(part(1), part(4))
+    hours, minutes = F.concat(part(2), part(5)), F.concat(part(3), part(6))
+    offset = F.concat(F.when(sign == "", "+").otherwise(sign), F.lpad(hours, 2, "0"), F.lit(":"), F.lpad(minutes, 2, "0"))
+    applied = F.try_to_timestamp(F.concat(F.date_format(local, TIME_FORMAT), offset), F.lit(TIME_FORMAT + "xxx"))
+    # A time of day alone has an offset; `2024-01-31` ends in digits that look like one.
+    return F.when(said.rlike("[0-9]{1,2}:[0-9]{2}.*" + _OFFSET.removeprefix("(?<=[0-9])")), applied).otherwise(
+        parse_time(said))
+
+
 def parse_time(c: Column, formats: Sequence[str] = PUBLISHED_FORMATS) -> Column:
     """Read by the format whose shape the text has; NULL when none fits.
 

@@ -19,10 +19,11 @@ PLAYER_TEXTS = [
     "This is a modal window.*?End of dialog window",
 ]
 # Elements dropped with all they hold. The void ones hold nothing and go with the other tags.
-DROPPED_ELEMENTS = ["script", "style", "iframe", "video", "button", "noscript"]
-DROPPED_VOID_ELEMENTS = ["source", "meta", "link"]
+DROPPED_ELEMENTS = ["script", "style", "iframe", "video", "button", "noscript", "source", "meta", "link"]
 # End of fixed values.
 
+VOID_ELEMENTS = ["source", "meta", "link"]
+
 # Elements whose body is raw text up to the end tag, or to the end of the page if that is missing.
 RAW_TEXT_ELEMENTS = ["script", "style"]
 
@@ -42,14 +43,14 @@ def _element(names: list[str], group: int, or_end: bool) -> str:
 RAW_TEXT = f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}|{_TAG})"
 MARKUP = (
     f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}"
-    f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS], 2, False)}|{_TAG})"
+    f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS + VOID_ELEMENTS], 2, False)}|{_TAG})"
 )
 
 # What is not part of the element tree.
 HIDDEN = f"(?is)<(?:{_COMMENT}|{_element(RAW_TEXT_ELEMENTS, 1, True)})"
 
 # What may follow an ampersand, at the start of a piece.
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*)"
+REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)"
 
 
 def drop_player_texts(c: Column) -> Column:
@@ -93,9 +94,10 @@ def decode_entities(c: Column) -> Column:
     def decode_start(piece: Column) -> Column:
         """A piece after an ampersand: its reference as text, then the rest."""
         body = F.regexp_extract(piece, REFERENCE, 1)
-        number = F.regexp_replace(body, "^#[xX]?", "")
-        point = F.when(
-            F.lower(F.substring(body, 1, 2)) == "#x", F.conv(number, 16, 10).cast("bigint")
+        number = F.regexp_replace(body, "^#[xX]?0*(?=.)", "")
+        # Eight digits without leading zeros are beyond the last code point in either notation.
+        point = F.when(F.length(number) > 7, F.lit(0x110000).cast("bigint")).when(
+            F.lower(F.substring(body, 1, 2)) == "#x", F.conv(number, 16, 10).try_cast("bigint")
         ).otherwise(number.try_cast("bigint"))
         char = F.when(F.startswith(body, F.lit("#")), _code_point_text(point)).otherwise(_entity_text(body))
         rest = F.substr(piece, F.length(body) + 1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.operators.lookup import lookup
 from newsloom.operators.ordering import running_total
 
+# Messages of the run log.
 NOTHING_FOUND = "No article found"
 NO_JOBS = "There are no jobs to run (Check Active=1)"
 

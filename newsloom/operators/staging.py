@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.dates import parse_time
+from newsloom.functions.dates import parse_published, parse_time
 from newsloom.functions.html import clean_content
 from newsloom.functions.nulls import column_or_blank
 from newsloom.functions.text import trim_spaces
@@ -48,7 +48,7 @@ def transform_rows(clean: DataFrame, run_id: str) -> DataFrame:
     }
     texts = clean.select("content", *[trim_spaces(F.col(old)).alias(new) for old, new in trimmed.items()])
     return texts.withColumns({
-        "published_at": parse_time(F.col("published_at")),
+        "published_at": F.coalesce(parse_time(F.col("published_at")), parse_published(F.col("published_at"))),
         "scraped_at": parse_time(F.col("scraped_at")),
         "run_id": F.lit(run_id),
     }).select(*DELTA_COLUMNS)

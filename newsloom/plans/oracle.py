@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Whitespace of Unicode, in RE2.
+# Whitespace of Unicode, in RE2; letters of the case boundary; texts that stand for NULL.
 _WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _LOWER = "a-zàáạảãâăêôơưéèẻẽẹđỳỳỷỹ"
 _UPPER = "A-ZÀÁẠẢÃÂĂÊÔƠƯÉÈẺẼẸĐỲỶỸ"
@@ -10,6 +10,7 @@ _NULL_TOKENS = (
     "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
     "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
 )
+# End of fixed values.
 
 
 def _sub(expr: str, pattern: str, put: str, flags: str = "g") -> str:
@@ -136,12 +137,13 @@ WHERE s.s_acctbal > 0"""
 _SELECTORS = "SELECT 'src' || n_nationkey AS source_name, n_name AS selector FROM nation WHERE n_regionkey <> 0"
 
 _STAGED = """
-SELECT 'doc/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS article_url, source AS source_name,
+SELECT 'doc/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || CASE WHEN blank THEN '/blank' ELSE '' END AS article_url, source AS source_name,
        CASE WHEN lang = 'es' THEN '' ELSE lang END AS category, '' AS author,
        '2024-01-01 06:00:00' AS published_at, 'no. ' || doc_id AS title, 'N/A' AS summary,
-       CASE WHEN source IN ('src3', 'src7') THEN '' ELSE text END AS content,
+       CASE WHEN blank THEN '' ELSE text END AS content,
        '2024-01-01 06:00:00' AS scraped_at, 'run-1' AS run_id, '' AS tags
-FROM documents"""
+FROM (SELECT *, false AS blank FROM documents
+      UNION ALL SELECT *, true FROM documents WHERE source IN ('src3', 'src7'))"""
 
 _WORDS = "SELECT p_partkey, p_size, p_brand, p_type, string_split(p_name, ' ') AS words FROM part"
 _DIM_TAG = """
@@ -248,6 +250,9 @@ ORACLE_SQL = {
         FROM (SELECT source, lang, count(l.doc_id) AS n FROM documents d
               LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) l ON l.doc_id = d.doc_id
               GROUP BY source, lang)""",
+    "entity_text": """
+        SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INTEGER)) || 'x' || chr(CAST(97 + doc_id % 26 AS INTEGER)) || chr(65533)
+               || replace(text, '&', '+') AS text FROM documents""",
     "stage_rows": _STAGED,
     "clean_staging": f"SELECT * EXCLUDE (run_id) REPLACE ({_clean_plain('content')} AS content) FROM ({_STAGED})",
     "clean_ids": f"SELECT row_number() OVER (ORDER BY article_url) AS id, article_url, source_name FROM ({_STAGED})",
@@ -333,14 +338,14 @@ ORACLE_SQL = {
                CASE WHEN source <> 'src1' THEN 'a, b' END AS tags
         FROM documents""",
     "csv_article_scan": _STAGED,
-    "latest_file": f"SELECT * FROM ({_STAGED}) WHERE category = 'fr'",
+    "latest_file": f"SELECT * FROM ({_STAGED}) WHERE category NOT IN ('en', 'de')",
     "daily_article_sink": f"""
         SELECT article_url, category AS category_raw, '010124' AS crawl_date FROM ({_STAGED})
         UNION ALL
         SELECT article_url, category, '020124' FROM ({_STAGED}) WHERE category = 'fr'""",
     "streamed_staging": f"""
         SELECT * REPLACE (CASE category WHEN 'en' THEN 'run-1' ELSE 'run-2' END AS run_id)
-        FROM ({_STAGED}) WHERE category IN ('en', 'fr')""",
+        FROM ({_STAGED})""",
     "config_append": """
         SELECT CAST(s_suppkey AS INTEGER) AS config_id, 'src' || s_nationkey AS source_name,
                'https://s' || s_suppkey || '.example.com' AS base_url, s_acctbal > 0 AS active, d AS date_dim

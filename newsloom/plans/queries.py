@@ -94,18 +94,23 @@ def _raised() -> Column:
 
 
 def _document_articles(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as raw article rows, without author and tags and with some missing texts."""
-    return _texts(spark, d, "documents").select(
+    """Documents as raw article rows, without author and tags; some have a second row with a missing text."""
+    rows = _texts(spark, d, "documents").select(
         F.concat(F.lit("doc/"), F.lpad("doc_id", 12, "0")).alias("article_url"),
         F.col("source").alias("source_name_raw"),
         F.when(F.col("lang") != "es", F.col("lang")).alias("category_raw"),
         F.lit("2024-01-01 06:00:00").alias("published_at_raw"),
         F.concat(F.lit("no. "), "doc_id").alias("title_raw"),
         F.lit("N/A").alias("summary_raw"),
-        F.when(F.col("source") == "src7", "").when(F.col("source") != "src3", F.col("text")).alias("content_raw"),
+        F.col("text").alias("content_raw"),
         F.lit("2024-01-01 06:00:00").alias("scraped_at"),
         F.lit("crawl-1").alias("run_id"),
     )
+    blank = rows.filter(F.col("source_name_raw").isin("src3", "src7")).withColumns({
+        "article_url": F.concat("article_url", F.lit("/blank")),
+        "content_raw": F.when(F.col("source_name_raw") == "src7", ""),
+    })
+    return rows.unionByName(blank)
 
 
 def _part_delta(spark: SparkSession, d: str) -> DataFrame:
@@ -170,6 +175,16 @@ def html_text(spark: SparkSession, d: str) -> DataFrame:
         "page_id", text.normalize_spaces(html.html_to_text(F.col("html"))).alias("content"))
 
 
+def entity_text(spark: SparkSession, d: str) -> DataFrame:
+    """Numeric references of 2 to 12 digits, with leading zeros and out of range, before every document's text."""
+    letter = F.col("doc_id") % 26
+    said = F.concat(
+        F.lit("&#"), F.lpad((letter + 65).cast("string"), 2 + F.col("doc_id") % 11, "0"), F.lit(";x&#x"),
+        F.lpad(F.hex(letter + 97), 2 + F.col("doc_id") % 9, "0"), F.lit(";&#"), F.col("doc_id") + 99999999, F.lit(";"),
+        F.replace("text", F.lit("&"), F.lit("+")))
+    return _texts(spark, d, "documents").select("doc_id", html.decode_entities(said).alias("text"))
+
+
 def player_texts(spark: SparkSession, d: str) -> DataFrame:
     """Conversations with a player's boilerplate around each text."""
     wrapped = F.concat(F.lit("VIDEO player is loading.\n"), "role", F.lit(" end of Dialog window "), "text",
@@ -325,7 +340,8 @@ def stage_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def _staged_with_nulls(spark: SparkSession, d: str) -> DataFrame:
     staged = staging.stage_rows(_document_articles(spark, d), RUN_ID)
-    return staged.withColumn("content", F.when(F.col("source_name") != "src3", F.col("content")))
+    missing = F.col("article_url").endswith("/blank") & (F.col("source_name") == "src3")
+    return staged.withColumn("content", F.when(~missing, F.col("content")))
 
 
 def clean_staging(spark: SparkSession, d: str) -> DataFrame:
@@ -538,11 +554,12 @@ def csv_article_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest_file(spark: SparkSession, d: str) -> DataFrame:
-    """A daily file per language, written one after the other; the newest is read."""
+    """Daily files by language, written one after the other; the newest, of all other languages, is read."""
     folder = scratch_path(spark, "daily-files")
     articles = _document_articles(spark, d)
-    for day, lang in enumerate(["en", "de", "fr"], start=1):
-        csv_files.write_with_header(articles.filter(F.col("category_raw") == lang), f"{folder}/article_0{day}0124.csv")
+    category = F.coalesce("category_raw", F.lit(""))
+    for day, of_day in enumerate([category == "en", category == "de", ~category.isin("en", "de")], start=1):
+        csv_files.write_with_header(articles.filter(of_day), f"{folder}/article_0{day}0124.csv")
     newest_path = newest.newest_path(spark, folder, "article_*.csv")
     return staging.stage_rows(csv_files.read_articles(spark, newest_path), RUN_ID)
 
@@ -563,8 +580,8 @@ def streamed_staging(spark: SparkSession, d: str) -> DataFrame:
     folder, db = scratch_path(spark, "stream-files"), _fresh_database(spark, "stream_query")
     rows = _document_articles(spark, d)
     rows = rows.select(*[nulls.column_or_blank(rows, c).alias(c) for c in ARTICLE_CSV])
-    for day, lang in enumerate(["en", "fr"], start=1):
-        csv_files.write_with_header(rows.filter(F.col("category_raw") == lang), f"{folder}/article_0{day}0124.csv")
+    for day, of_day in enumerate([F.col("category_raw") == "en", F.col("category_raw") != "en"], start=1):
+        csv_files.write_with_header(rows.filter(of_day), f"{folder}/article_0{day}0124.csv")
         article_files.stage_new_files(spark, folder, "article_*.csv", f"{db}.staging_temp_table",
                                       f"{folder}-progress", f"run-{day}")
     return spark.table(f"{db}.staging_temp_table")
@@ -639,7 +656,7 @@ def mart_publish(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        agg_mart_monthly, top_trends, article_key, clean_html, html_text, player_texts, clean_text,
+        agg_mart_monthly, top_trends, article_key, clean_html, html_text, entity_text, player_texts, clean_text,
         token_spacing, split_case_boundary, fix_quotes, parse_published_at, extract_links,
         normalize_url_variants, extract_fields, extract_fields_nested, home_page_items,
         first_links_per_page, crawl_job_list, jobs_with_selectors, jobs_missing_selector,

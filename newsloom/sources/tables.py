@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,16 @@ def _insert_by_name(df: DataFrame, table: str, overwrite: bool) -> None:
     unknown = set(present) - {f.name.lower() for f in target.fields}
     if unknown:
         raise ValueError(f"{table} has no columns {sorted(unknown)}")
-    columns = [
-        (F.col(f"`{present[f.name.lower()]}`") if f.name.lower() in present else F.lit(None))
-        .cast(f.dataType).alias(f.name)
-        for f in target.fields
-    ]
+
+    def value(name: str, kind: T.DataType) -> Column:
+        if name.lower() not in present:
+            return F.lit(None)
+        c = F.col(f"`{present[name.lower()]}`")
+        is_text = isinstance(df.schema[present[name.lower()]].dataType, T.StringType)
+        # A blank is a text only; as a number or a date it is missing.
+        return F.nullif(F.trim(c), F.lit("")) if is_text and not isinstance(kind, T.StringType) else c
+
+    columns = [value(f.name, f.dataType).cast(f.dataType).alias(f.name) for f in target.fields]
     rows = df.select(*columns)
     places = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
     if places:
@@ -62,11 +67,15 @@ def publish(spark: SparkSession, frames: Mapping[str, DataFrame]) -> dict[str, i
     """Replace the tables by the given rows, all of them or none.
 
     Each is loaded into a temporary clone first. Only when all loads have
-    succeeded are the live tables dropped and the clones renamed. If a load
-    fails the clones are dropped and the live tables stay. Gives rows per table.
+    succeeded are the live tables renamed out of the way, the clones renamed to
+    them, and the old tables dropped last. If anything fails before that, the old
+    names are restored and the clones dropped. Gives rows per table.
     """
     suffix = temp_suffix()
+    aside = suffix.replace("_temp_", "_old_")
     loaded = {}
+    moved: list[str] = []
+    placed: list[str] = []
     try:
         for table, df in frames.items():
             clone = table + suffix
@@ -76,16 +85,29 @@ def publish(spark: SparkSession, frames: Mapping[str, DataFrame]) -> dict[str, i
                 create_table(spark, clone, df.schema)
             _insert_by_name(df, clone, overwrite=False)
             loaded[table] = spark.table(clone).count()
+        for table in frames:
+            if spark.catalog.tableExists(table):
+                _rename(spark, table, table + aside)
+                moved.append(table)
+            _rename(spark, table + suffix, table)
+            placed.append(table)
     except Exception:
+        for table in placed:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for table in moved:
+            _rename(spark, table + aside, table)
         for table in frames:
             spark.sql(f"DROP TABLE IF EXISTS {table + suffix}")
         raise
-    for table in frames:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"ALTER TABLE {table + suffix} RENAME TO {table}")
+    for table in moved:
+        spark.sql(f"DROP TABLE IF EXISTS {table + aside}")
     return loaded
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+
 def replace_rows(df: DataFrame, table: str) -> int:
     """Truncate and load; on failure the old rows stay."""
     return publish(df.sparkSession, {table: df})[table]
