@@ -2,4 +2,21 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_FITS = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
+
+# Longer rules come first.
+_RULES = [("example.com", "/de/", "block"), ("example.net", "/en/", "allow"), ("org", "/fr/", "allow"), ("net", "/", "block")]
+_CASES = " ".join(f"WHEN {_FITS.format(host, path)} THEN '{host}{path}'" for host, path, _ in _RULES)
+_VERDICTS = " ".join(f"WHEN rule = '{host}{path}' THEN '{verdict}'" for host, path, verdict in _RULES)
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": f"""
+        WITH parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        ruled AS (SELECT *, CASE {_CASES} END AS rule FROM parts)
+        SELECT page_id, host, path, rule, CASE {_VERDICTS} ELSE 'allow' END AS verdict FROM ruled""",
+}
