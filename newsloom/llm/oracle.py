@@ -1,4 +1,4 @@
-"""SQL counterparts of the queries that SQL can express."""
+"""SQL counterparts of the queries that SQL can express, worked out from the definitions, not by the operators' methods."""
 
 from __future__ import annotations
 
@@ -9,7 +9,159 @@ _RULES = [("example.com", "/de/", "block"), ("example.net", "/en/", "allow"), ("
 _CASES = " ".join(f"WHEN {_FITS.format(host, path)} THEN '{host}{path}'" for host, path, _ in _RULES)
 _VERDICTS = " ".join(f"WHEN rule = '{host}{path}' THEN '{verdict}'" for host, path, verdict in _RULES)
 
+_NAMES = "(" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key") + ")"
+#: Kind, pattern, group and least length of what counts.
+_SECRETS = [
+    ("assign", rf"""{_NAMES}["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\x20\x09-\x0D/:@]{1,100}:[^\x20\x09-\x0D/:@]{1,100}@", 0, 0),
+]
+
+# Pieces between matches and the matches themselves add up to places.
+_MATCHES = " UNION ALL ".join(f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least,
+           regexp_extract_all(t, '{pattern}', 0) AS hits, regexp_extract_all(t, '{pattern}', {group}) AS counted,
+           string_split_regex(t, '{pattern}') AS gaps
+    FROM texts WHERE regexp_matches(t, '{pattern}')""" for rank, (kind, pattern, group, least) in enumerate(_SECRETS))
+
+_OP1 = f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    matched AS ({_MATCHES}),
+    placed AS (
+        SELECT doc_id, rank, kind, least, unnest(hits) AS hit, unnest(counted) AS counted,
+               unnest(gaps[:len(hits)]) AS gap, unnest(range(len(hits))) AS i
+        FROM matched),
+    ends AS (
+        SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS stop FROM placed),
+    spans AS (
+        SELECT doc_id, rank, kind, (stop - length(hit))::BIGINT AS start,
+               kind || ':' || (stop - length(hit))::BIGINT || ':' || stop::BIGINT AS span
+        FROM ends WHERE length(counted) >= least),
+    listed AS (
+        SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               string_agg(span, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+               string_agg(span, ',' ORDER BY start, rank) AS spans
+        FROM spans GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN listed USING (doc_id)"""
+
+
+def _words(text: str) -> str:
+    return f"regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+
+
+_A_TO_Z = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP6 = f"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, {_words(_A_TO_Z.format("coalesce(text, '')"))} AS w FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+        FROM texts),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles AS a JOIN shingles AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+    components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN components USING (doc_id)"""
+
+_OP7 = f"""
+    WITH texts AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, md5_number(array_to_string(w[i:i + 49], ' ')) AS x
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts)),
+    later AS (
+        SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) AS first_id FROM windows)
+        WHERE first_id < doc_id),
+    words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+    -- A word is covered if a window starts at most 49 words before it.
+    marked AS (
+        SELECT words.*, coalesce(words.i - max(later.i) OVER (PARTITION BY words.doc_id ORDER BY words.i) < 50, false) AS gone
+        FROM words LEFT JOIN later ON later.doc_id = words.doc_id AND later.i = words.i),
+    runs AS (
+        SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM marked),
+    done AS (
+        SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+               string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+        FROM runs GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256,
+           coalesce(n_spans, 0) AS n_spans
+    FROM texts LEFT JOIN done USING (doc_id)"""
+
+# What a turn is dressed up with, see the template of the operator.
+_OPENER = "CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15 ELSE 10 + length({}) + 6 END"
+_GUARDED = r"(\\*)(### System:|### User:|### Assistant:|### Role:|###:|</turn>)"
+
+
+def _escaped(text: str) -> str:
+    return rf"regexp_replace({text}, '{_GUARDED}', '\1\1\\\2', 'g')"
+
+
+_OP8 = f"""
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum({_OPENER.format(_escaped('role'))} + length({_escaped('text')}) + 9)::BIGINT AS formatted_chars
+    FROM said GROUP BY conv_id"""
+
+# Java's and this engine's lower() may differ in rare letters outside the test tables' languages.
+_OP10 = f"""
+    WITH texts AS (
+        SELECT doc_id, source, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS w FROM documents),
+    grams AS (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times
+        FROM (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+                     unnest([array_to_string(w[k:k + 2], ' ') FOR k IN range(1, len(w) - 1)]) AS g FROM texts)),
+    repeats AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS k FROM grams WHERE times > 1) GROUP BY doc_id),
+    lines AS (
+        SELECT * FROM (SELECT doc_id, source, w, unnest(string_split(t, chr(10))) AS line FROM texts)
+        WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+    dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
+    longest AS (
+        SELECT doc_id, max(struct_pack(n := length(word), word := word)) AS longest
+        FROM (SELECT doc_id, unnest(w) AS word FROM texts) GROUP BY doc_id),
+    normal AS (
+        SELECT doc_id, source, longest, len({_words("line")}) AS n_words, regexp_replace(
+            lower(array_to_string({_words("line")}, ' ')), '[0-9]', '0', 'g') AS said
+        FROM lines JOIN longest USING (doc_id)),
+    hosts AS (SELECT source, count(*) AS host_docs FROM documents GROUP BY source),
+    common AS (
+        SELECT normal.source, said FROM normal JOIN hosts ON hosts.source IS NOT DISTINCT FROM normal.source
+        GROUP BY normal.source, said, host_docs
+        HAVING count(DISTINCT longest) > 50 AND count(DISTINCT longest) > 0.01 * host_docs),
+    removed AS (
+        SELECT doc_id, sum(n_words) AS n_removed FROM normal JOIN common
+        ON common.source IS NOT DISTINCT FROM normal.source AND common.said = normal.said GROUP BY doc_id),
+    figures AS (
+        SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+               coalesce(n_removed, 0)::BIGINT AS n_removed
+        FROM texts LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN removed USING (doc_id)),
+    judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+    SELECT *, NOT base_failed AND NOT n_words - n_removed < 0.3 * n_words AS kept FROM judged"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": _OP1,
     "op4_url_filter": f"""
         WITH parts AS (
             SELECT page_id,
@@ -19,4 +171,8 @@ ORACLE_SQL: dict[str, str] = {
             FROM pages),
         ruled AS (SELECT *, CASE {_CASES} END AS rule FROM parts)
         SELECT page_id, host, path, rule, CASE {_VERDICTS} ELSE 'allow' END AS verdict FROM ruled""",
+    "op6_minhash_dedup": _OP6,
+    "op7_substring_dedup": _OP7,
+    "op8_chat_format": _OP8,
+    "op10_quality_rules": _OP10,
 }

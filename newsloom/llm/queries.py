@@ -94,7 +94,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(1).select(F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("role")).select(
         F.lit(-7).cast("long").alias("conv_id"), F.when(F.col("role") == "user", 0).otherwise(1).cast("long").alias("turn"),
         "role", F.lit(said).alias("text"))
-    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(more)))
+    return chat_format.read_back(chat_format.format_conversations(turns.unionByName(more))).drop("n_tokens")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
