@@ -28,8 +28,9 @@ from newsloom.session import materialize
 LENGTH = 400
 GRAM_BYTES = 64
 MOST_RUNS = 4096
-#: Bytes under one suffix array, if no single anchor has more.
-AT_ONCE = 1 << 20
+#: Bytes under one suffix array, if no single anchor has more. Short arrays sort faster, and more of their ranks fit into
+#: one number.
+AT_ONCE = 1 << 14
 
 SNIPPETS = "anchor long, id long, key long, start int, extra boolean, snippet binary"
 
@@ -39,7 +40,7 @@ def _ranks(values: np.ndarray) -> np.ndarray:
 
 
 def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each suffix among all by its first `depth` bytes (a power of two at least 8, or more); equal bytes, equal rank.
+    """Rank of each suffix among all by its first `depth` bytes; equal bytes, equal rank.
 
     Ranks follow byte order; what lies behind the end counts as zero bytes.
     """
@@ -49,13 +50,16 @@ def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     for i in range(known):
         packed = (packed << fp.U64(8)) | padded[i:len(text) + i]
     ranks = _ranks(packed)
+    bits = max(1, len(text).bit_length())
     while known < depth:
-        # Two known prefixes, one shifted, cover the next one; they overlap in the last step.
-        shift = min(known, depth - known)
-        later = np.zeros_like(ranks)
-        later[:len(ranks) - shift] = ranks[shift:] + fp.U64(1)
-        ranks = _ranks((ranks << fp.U64(32)) | later)
-        known += shift
+        # As many known prefixes as fit into 64 bits, each shifted, cover the next one; they overlap in the last step.
+        joined = np.zeros_like(ranks)
+        for i in range(64 // bits):
+            shift = min(i * known, depth - known)
+            joined <<= fp.U64(bits)
+            joined[:max(len(ranks) - shift, 0)] |= ranks[shift:] + fp.U64(1)
+        ranks = _ranks(joined)
+        known = min(64 // bits * known, depth)
     return ranks
 
 
