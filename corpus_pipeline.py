@@ -18,6 +18,9 @@ from newsloom.session import materialize, spread
 #: SimHash fingerprints, components and mixing order have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
+#: Documents are near duplicates from this similarity of their 5-word shingles.
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base limits and are not mostly boilerplate of their host."""
@@ -26,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id."""
-    return minhash_dedup.first_of_each(docs)
+    return minhash_dedup.first_of_each(docs, percent=NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,7 +115,7 @@ def test_pipeline_stages(spark, tmp_path):
         if i == 0:
             assert ids[0] <= {d["doc_id"] for d in before if not brute.quality(d)[-1]}
         if i == 1:
-            assert ids[1] == {r[0] for r in brute.near(before) if r[3]}
+            assert ids[1] == {r[0] for r in brute.near(before, corpus_pipeline.NEAR_PERCENT) if r[3]}
         if i == 3:
             assert not any(brute.secrets(r.asDict())[1:4] != (0, 0, 0) for r in docs.collect())
     assert os.path.isdir(f"{tmp_path}/4") and ids[3] == ids[2] and ids[4] <= ids[3]
