@@ -19,7 +19,9 @@ from newsloom.functions.html import (
 )
 from newsloom.functions.text import bound, trim_spaces
 from newsloom.functions.urls import normalize_url
-from newsloom.operators.lookup import lookup
+from newsloom.operators.lookup import lookup, with_keys
+from newsloom.schemas import ARTICLE_CSV
+from newsloom.session import materialize
 
 # The selectors of each source.
 SELECTORS = {
@@ -122,15 +124,27 @@ def article_records(pages: DataFrame, catalogue: DataFrame, run_id: str,
     )
 
 
-def crawl(jobs: DataFrame, pages: DataFrame, catalogue: DataFrame, run_id: str) -> DataFrame:
-    """All jobs in one plan: start page -> links -> article pages -> raw article rows.
+def crawl(jobs: DataFrame, pages: DataFrame, catalogue: DataFrame, run_id: str,
+          crawled_at: Column | None = None) -> DataFrame:
+    """All jobs: start page -> links -> article pages -> raw article rows, with the job's `config_id`.
 
-    `pages` (`url`, `html`) holds listing and article pages alike.
+    `pages` (`url`, `html`) holds listing and article pages alike. Its rows are cut down to start pages, and then to
+    linked pages, by sets of addresses that are broadcast while they are small, so the others are not moved. A page is
+    parsed once for each source that links to it; its record is then joined to all links.
     """
-    starts = jobs.join(pages.select(F.col("url").alias("category_url"), "html"), "category_url")
-    links = article_links(starts, catalogue)
-    found = links.join(pages.select(F.col("url").alias("article_url"), "html"), "article_url")
-    return article_records(found, catalogue, run_id)
+    by_start = pages.select(F.col("url").alias("category_url"), "html")
+    starts = jobs.join(with_keys(by_start, jobs, ["category_url"]), "category_url")
+    links = materialize(article_links(starts, catalogue).select(
+        "config_id", "source_name", "category_name", "article_url"), "crawl-links")
+
+    wanted = materialize(links.select("article_url", "source_name").distinct(), "crawl-wanted")
+    by_link = with_keys(pages.select(F.col("url").alias("article_url"), "html"), wanted, ["article_url"])
+    records = article_records(by_link.join(wanted, "article_url").withColumn("category_name", F.lit(None).cast("string")),
+                              catalogue, run_id, crawled_at)
+    # Written, so that a page with very many links is split when it is joined.
+    records = materialize(records.drop("category_raw"), "crawl-records")
+    named = links.withColumnsRenamed({"source_name": "source_name_raw", "category_name": "category_raw"})
+    return named.join(records, ["article_url", "source_name_raw"]).select(*ARTICLE_CSV, "config_id")
 
 
 def home_items(pages: DataFrame, crawled_at: Column, limit: int = HOME_LIMIT,

@@ -77,11 +77,11 @@ class RunLog:
 
     def append_jobs(self, summary: DataFrame, run_id: str) -> None:
         """START and END rows of crawl jobs that ran together, under ids that extend `run_id`."""
-        job = F.concat_ws("/", F.lit(run_id), "source_name", "category_name")
+        job = F.concat_ws("/", F.lit(run_id), "config_id", "source_name", "category_name")
         events = summary.withColumn("event", F.explode(F.array(F.lit(START), F.lit(END))))
         ended = F.col("event") == END
         append_rows(events.select(
-            job.alias("run_id"), "event",
+            job.alias("run_id"), "event", "config_id",
             F.concat(F.lit("crawl: "), "source_name").alias("job_name"),
             F.when(ended, F.col("status")).alias("status"),
             F.when(ended, F.col("extracted")).alias("extracted"),

@@ -114,22 +114,24 @@ class DailyRun:
             return runlog.FAILED
 
         day = day if day is not None else F.date_format(F.current_date(), DAY_FILE_FORMAT)
-        path = f"{self.folder}/article_days"
 
         def step(run_id: str) -> tuple[int, int]:
             articles = materialize(extraction.crawl(usable, pages, self.catalogue, run_id), "articles")
             csv_files.write_daily_articles(
-                articles.withColumn("scraped_at", F.col("scraped_at").cast("string")), path, day)
-            job_key = ["source_name", "category_name"]
-            named = articles.select(F.col("source_name_raw").alias("source_name"),
+                articles.withColumn("scraped_at", F.col("scraped_at").cast("string")), self.article_days, day)
+            named = articles.select("config_id", F.col("source_name_raw").alias("source_name"),
                                     F.col("category_raw").alias("category_name"))
-            summary = crawl_jobs.job_summary(usable.select(*job_key).distinct(), named, job_key)
-            self.log.append_jobs(summary, run_id)
+            self.log.append_jobs(crawl_jobs.job_summary(
+                crawl_jobs.with_reached(usable, pages), named, ["config_id", "source_name", "category_name"]), run_id)
             n = articles.count()
             return n, n
 
         return self.log.run("crawl", step)[1]
 
+    @property
+    def article_days(self) -> str:
+        return f"{self.folder}/article_days"
+
     # --- staging --------------------------------------------------------------------------
 
     def load_staging(self, path: str | None = None) -> str:
@@ -145,9 +147,10 @@ class DailyRun:
         return self.log.run("Load_Staging", step)[1]
 
     def load_staging_day(self, day: str) -> str:
-        """The same from the day's folder that the crawl has written."""
+        """The same from the day's folder that the crawl has written; no rows if it found nothing on that day."""
         def step(run_id: str) -> tuple[int, int]:
-            raw = self.spark.read.parquet(f"{self.folder}/article_days").filter(F.col("crawl_date") == day)
+            raw = self.spark.read.schema(schemas.text_columns(*schemas.ARTICLE_CSV, "crawl_date")).parquet(
+                self.article_days).filter(F.col("crawl_date") == day)
             n = tables.replace_rows(staging.stage_rows(raw, run_id), f"{self.layers.staging}.staging_temp_table")
             return n, n
 
@@ -246,10 +249,15 @@ class DailyRun:
 
         return self.log.run("load_to_datamart", step)[1]
 
-    def run_day(self, day: str, load_month: int) -> list[str]:
-        """All jobs from staging to mart; stops at the first that fails."""
+    def run_day(self, day: str, load_month: int, crawled: bool = False) -> list[str]:
+        """All jobs from staging to mart for a day (yyyyMMdd); stops at the first that fails.
+
+        Staging takes the newest article file, or, if `crawled`, what `crawl_articles` has written for that day and
+        never a file.
+        """
+        load = self.load_staging if not crawled else lambda: self.load_staging_day(day[6:8] + day[4:6] + day[2:4])
         outcomes = []
-        for job in (self.load_staging, self.transform_staging, self.load_delta, self.export_delta,
+        for job in (load, self.transform_staging, self.load_delta, self.export_delta,
                     lambda: self.load_warehouse(load_month), lambda: self.aggregate(day),
                     lambda: self.load_mart(day)):
             outcomes.append(job())

@@ -103,8 +103,27 @@ def test_crawl(spark, tmp_path):
     clean = spark.table("crawl_staging.staging_clean_table").orderBy("id").collect()
     assert [(r.id, r.article_url) for r in clean] == [(1, "https://vn/a1"), (2, "https://vn/a1"), (3, "https://vn/a2")]
     jobs = run.log.rows().filter("event = 'END' AND run_id LIKE '%/%'").orderBy("run_id").collect()
-    assert [(r.run_id.split("/")[-1], r.extracted, r.loaded, r.error) for r in jobs] == [
-        ("Xe", 3, 3, None), ("Zero", 0, 0, "No article found")]
+    assert [(r.run_id.split("/")[-1], r.config_id, r.status, r.extracted, r.loaded, r.error) for r in jobs] == [
+        ("Gone", 1, "FAILED", 0, 0, "Start page not found"), ("Xe", 1, "SUCCESS", 3, 3, None),
+        ("Zero", 1, "SUCCESS", 0, 0, "No article found")]
+
+
+def test_crawl_to_mart(spark, tmp_path):
+    """The chain of the README: pages to mart, with a stale file in the folder, an undated article and a config loaded twice."""
+    run = make(spark, tmp_path, "chain")
+    config, categories, pages = crawl_tables(spark)
+    for _ in range(2):
+        tables.append_rows(config, "chain_control.config_table")
+        tables.append_rows(categories, "chain_control.crawl_categories")
+    write(spark, tmp_path, [article("http://stale/1", "old", "a")], "article_300124.csv")
+    assert run.crawl_articles(pages, F.lit("310124")) == "SUCCESS"
+    assert run.run_day("20240131", 202401, crawled=True) == ["SUCCESS"] * 7
+    facts, tags, counts = state(spark, run.layers)
+    assert facts == {"https://vn/a1": ("First", None, None), "https://vn/a2": (None, None, None)}
+    assert tags == {("https://vn/a1", "xe"), ("https://vn/a1", "nhà")} and {m[:2] for m in counts} == {(None, None)}
+    # A day without crawled articles takes in nothing.
+    assert run.run_day("20240201", 202402, crawled=True) == ["SUCCESS"] * 7
+    assert state(spark, run.layers) == (facts, tags, counts)
 
 
 def test_config_and_dates(spark, tmp_path):

@@ -20,7 +20,7 @@ def tables(spark):
         "config_id int, source_name string, base_url string, active boolean")
     categories = spark.createDataFrame(
         [(1, "Xe", "https://vn/xe", True), (1, "Off", "https://vn/off", False), (2, "B", "https://tt/b", True),
-         (3, "C", "https://ot/c", True), (1, "Zero", "https://vn/zero", True)],
+         (3, "C", "https://ot/c", True), (1, "Zero", "https://vn/zero", True), (1, "Gone", "https://vn/none", True)],
         "config_id int, category_name string, category_url string, active boolean")
     pages = spark.createDataFrame(
         [("https://vn/xe", LISTING), ("https://vn/zero", "<p>nothing</p>"), ("https://vn/a1", ARTICLE_1),
@@ -32,8 +32,9 @@ def test_jobs(spark):
     config, categories, _ = tables(spark)
     jobs = crawl_jobs.crawl_jobs(config, categories)
     catalogue = extraction.selector_catalogue(spark)
-    assert {(r.config_id, r.category_name) for r in jobs.collect()} == {(1, "Xe"), (1, "Zero"), (3, "C")}
-    assert {r.category_name for r in crawl_jobs.jobs_with_selectors(jobs, catalogue).collect()} == {"Xe", "Zero"}
+    assert {(r.config_id, r.category_name) for r in jobs.collect()} == {
+        (1, "Xe"), (1, "Zero"), (1, "Gone"), (3, "C")}
+    assert {r.category_name for r in crawl_jobs.jobs_with_selectors(jobs, catalogue).collect()} == {"Xe", "Zero", "Gone"}
     assert [r.source_name for r in crawl_jobs.jobs_without_selectors(jobs, catalogue).collect()] == ["Other"]
 
 
