@@ -369,3 +369,25 @@ ORACLE_SQL = {
         UNION ALL SELECT 'DimTag', tag_name, tag_key FROM tag
         UNION ALL SELECT 'DimSource', source_name, source_key FROM source""",
 }
+
+_CRAWL = f"""
+    WITH fields AS ({ORACLE_SQL['extract_fields']}),
+    jobs AS (
+        SELECT DISTINCT page_id // 50 AS config_id, ['com', 'net', 'org'][page_id // 50 % 3 + 1] AS source_name
+        FROM pages WHERE page_id // 50 % 4 <> 3),
+    links AS (
+        SELECT page_id // 50 AS config_id, url, unnest(CASE WHEN page_id % 7 = 0 THEN [1, 2] ELSE [1] END) AS copy
+        FROM pages),
+    crawled AS (
+        SELECT fields.* REPLACE (source_name AS source_name_raw, 'all' AS category_raw), config_id
+        FROM links JOIN jobs USING (config_id) JOIN fields ON article_url = url WHERE config_id % 5 <> 4)"""
+ORACLE_SQL |= {
+    "crawl_articles": f"{_CRAWL} SELECT * FROM crawled",
+    "crawl_job_outcomes": f"""{_CRAWL}
+        SELECT config_id, source_name, 'all' AS category_name,
+               CASE WHEN config_id % 5 = 4 THEN 'FAILED' ELSE 'SUCCESS' END AS status, n AS extracted,
+               CASE WHEN n = 0 THEN 0 ELSE CAST(sum(n) OVER (ORDER BY config_id) AS BIGINT) END AS loaded,
+               CASE WHEN config_id % 5 = 4 THEN 'Start page not found' WHEN n = 0 THEN 'No article found' END AS note
+        FROM (SELECT config_id, source_name, count(article_url) AS n FROM jobs LEFT JOIN crawled USING (config_id)
+              GROUP BY config_id, source_name)""",
+}

@@ -332,6 +332,50 @@ def job_running_total(spark: SparkSession, d: str) -> DataFrame:
         ["source", "lang"])
 
 
+def _crawl_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Jobs and pages of a crawl: a listing for each 50 pages, some links twice, every fifth listing missing.
+
+    The configuration was loaded twice; the older one has no active source. The categories were, too.
+    """
+    pages = _texts(spark, d, "pages").select("page_id", "url", "html")
+    place = F.floor(F.col("page_id") / 50).cast("bigint").alias("config_id")
+    item = F.concat(F.lit('<li><a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">more</a></li>'))
+    items = F.repeat(item, F.when(F.col("page_id") % 7 == 0, 2).otherwise(1))
+    listings = pages.groupBy(place).agg(F.array_join(F.sort_array(F.collect_list(items)), "").alias("items")).select(
+        "config_id", F.concat(F.lit("https://list.example/"), "config_id").alias("url"),
+        F.concat(F.lit("<nav><ul>"), "items", F.lit("</ul></nav>")).alias("html"))
+    listings = materialize(listings, "listings")
+    new = listings.select(
+        "config_id", F.get(F.array(*map(F.lit, SITE_SELECTORS)), (F.col("config_id") % 3).cast("int")).alias("source_name"),
+        F.lit("https://list.example").alias("base_url"), (F.col("config_id") % 4 != 3).alias("active"),
+        F.lit(DAY_2).alias("date_dim"))
+    old = new.withColumns({"active": F.lit(False), "date_dim": F.lit(DAY_1)})
+    categories = listings.select("config_id", F.lit("all").alias("category_name"), F.col("url").alias("category_url"),
+                                 F.lit(True).alias("active"))
+    jobs = materialize(crawl_jobs.crawl_jobs(new.unionByName(old), categories.unionByName(categories)), "jobs")
+    there = listings.filter("config_id % 5 <> 4").select("url", "html")
+    return jobs, there.unionByName(pages.select("url", "html"))
+
+
+def _crawled(spark: SparkSession, jobs: DataFrame, pages: DataFrame) -> DataFrame:
+    catalogue = extraction.selector_catalogue(spark, SITE_SELECTORS)
+    return extraction.crawl(jobs, pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00"))
+
+
+def crawl_articles(spark: SparkSession, d: str) -> DataFrame:
+    """Article rows of all jobs."""
+    return _crawled(spark, *_crawl_tables(spark, d))
+
+
+def crawl_job_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """How each job of the crawl ended."""
+    jobs, pages = _crawl_tables(spark, d)
+    articles = _crawled(spark, jobs, pages).select(
+        "config_id", F.col("source_name_raw").alias("source_name"), F.col("category_raw").alias("category_name"))
+    return crawl_jobs.job_summary(crawl_jobs.with_reached(jobs, pages), articles,
+                                  ["config_id", "source_name", "category_name"])
+
+
 # --- staging ----------------------------------------------------------------------------------
 
 def stage_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -659,7 +703,7 @@ QUERIES = {
         agg_mart_monthly, top_trends, article_key, clean_html, html_text, entity_text, player_texts, clean_text,
         token_spacing, split_case_boundary, fix_quotes, parse_published_at, extract_links,
         normalize_url_variants, extract_fields, extract_fields_nested, home_page_items,
-        first_links_per_page, crawl_job_list, jobs_with_selectors, jobs_missing_selector,
+        first_links_per_page, crawl_articles, crawl_job_outcomes, crawl_job_list, jobs_with_selectors, jobs_missing_selector,
         job_running_total, stage_rows, clean_staging, clean_ids, null_tokens, null_token_counts,
         transform_rows, transform_run, rows_per_run, tags_present, tag_lookup, tag_bridge_sync,
         tag_sync_stats, bridge_insert_absent, staging_delta, warehouse_upsert,
