@@ -1,9 +1,10 @@
 """Quality rules: figures of each text, and lines that many documents of a host share.
 
 One pass over the texts works out all figures of a row and the hashes of its normalised lines; only these are kept.
-A line is counted once for each document of its host that has it. Documents are told apart by their longest word, so that
-copies and near copies of a document, which are for deduplication to settle, do not make its own lines look like
-boilerplate. Lines above the limit are taken out; a document of which too little is left is rejected.
+A line is counted once for each document of its host that has it. Copies and near copies, which are for deduplication to
+settle, count as one document, so that they do not make their own lines look like boilerplate. Rows are counted first,
+then distinct texts; only texts with a line above the limit in both are put together by the similarity of their shingles.
+Lines above the limit are taken out; a document of which too little is left is rejected.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.texts import SPACE_CHARS, SPACES, id_key, rows_without, text_key, whole_text, words
+from newsloom.llm.minhash_dedup import near_duplicates
+from newsloom.llm.texts import SPACE_CHARS, SPACES, id_key, rows_with, rows_without, text_key, whole_text, words
 from newsloom.session import materialize
 
 SYMBOLS = "[#*$%&|<>]"
@@ -26,9 +28,9 @@ LEAST_LEFT = 0.3
 
 
 def text_figures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """One row for each row of `docs`: row (a number), id, host, the base figures, longest word and lines.
+    """One row for each row of `docs`: row (a number), id, host, the base figures and lines.
 
-    `lines` holds (hash, n_words, times) of each distinct line with words; lines are lower-cased, digits become 0 and
+    `lines` holds (hash, n_words) of each line with words; lines are lower-cased, digits become 0 and
     white space is folded before hashing.
     """
     text = whole_text(F.col(text_col))
@@ -62,8 +64,6 @@ def text_figures(docs: DataFrame, id_col: str, text_col: str, host_col: str) ->
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size("starts") > 0, F.expr(covered)).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.xxhash64(F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("word")))))
-        .alias("longest"),
         normal.alias("lines"))
 
 
@@ -79,23 +79,43 @@ def _host_hash(host: Column) -> Column:
     return F.when(host.isNull(), F.lit(0)).otherwise(F.xxhash64(host))
 
 
-def judge(figures: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
-          least_left: float = LEAST_LEFT) -> DataFrame:
-    """Add n_removed, base_failed and kept to written rows of `text_figures`."""
-    lines = figures.select("row", _host_hash(F.col("host")).alias("host"), "longest", F.explode("lines").alias("line"))
-    lines = lines.select("row", "host", "longest", "line.hash", "line.n_words")
+def _common(found: DataFrame, hosts: DataFrame, line_docs: int, line_share: float, label: str) -> DataFrame:
+    """(host, hash) of the lines with more rows in `found` than either limit."""
+    counts = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > line_docs)
+    return materialize(counts.join(hosts, "host").filter(F.col("n_docs") > line_share * F.col("host_docs")).select(
+        "host", "hash"), label)
+
 
+def common_lines(figures: DataFrame, texts: DataFrame, line_docs: int, line_share: float) -> DataFrame:
+    """(host, hash) of the lines above the limits; `texts` (text) are those of `figures`."""
     # Hosts and lines are counted with partial sums, so that neither a large host nor a common line meets in one task.
     hosts = figures.groupBy(_host_hash(F.col("host")).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
-    common = lines.select("host", "hash", "longest").distinct().groupBy("host", "hash").agg(
-        F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > line_docs)
-    common = materialize(
-        common.join(hosts, "host").filter(F.col("n_docs") > line_share * F.col("host_docs")).select("host", "hash"),
-        "quality-lines")
-    removed = lines.join(common, ["host", "hash"], "left_semi").groupBy("row").agg(
-        F.sum("n_words").alias("n_removed"))
-
-    judged = figures.drop("lines", "longest").join(removed, "row", "left").drop("row").withColumn(
+    lines = figures.select(_host_hash(F.col("host")).alias("host"), "key",
+                           F.explode(F.array_distinct("lines.hash")).alias("hash"))
+    # Rows are at least as many as distinct texts, and these as groups of copies: each count leaves fewer lines to the next.
+    common = _common(lines, hosts, line_docs, line_share, "quality-row-lines")
+    held = materialize(lines.join(common, ["host", "hash"], "left_semi").distinct(), "quality-held")
+    common = _common(held, hosts, line_docs, line_share, "quality-text-lines")
+    held = materialize(held.join(common, ["host", "hash"], "left_semi"), "quality-held")
+    if held.isEmpty():
+        return common
+    wanted = materialize(held.select("key").distinct(), "quality-wanted")
+    chosen = rows_with(texts.select(text_key(F.col("text")).alias("key"), "text"), wanted, ["key"]).dropDuplicates(["key"])
+    groups = near_duplicates(materialize(chosen, "quality-texts"), "key", "text").select(
+        F.col("id").alias("key"), F.col("component_id").alias("group"))
+    grouped = held.join(materialize(groups, "quality-groups"), "key").select("host", "hash", "group").distinct()
+    return _common(grouped, hosts, line_docs, line_share, "quality-lines")
+
+
+def judge(figures: DataFrame, texts: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+          least_left: float = LEAST_LEFT) -> DataFrame:
+    """Add n_removed, base_failed and kept to written rows of `text_figures`; `texts` (text) are those they came from."""
+    common = common_lines(figures, texts, line_docs, line_share)
+    lines = figures.select("row", _host_hash(F.col("host")).alias("host"), F.explode("lines").alias("line"))
+    removed = lines.select("row", "host", "line.hash", "line.n_words").join(common, ["host", "hash"], "left_semi").groupBy(
+        "row").agg(F.sum("n_words").alias("n_removed"))
+
+    judged = figures.drop("lines").join(removed, "row", "left").drop("row").withColumn(
         "n_removed", F.coalesce("n_removed", F.lit(0)).cast("long"))
     depleted = F.col("n_words") - F.col("n_removed") < least_left * F.col("n_words")
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~base_failed() & ~depleted)
@@ -109,7 +129,8 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text is empty and fails; a null host is a host of its own; repeated rows are judged alike; an empty table
     gives no rows; other columns are not looked at.
     """
-    return judge(materialize(text_figures(docs, id_col, text_col, host_col), "quality-figures"), **limits)
+    figures = materialize(text_figures(docs, id_col, text_col, host_col), "quality-figures")
+    return judge(figures, docs.select(whole_text(F.col(text_col)).alias("text")), **limits)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
