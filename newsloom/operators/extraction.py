@@ -58,16 +58,17 @@ FIELDS = ["title", "summary", "content", "published_at", "author", "tags"]
 
 def selector_catalogue(spark: SparkSession,
                        selectors: Mapping[str, Mapping[str, str]] = SELECTORS) -> DataFrame:
-    """Source -> patterns of the link selector and of every field selector."""
+    """Source -> patterns of the link selector and of every field selector, and the field selectors themselves."""
     rows = [
         (source, selector_patterns(fields["article_link"], "href"),
-         *[selector_patterns(fields[f]) for f in FIELDS])
+         *[selector_patterns(fields[f]) for f in FIELDS], {f: fields[f] for f in FIELDS})
         for source, fields in selectors.items()
     ]
     steps = T.ArrayType(T.StringType())
     schema = T.StructType(
         [T.StructField("source_name", T.StringType()), T.StructField("at_article_link", steps)]
-        + [T.StructField(f"at_{f}", steps) for f in FIELDS])
+        + [T.StructField(f"at_{f}", steps) for f in FIELDS]
+        + [T.StructField("selectors", T.MapType(T.StringType(), T.StringType()))])
     return spark.createDataFrame(rows, schema)
 
 
@@ -125,13 +126,17 @@ def article_records(pages: DataFrame, catalogue: DataFrame, run_id: str,
 
 
 def crawl(jobs: DataFrame, pages: DataFrame, catalogue: DataFrame, run_id: str,
-          crawled_at: Column | None = None) -> DataFrame:
+          crawled_at: Column | None = None, by_patterns: bool = False) -> DataFrame:
     """All jobs: start page -> links -> article pages -> raw article rows, with the job's `config_id`.
 
     `pages` (`url`, `html`) holds listing and article pages alike. Its rows are cut down to start pages, and then to
     linked pages, by sets of addresses that are broadcast while they are small, so the others are not moved. A page is
-    parsed once for each source that links to it; its record is then joined to all links.
+    parsed once for each source that links to it; its record is then joined to all links. Elements end where the tree
+    reader of `nested_pages` ends them, or `by_patterns` at the first end tag of their kind.
     """
+    # That module needs this one.
+    from newsloom.operators import nested_pages
+
     by_start = pages.select(F.col("url").alias("category_url"), "html")
     starts = jobs.join(with_keys(by_start, jobs, ["category_url"]), "category_url")
     links = materialize(article_links(starts, catalogue).select(
@@ -139,8 +144,9 @@ def crawl(jobs: DataFrame, pages: DataFrame, catalogue: DataFrame, run_id: str,
 
     wanted = materialize(links.select("article_url", "source_name").distinct(), "crawl-wanted")
     by_link = with_keys(pages.select(F.col("url").alias("article_url"), "html"), wanted, ["article_url"])
-    records = article_records(by_link.join(wanted, "article_url").withColumn("category_name", F.lit(None).cast("string")),
-                              catalogue, run_id, crawled_at)
+    linked = by_link.join(wanted, "article_url").withColumn("category_name", F.lit(None).cast("string"))
+    read = article_records if by_patterns else nested_pages.catalogue_records
+    records = read(linked, catalogue, run_id, crawled_at)
     # Written, so that a page with very many links is split when it is joined.
     records = materialize(records.drop("category_raw"), "crawl-records")
     named = links.withColumnsRenamed({"source_name": "source_name_raw", "category_name": "category_raw"})

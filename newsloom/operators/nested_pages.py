@@ -96,6 +96,10 @@ def _field_reader(selectors: Mapping[str, Mapping[str, str]]):
         def handle_decl(self, decl):
             self.flush()
 
+        def parse_marked_section(self, i, report=1):
+            # Up to the next `>`, as browsers have it; the tokenizer's own reader fails on unknown keywords.
+            return self.parse_bogus_comment(i, report)
+
     def read(html: pd.Series, source: pd.Series) -> pd.DataFrame:
         rows = []
         for page, name in zip(html, source):
@@ -127,3 +131,10 @@ def article_records(pages: DataFrame, selectors: Mapping[str, Mapping[str, str]]
         (crawled_at if crawled_at is not None else F.current_timestamp()).alias("scraped_at"),
         F.lit(run_id).alias("run_id"),
     )
+
+
+def catalogue_records(pages: DataFrame, catalogue: DataFrame, run_id: str,
+                      crawled_at: Column | None = None) -> DataFrame:
+    """As `article_records`, with the selectors of a `selector_catalogue`, a small table with one row per source."""
+    selectors = {r["source_name"]: r["selectors"] for r in catalogue.select("source_name", "selectors").collect()}
+    return article_records(pages, selectors, run_id, crawled_at)

@@ -357,14 +357,14 @@ def _crawl_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return jobs, there.unionByName(pages.select("url", "html"))
 
 
-def _crawled(spark: SparkSession, jobs: DataFrame, pages: DataFrame) -> DataFrame:
+def _crawled(spark: SparkSession, jobs: DataFrame, pages: DataFrame, by_patterns: bool = False) -> DataFrame:
     catalogue = extraction.selector_catalogue(spark, SITE_SELECTORS)
-    return extraction.crawl(jobs, pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00"))
+    return extraction.crawl(jobs, pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00"), by_patterns)
 
 
 def crawl_articles(spark: SparkSession, d: str) -> DataFrame:
-    """Article rows of all jobs."""
-    return _crawled(spark, *_crawl_tables(spark, d))
+    """Article rows of all jobs, by patterns, as its SQL has them."""
+    return _crawled(spark, *_crawl_tables(spark, d), by_patterns=True)
 
 
 def crawl_job_outcomes(spark: SparkSession, d: str) -> DataFrame:

@@ -52,6 +52,23 @@ def test_crawl(spark):
     assert {last[f"{f}_raw"] for f in extraction.FIELDS} == {"N/A"}
 
 
+def test_crawl_of_nested_pages(spark):
+    page = """<![odd[ x ]]><h1 class="article-title">T</h1><div class="detail-content"><div>in</div><p>one<p>two <b>bold</b></div>
+    <div class="detail-tab"><div><a>x</a></div><a>y</a></div><p>out</p>"""
+    listing = '<h3 class="box-title-text"><a href="/n">N</a></h3>'
+    jobs = spark.createDataFrame([(1, "TuoiTre", "https://tt", "B", "https://tt/b")],
+                                 "config_id int, source_name string, base_url string, category_name string, category_url string")
+    pages = spark.createDataFrame([("https://tt/b", listing), ("https://tt/n", page)], "url string, html string")
+    row, = extraction.crawl(jobs, pages, extraction.selector_catalogue(spark), "r1").collect()
+    builder = TreeBuilder()
+    builder.feed(page.partition("]]>")[2])
+    for field in extraction.FIELDS:
+        texts = [n.text() for n in select(builder.root, extraction.SELECTORS["TuoiTre"][field])]
+        assert row[f"{field}_raw"] == ((", " if field == "tags" else "\n").join(texts) if texts else "N/A"), field
+    # Unclosed paragraphs and what lies behind an inner <div> are kept.
+    assert row.content_raw == "onetwobold\ntwobold" and row.tags_raw == "x, y"
+
+
 def test_job_summary(spark):
     jobs = spark.createDataFrame([(i, f"s{i}") for i in range(40)], "config_id int, source_name string")
     articles = spark.createDataFrame([(i, f"s{i}") for i in range(40) for _ in range(i % 3)], "config_id int, source_name string")
