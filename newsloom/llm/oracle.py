@@ -160,6 +160,93 @@ _OP10 = f"""
     judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
     SELECT *, NOT base_failed AND NOT n_words - n_removed < 0.3 * n_words AS kept FROM judged"""
 
+def _nearest(books: str) -> str:
+    """Nearest entry of every part, ties to the lower index; d * 64 + e orders by distance, then by entry."""
+    distance = " + ".join(f"(v[{i}] - c[{i}]) * (v[{i}] - c[{i}])" for i in range(1, 5))
+    return f"""SELECT n, p, any_value(v) AS v, min(({distance}) * 64 + e) AS best
+        FROM parts JOIN {books} USING (p) GROUP BY n, p"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    """Entries at the floor of the mean of their parts; unused ones stay."""
+    means = ", ".join(f"floor(sum(v[{i}])::DOUBLE / count(*))::BIGINT" for i in range(1, 5))
+    return f"""SELECT p, e, coalesce(m, c) AS c FROM {books}
+        LEFT JOIN (SELECT p, best % 64 AS e, [{means}] AS m FROM {assigned} GROUP BY p, best % 64) USING (p, e)"""
+
+
+_OP12 = f"""
+    WITH kept AS (
+        SELECT row_number() OVER (ORDER BY vec_id) - 1 AS n, vec_id, label,
+               list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS q
+        FROM embeddings
+        WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS (SELECT n, p, q[p * 4 + 1:p * 4 + 4] AS v FROM kept, (SELECT unnest(range(16)) AS p)),
+    books0 AS (SELECT p, n AS e, v AS c FROM parts WHERE n < 64),
+    near0 AS ({_nearest("books0")}), books1 AS ({_moved("books0", "near0")}),
+    near1 AS ({_nearest("books1")}), books2 AS ({_moved("books1", "near1")}),
+    near2 AS ({_nearest("books2")}),
+    codes AS (
+        SELECT n, string_agg(format('{{:02x}}', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error
+        FROM near2 GROUP BY n)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM books2) AS codebooks_sha256
+    FROM codes JOIN kept USING (n)"""
+
+# On these pages the article is marked, and its blocks are headings and paragraphs.
+_DECODED = "regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')"
+for _name, _char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    _DECODED = f"regexp_replace({_DECODED}, '&{_name};?', '{_char}', 'g')"
+_OP11 = f"""
+    WITH blocks AS (
+        SELECT page_id, url, string_split_regex(
+            regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:h1|p)>') AS bs
+        FROM pages),
+    texts AS (
+        SELECT page_id, url, array_to_string(list_filter(
+            list_transform(bs, lambda b: trim(regexp_replace({_DECODED}, '\\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text
+        FROM blocks)
+    SELECT *, length(text) AS n_chars FROM texts"""
+
+# CRC-32 bit by bit, over the distinct runs of a document.
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT,
+        list_transform(range(0, octet_length(encode(said))), lambda i: ('0x' || substr(hex(encode(said)), i * 2 + 1, 2))::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+_OP13 = f"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents),
+    counted AS (SELECT doc_id || ':' || run AS said, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run),
+    hashed AS (SELECT run, n, {_CRC} AS h FROM counted),
+    slipped AS (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM hashed),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    cuts AS (
+        SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS cut
+        FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON b.word = a.cut
+        UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON b.word = a.cut),
+    best AS (
+        SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n
+        FROM near GROUP BY word),
+    formed AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+               CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    ways AS (
+        SELECT word, word AS root FROM formed
+        UNION ALL SELECT ways.word, form FROM ways JOIN formed ON formed.word = ways.root WHERE form IS NOT NULL)
+    SELECT word, form, root, n, n_near, form_n
+    FROM formed JOIN ways USING (word)
+    WHERE root IN (SELECT word FROM formed WHERE form IS NULL)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": _OP1,
     "op4_url_filter": f"""
@@ -175,4 +262,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_substring_dedup": _OP7,
     "op8_chat_format": _OP8,
     "op10_quality_rules": _OP10,
+    "op11_html_extraction": _OP11,
+    "op12_vector_codes": _OP12,
+    "op13_spelling_variants": _OP13,
 }

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import (
-    chat_format, decontamination, license_scan, minhash_dedup, mixing, quality_rules, secret_scan, substring_dedup,
-    suffix_dedup, url_filter,
+    ball_codes, chat_format, decontamination, html_extraction, license_scan, minhash_dedup, mixing, quality_rules, secret_scan,
+    spelling, substring_dedup, suffix_dedup, url_filter,
 )
 from newsloom.llm.texts import shown_id
 from newsloom.session import materialize, spread
@@ -111,6 +111,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_removed")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract(_texts(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    coded, books = ball_codes.encode(_texts(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return ball_codes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"), ball_codes.code_text().alias("code"), "error", "label_error",
+        F.lit(ball_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its form and root."""
+    return spelling.group_variants(_texts(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -122,4 +140,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_rules": op10_quality_rules,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
