@@ -1,16 +1,15 @@
-"""HTML to text, and element texts by pattern, as Column expressions."""
+"""HTML to text as Column expressions."""
 
 from __future__ import annotations
 
 import html as html_std
 import json
-import re
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import clean_plain_text, trim_spaces
+from newsloom.functions.text import clean_plain_text
 from newsloom.schemas import NOT_FOUND
 
 # Player texts that are cut out before parsing, in this order.
@@ -30,7 +29,7 @@ RAW_TEXT_ELEMENTS = ["script", "style"]
 _COMMENT = r"!--.*?(?:-->|\z)"
 _DECLARATION = r"[!?][^>]*>"
 # A tag whose quoted attributes may hold `>`; or, for broken quoting, anything up to the next `>`.
-_TAG = r"""/?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|/?[a-z][^>]*>"""
+TAG = r"""/?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|/?[a-z][^>]*>"""
 
 
 def _element(names: list[str], group: int, or_end: bool) -> str:
@@ -40,15 +39,11 @@ def _element(names: list[str], group: int, or_end: bool) -> str:
 
 # Whatever is not text, tried at each `<` in the order that a tokenizer would: what lies
 # inside a script is not a comment or a tag.
-RAW_TEXT = f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}|{_TAG})"
 MARKUP = (
     f"(?is)<(?:{_COMMENT}|{_DECLARATION}|{_element(RAW_TEXT_ELEMENTS, 1, True)}"
-    f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS + VOID_ELEMENTS], 2, False)}|{_TAG})"
+    f"|{_element([e for e in DROPPED_ELEMENTS if e not in RAW_TEXT_ELEMENTS + VOID_ELEMENTS], 2, False)}|{TAG})"
 )
 
-# What is not part of the element tree.
-HIDDEN = f"(?is)<(?:{_COMMENT}|{_element(RAW_TEXT_ELEMENTS, 1, True)})"
-
 # What may follow an ampersand, at the start of a piece.
 REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)"
 
@@ -127,73 +122,5 @@ def clean_content(c: Column, fix_quotes: bool = False) -> Column:
     return clean_plain_text(html_to_text(drop_player_texts(c)), fix_quotes)
 
 
-# --- elements by selector ------------------------------------------------------------------
-
-_STEP = re.compile(r"^(?P<tag>[A-Za-z][A-Za-z0-9]*)?(?:\.(?P<cls>[\w\-]+))?$")
-
-
-def selector_patterns(selector: str, attribute: str | None = None, whole: bool = False) -> list[str]:
-    """Patterns for the `tag.class` steps of a selector, from the outer element to the inner.
-
-    Group 1 of each is what the element holds; of the last it is the value of
-    `attribute` if one is named, still in its quotes (see `attribute_values`), or
-    the `whole` element with its own tags. Meant for elements that do not contain one of their own kind;
-    `operators.nested_pages` follows those that do.
-    """
-    steps = selector.split()
-    patterns = []
-    for i, step in enumerate(steps):
-        found = _STEP.match(step)
-        if not found or not found["tag"]:
-            raise ValueError(f"selector step not supported: {step!r}")
-        tag, cls = found["tag"], found["cls"]
-        of_class = rf"""(?=[^>]*\sclass\s*=\s*["']?(?:[^"'>]*\s)?{re.escape(cls)}[\s"'>])""" if cls else ""
-        if attribute and i == len(steps) - 1:
-            patterns.append(
-                rf"""(?is)<{tag}\b{of_class}[^>]*?\s{attribute}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
-        elif whole and i == len(steps) - 1:
-            patterns.append(rf"(?is)(<{tag}\b{of_class}[^>]*>.*?</{tag}\s*>)")
-        else:
-            patterns.append(rf"(?is)<{tag}\b{of_class}[^>]*>(.*?)</{tag}\s*>")
-    return patterns
-
-
-def visible_markup(html: Column) -> Column:
-    """A page without comments and scripts, where something may look like an element."""
-    return F.regexp_replace(html, HIDDEN, " ")
-
-
-def attribute_values(raw: Column) -> Column:
-    """Attribute values out of their quotes, entities decoded."""
-    def value(text: Column) -> Column:
-        quoted = F.left(text, F.lit(1)).isin('"', "'")
-        return decode_entities(F.when(quoted, F.substr(text, F.lit(2), F.length(text) - 2)).otherwise(text))
-
-    return F.transform(raw, lambda text: value(text))
-
-
-def inner_matches(html: Column, patterns: Column) -> Column:
-    """Apply an array of patterns one inside the other; all matches of the last."""
-    return F.aggregate(
-        patterns,
-        F.array(html),
-        lambda found, pattern: F.flatten(
-            F.transform(found, lambda part: F.regexp_extract_all(part, pattern, F.lit(1)))
-        ),
-    )
-
-
-def element_text(inner: Column, trim_pieces: bool = True) -> Column:
-    """Text of one element: its text pieces, trimmed or as they are, put together without a separator."""
-    if not trim_pieces:
-        return decode_entities(F.regexp_replace(inner, RAW_TEXT, ""))
-    pieces = F.split(F.regexp_replace(inner, RAW_TEXT, "\u0000"), "\u0000", -1)
-    return F.array_join(F.transform(pieces, lambda p: trim_spaces(decode_entities(p))), "")
-
-
-def element_texts(html: Column, patterns: Column) -> Column:
-    return F.transform(inner_matches(html, patterns), lambda inner: element_text(inner))
-
-
 def joined_or_default(texts: Column, separator: str = "\n", default: str = NOT_FOUND) -> Column:
     return F.when(F.size(texts) > 0, F.array_join(texts, separator)).otherwise(F.lit(default))

@@ -15,6 +15,7 @@ NOTHING_FOUND = "No article found"
 NO_JOBS = "There are no jobs to run (Check Active=1)"
 # End of fixed values.
 NO_START_PAGE = "Start page not found"
+PAGES_FAILED = "pages failed"
 
 
 def crawl_jobs(config: DataFrame, categories: DataFrame) -> DataFrame:
@@ -50,13 +51,16 @@ def with_reached(jobs: DataFrame, pages: DataFrame) -> DataFrame:
 def job_summary(jobs: DataFrame, articles: DataFrame, job_key: Sequence[str]) -> DataFrame:
     """Rows per job and the running total in job order; jobs without articles are kept with 0.
 
-    `job_key` names a job and gives the order. A job whose column `reached`, if there, is false has failed. Articles are counted before they
+    `job_key` names a job and gives the order. A job whose column `reached`, if there, is false has failed. Articles with an
+    `error`, if there is such a column, do not count; the note tells their number. Articles are counted before they
     meet the jobs, so a job with very many articles adds one row per task.
     """
-    counts = articles.groupBy(*job_key).agg(F.count("*").alias("extracted"))
+    error = F.col("error") if "error" in articles.columns else F.lit(None)
+    counts = articles.groupBy(*job_key).agg(
+        F.count_if(error.isNull()).alias("extracted"), F.count_if(error.isNotNull()).alias("failed"))
     reached = F.col("reached") if "reached" in jobs.columns else F.lit(True)
     per_job = jobs.select(*job_key, reached.alias("reached")).join(counts, list(job_key), "left").select(
-        *job_key, "reached", F.coalesce("extracted", F.lit(0)).alias("extracted"))
+        *job_key, "reached", F.coalesce("extracted", F.lit(0)).alias("extracted"), F.coalesce("failed", F.lit(0)).alias("failed"))
     total = running_total(per_job, job_key, "extracted", "so_far")
     empty = F.col("extracted") == 0
     return total.select(
@@ -64,5 +68,7 @@ def job_summary(jobs: DataFrame, articles: DataFrame, job_key: Sequence[str]) ->
         F.when(F.col("reached"), "SUCCESS").otherwise("FAILED").alias("status"),
         "extracted",
         F.when(empty, F.lit(0)).otherwise(F.col("so_far")).cast("bigint").alias("loaded"),
-        F.when(~F.col("reached"), NO_START_PAGE).when(empty, NOTHING_FOUND).alias("note"),
+        F.nullif(F.concat_ws(
+            "; ", F.when(~F.col("reached"), NO_START_PAGE).when(empty, NOTHING_FOUND),
+            F.when(F.col("failed") > 0, F.concat("failed", F.lit(f" {PAGES_FAILED}")))), F.lit("")).alias("note"),
     )

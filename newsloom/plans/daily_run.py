@@ -116,11 +116,12 @@ class DailyRun:
         day = day if day is not None else F.date_format(F.current_date(), DAY_FILE_FORMAT)
 
         def step(run_id: str) -> tuple[int, int]:
-            articles = materialize(extraction.crawl(usable, pages, self.catalogue, run_id), "articles")
+            outcomes = materialize(extraction.crawl_outcomes(usable, pages, self.catalogue, run_id), "articles")
+            articles = outcomes.filter("error IS NULL")
             csv_files.write_daily_articles(
                 articles.withColumn("scraped_at", F.col("scraped_at").cast("string")), self.article_days, day)
-            named = articles.select("config_id", F.col("source_name_raw").alias("source_name"),
-                                    F.col("category_raw").alias("category_name"))
+            named = outcomes.select("config_id", F.col("source_name_raw").alias("source_name"),
+                                    F.col("category_raw").alias("category_name"), "error")
             self.log.append_jobs(crawl_jobs.job_summary(
                 crawl_jobs.with_reached(usable, pages), named, ["config_id", "source_name", "category_name"]), run_id)
             n = articles.count()

@@ -70,20 +70,57 @@ def _html_text(expr: str) -> str:
     return _entities(_untag(expr))
 
 
-def _element_text(expr: str) -> str:
-    pieces = f"string_split({_untag(_sub(expr, '<!--.*?-->', ' ', 'gs'), chr(1))}, '{chr(1)}')"
-    trimmed = _sub(_entities("p"), f"^[{_WS}]+|[{_WS}]+$", "")
-    return f"array_to_string(list_transform({pieces}, lambda p: {trimmed}), '')"
-
-
 def _inside(expr: str, tag: str, cls: str = "") -> str:
     of_class = f' class="{cls}"' if cls else r"\b[^>]*"
     return f"regexp_extract_all({expr}, '<{tag}{of_class}>(.*?)</{tag}\\s*>', 1, 'si')"
 
 
-def _field(matches: str, separator: str = "chr(10)") -> str:
-    return (f"(SELECT CASE WHEN len(m) > 0 THEN array_to_string(list_transform(m, lambda e: {_element_text('e')}), "
-            f"{separator}) ELSE 'N/A' END FROM (SELECT {matches} AS m))")
+def _fields(html: str) -> str:
+    """Article fields by the depth of tags: an element ends at its own end tag, or where one around it ends."""
+    trimmed = _sub(_entities("tok"), f"^[{_WS}]+|[{_WS}]+$", "")
+    tree = _sub(html, r"<!--.*?(?:-->|\z)|<script\b.*?</script>|<style\b.*?</style>", "<!x>", "gs")
+    own = {"published_at": "name = 'footer'", "summary": "name = 'div' AND list_contains(cls, 'ad')",
+           "author": "name = 'span' AND list_contains(cls, 'author')"}
+    nested = {"title": ("article", "h1"), "content": ("article", "p"), "tags": ("nav", "a")}
+    elements = " UNION ALL ".join(
+        [f"SELECT page_id, '{f}' AS field, start, stop FROM spans WHERE {fits}" for f, fits in own.items()]
+        + [f"""SELECT DISTINCT i.page_id, '{f}', i.start, i.stop FROM spans i JOIN spans o USING (page_id)
+               WHERE o.name = '{outer}' AND i.name = '{inner}' AND i.start > o.start AND i.start < o.stop"""
+           for f, (outer, inner) in nested.items()])
+    columns = ", ".join(f"coalesce(max(text) FILTER (field = '{f}'), 'N/A') AS {f}_raw" for f in [*own, *nested])
+    return f"""
+        WITH texts AS (SELECT page_id, url, {html} AS html FROM pages WHERE html IS NOT NULL),
+        listed AS (SELECT page_id, regexp_extract_all({tree.replace(html, 'html', 1)}, '<[^>]*>|[^<]+') AS toks FROM texts),
+        tokens AS (SELECT page_id, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM listed),
+        tags AS (
+            SELECT *, sum(step) OVER (PARTITION BY page_id, name ORDER BY pos) AS depth
+            FROM (SELECT page_id, pos, lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS name,
+                         CASE WHEN tok LIKE '</%' THEN -1 ELSE 1 END AS step,
+                         string_split(regexp_extract(tok, '(?i)\\sclass=["'']([^"'']*)', 1), ' ') AS cls
+                  FROM tokens WHERE tok LIKE '<%')
+            WHERE name NOT IN ('', 'br', 'meta')),
+        closed AS (
+            SELECT s.page_id, s.name, any_value(s.cls) AS cls, s.pos AS start, coalesce(min(e.pos), 1000000000) AS stop
+            FROM tags s LEFT JOIN tags e
+              ON e.page_id = s.page_id AND e.name = s.name AND e.step = -1 AND e.depth = s.depth - 1 AND e.pos > s.pos
+            WHERE s.step = 1 GROUP BY s.page_id, s.name, s.pos),
+        spans AS (
+            SELECT i.page_id, i.name, any_value(i.cls) AS cls, i.start, least(i.stop, coalesce(min(o.stop), 1000000000)) AS stop
+            FROM closed i LEFT JOIN closed o ON o.page_id = i.page_id AND o.start < i.start AND i.start < o.stop
+            GROUP BY i.page_id, i.name, i.start, i.stop),
+        elements AS ({elements}),
+        said AS (
+            SELECT e.page_id, field, start, coalesce(string_agg({trimmed}, '' ORDER BY pos), '') AS text
+            FROM elements e LEFT JOIN tokens t
+              ON t.page_id = e.page_id AND t.pos > e.start AND t.pos < e.stop AND t.tok NOT LIKE '<%'
+            GROUP BY e.page_id, field, start),
+        joined AS (
+            SELECT page_id, field, CASE WHEN field = 'tags' THEN string_agg(text, ', ' ORDER BY start)
+                                        ELSE string_agg(text, chr(10) ORDER BY start) END AS text
+            FROM said GROUP BY page_id, field)
+        SELECT any_value(url) AS article_url, any_value({_SITE}) AS source_name_raw, any_value({_ROOT}) AS category_raw,
+               {columns}, '2024-01-01 06:00:00' AS scraped_at, 'run-1' AS run_id
+        FROM texts LEFT JOIN joined USING (page_id) GROUP BY page_id"""
 
 
 def _crc32(expr: str) -> str:
@@ -186,6 +223,9 @@ FROM (SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(ma
 
 _NUMBERED = "SELECT {name}, row_number() OVER (ORDER BY {name}) AS {key} FROM (SELECT DISTINCT {of} AS {name} FROM {table})"
 
+_PUT_IN = """'<div class="x ad"><div>in ' || page_id || '</div>on<br><DIV CLASS=''ad''>more<span class="author">A &amp; B</div></div>'
+    || '<nav><a href="x">t<a>u</nav><footer>'"""
+
 ORACLE_SQL = {
     "agg_mart_monthly": _COUNTS,
     "top_trends": f"""
@@ -217,15 +257,8 @@ ORACLE_SQL = {
                CASE form WHEN 0 THEN url WHEN 1 THEN regexp_replace(url, '^[a-z]+:', 'https:')
                     ELSE {_ROOT} || '/' || regexp_replace(url, '^[a-z]+://[^/]*/', '') END AS article_url
         FROM pages, range(4) AS forms(form)""",
-    "extract_fields": f"""
-        SELECT url AS article_url, {_SITE} AS source_name_raw, {_ROOT} AS category_raw, 'N/A' AS author_raw,
-               {_field(_inside('html', 'footer'))} AS published_at_raw,
-               {_field(_inside(_inside('html', 'article') + '[1]', 'h1'))} AS title_raw,
-               {_field(_inside('html', 'div', 'ad'))} AS summary_raw,
-               {_field(_inside(_inside('html', 'article') + '[1]', 'p'))} AS content_raw,
-               {_field(_inside(_inside('html', 'nav') + '[1]', 'a'), "', '")} AS tags_raw,
-               '2024-01-01 06:00:00' AS scraped_at, 'run-1' AS run_id
-        FROM pages WHERE html IS NOT NULL""",
+    "extract_fields": _fields("html"),
+    "extract_fields_nested": _fields(f"replace(html, '<footer>', {_PUT_IN})"),
     "home_page_items": f"""
         SELECT page_id, CAST(item_pos AS INTEGER) AS item_pos,
                regexp_extract(item, 'href="([^"]*)"', 1) AS article_url,
@@ -376,18 +409,21 @@ _CRAWL = f"""
         SELECT DISTINCT page_id // 50 AS config_id, ['com', 'net', 'org'][page_id // 50 % 3 + 1] AS source_name
         FROM pages WHERE page_id // 50 % 4 <> 3),
     links AS (
-        SELECT page_id // 50 AS config_id, url, unnest(CASE WHEN page_id % 7 = 0 THEN [1, 2] ELSE [1] END) AS copy
+        SELECT page_id, page_id // 50 AS config_id, url, unnest(CASE WHEN page_id % 7 = 0 THEN [1, 2] ELSE [1] END) AS copy
         FROM pages),
     crawled AS (
-        SELECT fields.* REPLACE (source_name AS source_name_raw, 'all' AS category_raw), config_id
+        SELECT fields.* REPLACE (source_name AS source_name_raw, 'all' AS category_raw), config_id, page_id
         FROM links JOIN jobs USING (config_id) JOIN fields ON article_url = url WHERE config_id % 5 <> 4)"""
 ORACLE_SQL |= {
-    "crawl_articles": f"{_CRAWL} SELECT * FROM crawled",
+    "crawl_articles": f"{_CRAWL} SELECT * EXCLUDE (page_id) FROM crawled",
     "crawl_job_outcomes": f"""{_CRAWL}
         SELECT config_id, source_name, 'all' AS category_name,
                CASE WHEN config_id % 5 = 4 THEN 'FAILED' ELSE 'SUCCESS' END AS status, n AS extracted,
                CASE WHEN n = 0 THEN 0 ELSE CAST(sum(n) OVER (ORDER BY config_id) AS BIGINT) END AS loaded,
-               CASE WHEN config_id % 5 = 4 THEN 'Start page not found' WHEN n = 0 THEN 'No article found' END AS note
-        FROM (SELECT config_id, source_name, count(article_url) AS n FROM jobs LEFT JOIN crawled USING (config_id)
+               nullif(concat_ws('; ', CASE WHEN config_id % 5 = 4 THEN 'Start page not found' WHEN n = 0 THEN 'No article found' END,
+                                CASE WHEN failed > 0 THEN failed || ' pages failed' END), '') AS note
+        FROM (SELECT config_id, source_name, count(article_url) FILTER (page_id % 9 <> 0 AND page_id % 11 <> 0) AS n,
+                     count(article_url) FILTER (page_id % 9 = 0 OR page_id % 11 = 0) AS failed
+              FROM jobs LEFT JOIN crawled USING (config_id)
               GROUP BY config_id, source_name)""",
 }

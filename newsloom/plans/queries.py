@@ -13,10 +13,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions import dates, html, nulls, tags, text, urls
+from newsloom.functions import dates, elements, html, nulls, tags, text, urls
 from newsloom.operators import (
-    crawl_jobs, date_dim, delta, dimensions, extraction, mart, nested_pages, runlog, staging,
-    tag_bridge, warehouse,
+    crawl_jobs, date_dim, delta, dimensions, extraction, mart, runlog, staging, tag_bridge, warehouse,
 )
 from newsloom.operators.lookup import lookup
 from newsloom.schemas import (
@@ -259,17 +258,23 @@ def normalize_url_variants(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def extract_fields(spark: SparkSession, d: str) -> DataFrame:
-    """Article records by patterns."""
-    pages = _site_pages(spark, d).withColumnsRenamed({"url": "article_url", "base_url": "category_name"})
+def _article_fields(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """What the daily job reads from article pages."""
+    named = pages.withColumnsRenamed({"url": "article_url", "base_url": "category_name"})
     catalogue = extraction.selector_catalogue(spark, SITE_SELECTORS)
-    return extraction.article_records(pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00")).select(*ARTICLE_CSV)
+    return extraction.article_records(named, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00")).select(*ARTICLE_CSV)
+
+
+def extract_fields(spark: SparkSession, d: str) -> DataFrame:
+    return _article_fields(spark, _site_pages(spark, d))
 
 
 def extract_fields_nested(spark: SparkSession, d: str) -> DataFrame:
-    """Article records by the open elements at each tag, so unclosed and nested ones are followed."""
-    pages = _site_pages(spark, d).withColumnsRenamed({"url": "article_url", "base_url": "category_name"})
-    return nested_pages.article_records(pages, SITE_SELECTORS, RUN_ID, F.lit("2024-01-01 06:00:00")).select(*ARTICLE_CSV)
+    """The same from pages that hold elements in others of their kind and elements without an end tag."""
+    put_in = F.concat(F.lit('<div class="x ad"><div>in '), "page_id", F.lit(
+        '</div>on<br><DIV CLASS=\'ad\'>more<span class="author">A &amp; B</div></div><nav><a href="x">t<a>u</nav><footer>'))
+    pages = _site_pages(spark, d)
+    return _article_fields(spark, pages.withColumn("html", F.replace("html", F.lit("<footer>"), put_in)))
 
 
 def home_page_items(spark: SparkSession, d: str) -> DataFrame:
@@ -281,8 +286,7 @@ def home_page_items(spark: SparkSession, d: str) -> DataFrame:
 
 def first_links_per_page(spark: SparkSession, d: str) -> DataFrame:
     """The first five links of each page, and then those of them that do not end in a comma."""
-    patterns = F.array(*[F.lit(p) for p in html.selector_patterns("a", "href")])
-    links = html.attribute_values(html.inner_matches(html.visible_markup(F.col("html")), patterns))
+    links = extraction.hrefs(F.col("html"), elements.path_column("a"))
     return (
         _texts(spark, d, "pages")
         .select("page_id", F.posexplode(F.slice(links, 1, 5)).alias("pos", "href"))
@@ -357,21 +361,26 @@ def _crawl_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return jobs, there.unionByName(pages.select("url", "html"))
 
 
-def _crawled(spark: SparkSession, jobs: DataFrame, pages: DataFrame, by_patterns: bool = False) -> DataFrame:
+def _crawled(spark: SparkSession, jobs: DataFrame, pages: DataFrame) -> DataFrame:
     catalogue = extraction.selector_catalogue(spark, SITE_SELECTORS)
-    return extraction.crawl(jobs, pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00"), by_patterns)
+    return extraction.crawl_outcomes(jobs, pages, catalogue, RUN_ID, F.lit("2024-01-01 06:00:00"))
 
 
 def crawl_articles(spark: SparkSession, d: str) -> DataFrame:
-    """Article rows of all jobs, by patterns, as its SQL has them."""
-    return _crawled(spark, *_crawl_tables(spark, d), by_patterns=True)
+    """Article rows of all jobs; every tenth page is stored twice, and counts once."""
+    jobs, pages = _crawl_tables(spark, d)
+    again = _table(spark, d, "pages").filter("page_id % 10 = 0").select("url", "html")
+    return _crawled(spark, jobs, pages.unionByName(again)).filter("error IS NULL").drop("error")
 
 
 def crawl_job_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    """How each job of the crawl ended."""
+    """How each job of the crawl ended; every ninth page cannot be read, and every eleventh was not fetched."""
     jobs, pages = _crawl_tables(spark, d)
+    number = F.regexp_extract("html", r"track\(([0-9]+)\)", 1).try_cast("int")
+    pages = pages.withColumn("html", F.when(number % 11 == 0, None).when(
+        number % 9 == 0, F.concat("html", F.lit("\u0000"))).otherwise(F.col("html")))
     articles = _crawled(spark, jobs, pages).select(
-        "config_id", F.col("source_name_raw").alias("source_name"), F.col("category_raw").alias("category_name"))
+        "config_id", F.col("source_name_raw").alias("source_name"), F.col("category_raw").alias("category_name"), "error")
     return crawl_jobs.job_summary(crawl_jobs.with_reached(jobs, pages), articles,
                                   ["config_id", "source_name", "category_name"])
 

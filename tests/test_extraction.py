@@ -2,7 +2,7 @@ from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
-from newsloom.operators import crawl_jobs, extraction, nested_pages
+from newsloom.operators import crawl_jobs, extraction
 
 LISTING = """<h3 class="title-news"><a href="/a1">One</a></h3><h3 class="title-news"><a href="">none</a></h3>
 <h3 class="title-news"><a href="https://vn/a2">Two</a></h3><h3 class="title-news"><a href="/a1">One</a></h3>
@@ -42,9 +42,12 @@ def test_crawl(spark):
     config, categories, pages = tables(spark)
     catalogue = extraction.selector_catalogue(spark)
     jobs = crawl_jobs.jobs_with_selectors(crawl_jobs.crawl_jobs(config, categories), catalogue.select("source_name"))
-    rows = extraction.crawl(jobs, pages, catalogue, "r1").orderBy("article_url").collect()
+    # A page stored twice counts once.
+    outcomes = extraction.crawl_outcomes(jobs, pages.unionByName(pages), catalogue, "r1").orderBy("article_url").collect()
+    rows = [r for r in outcomes if r.error is None]
     # The repeated link gives a second row, the page without content none.
     assert [r.article_url for r in rows] == ["https://vn/a1", "https://vn/a1", "https://vn/a2"]
+    assert [(r.article_url, r.error, r.title_raw) for r in outcomes if r.error] == [("https://vn/gone", "Page not fetched", None)]
     first, last = rows[0], rows[-1]
     assert (first.title_raw, first.summary_raw, first.content_raw, first.author_raw, first.tags_raw) == (
         "First", "Sum & up", "Onetwo\nWriter", "Writer", "xe, nhà")
@@ -52,6 +55,27 @@ def test_crawl(spark):
     assert {last[f"{f}_raw"] for f in extraction.FIELDS} == {"N/A"}
 
 
+def test_a_bad_page_costs_its_record_only(spark):
+    jobs = spark.createDataFrame([(1, "VnExpress", "https://vn", "B", "https://vn/b")],
+                                 "config_id int, source_name string, base_url string, category_name string, category_url string")
+    listing = "".join(f'<h3 class="title-news"><a href="/{i}">x</a></h3>' for i in range(4))
+    good = '<h1 class="title-detail">T</h1>'
+    pages = spark.createDataFrame([("https://vn/b", listing), ("https://vn/0", good), ("https://vn/1", good + "\0"),
+                                   ("https://vn/2", None)], "url string, html string")
+    outcomes = extraction.crawl_outcomes(jobs, pages, extraction.selector_catalogue(spark), "r1")
+    assert {(r.article_url[-1], r.title_raw, r.error) for r in outcomes.collect()} == {
+        ("0", "T", None), ("1", None, "Page is not text"), ("2", None, "Page not fetched"), ("3", None, "Page not fetched")}
+    named = outcomes.select("config_id", F.col("source_name_raw").alias("source_name"), "error")
+    row, = crawl_jobs.job_summary(jobs.select("config_id", "source_name"), named, ["config_id", "source_name"]).collect()
+    assert (row.status, row.extracted, row.note) == ("SUCCESS", 1, "3 pages failed")
+
+
+def test_the_last_version_of_a_page_counts(spark):
+    pages = spark.createDataFrame([("u", "old", 1), ("u", "new", 3), ("u", None, 4), ("v", None, 1)],
+                                  "url string, html string, crawled_at int")
+    assert sorted(map(tuple, extraction.last_versions(pages).collect())) == [("u", "new"), ("v", None)]
+
+
 def test_crawl_of_nested_pages(spark):
     page = """<![odd[ x ]]><h1 class="article-title">T</h1><div class="detail-content"><div>in</div><p>one<p>two <b>bold</b></div>
     <div class="detail-tab"><div><a>x</a></div><a>y</a></div><p>out</p>"""
@@ -151,8 +175,9 @@ def test_nested_pages_like_a_tree(spark):
     <nav><a>1</a><a>2 <script>no()</script>3</a></nav>"""
     extra = spark.createDataFrame([(0, "n", nested, "b", "com"), (0, "none", None, "b", "com"), (0, "other", "<p>", "b", "xyz")],
                                   "page_id long, article_url string, html string, category_name string, source_name string")
-    got = {r.article_url: r for r in nested_pages.article_records(
-        pages.select(extra.columns).unionByName(extra), SITE_SELECTORS, "r").collect()}
+    catalogue = extraction.selector_catalogue(spark, SITE_SELECTORS)
+    got = {r.article_url: r for r in extraction.article_records(
+        pages.select(extra.columns).unionByName(extra), catalogue, "r").collect()}
     wanted = [r for r in pages.select(extra.columns).collect()] + [r for r in extra.collect() if r.article_url == "n"]
     assert len(got) == len(wanted)
     for page in wanted:
