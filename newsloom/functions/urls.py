@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.schemas import ARTICLE_ID
+
 
 def normalize_url(url: Column, base_url: Column) -> Column:
     """Absolute form of a link found on a page of the site `base_url`."""
@@ -21,10 +23,21 @@ def site_root(url: Column) -> Column:
 
 
 def article_key(url: Column) -> Column:
-    """Unsigned CRC-32 of the UTF-8 address. Not unique: keep the address next to it."""
+    """Unsigned CRC-32 of the UTF-8 address. Not unique: `address_mark` goes with it."""
     return F.crc32(url)
 
 
+def address_mark(url: Column) -> Column:
+    """60 bits of the address's MD5, which tell addresses of one CRC apart."""
+    return F.conv(F.left(F.md5(url), F.lit(15)), 16, 10).cast("bigint")
+
+
+def with_article_id(rows: DataFrame) -> DataFrame:
+    """Add the columns of `ARTICLE_ID` that are not there, by `article_url`."""
+    makers = {"article_key": article_key, "address_mark": address_mark}
+    return rows.withColumns({c: makers[c](F.col("article_url")) for c in ARTICLE_ID if c not in rows.columns})
+
+
 def row_mark(*columns: str) -> Column:
     """Digest of a row's columns, NULLs told apart from blanks, to see whether a row has changed."""
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)

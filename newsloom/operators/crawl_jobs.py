@@ -15,7 +15,7 @@ NOTHING_FOUND = "No article found"
 NO_JOBS = "There are no jobs to run (Check Active=1)"
 # End of fixed values.
 NO_START_PAGE = "Start page not found"
-PAGES_FAILED = "pages failed"
+PAGES_FAILED = "Pages failed:"
 
 
 def crawl_jobs(config: DataFrame, categories: DataFrame) -> DataFrame:
@@ -70,5 +70,5 @@ def job_summary(jobs: DataFrame, articles: DataFrame, job_key: Sequence[str]) ->
         F.when(empty, F.lit(0)).otherwise(F.col("so_far")).cast("bigint").alias("loaded"),
         F.nullif(F.concat_ws(
             "; ", F.when(~F.col("reached"), NO_START_PAGE).when(empty, NOTHING_FOUND),
-            F.when(F.col("failed") > 0, F.concat("failed", F.lit(f" {PAGES_FAILED}")))), F.lit("")).alias("note"),
+            F.when(F.col("failed") > 0, F.concat(F.lit(f"{PAGES_FAILED} "), "failed"))), F.lit("")).alias("note"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from newsloom.functions.nulls import null_tokens
 from newsloom.functions.urls import row_mark
-from newsloom.operators.lookup import with_keys
+from newsloom.operators.lookup import KEY_SET_BYTES, measured_bytes, with_keys
+from newsloom.operators.ordering import arrival_ids
 from newsloom.session import materialize
 
 # What makes an article row differ; crawl time and run id do not.
@@ -56,15 +57,36 @@ def find_changes(incoming: DataFrame, known: DataFrame, key: Sequence[str], mark
     )
 
 
-def newest_articles(rows: DataFrame) -> DataFrame:
-    """The latest row of each address, with its mark in `row_mark`."""
-    marked = rows.withColumn("row_mark", article_mark(rows))
-    return latest_per_key(marked, ["article_url"], [F.col("scraped_at").desc_nulls_last(), F.col("row_mark")])
+def _newest_places(rows: DataFrame) -> DataFrame:
+    """`article_url`, `row_mark`, `_id` of the latest row of each address; rows equal in time and mark go by place."""
+    narrow = rows.select("article_url", "scraped_at", article_mark(rows).alias("row_mark"), "_id")
+    newest = latest_per_key(narrow, ["article_url"], [F.col("scraped_at").desc_nulls_last(), F.col("row_mark"), F.col("_id")])
+    return newest.drop("scraped_at")
+
+
+def _fetched(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The whole rows at written `places` with the columns these add: while the places fit a broadcast, rows are only scanned."""
+    wanted = places.drop("article_url")
+    if measured_bytes(wanted) <= KEY_SET_BYTES:
+        return rows.join(F.broadcast(wanted), "_id").drop("_id")
+    return rows.join(wanted.hint("shuffle_hash"), "_id").drop("_id")
+
+
+def newest_articles(table: DataFrame, typed: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """The latest row of each address in a file table whose columns `typed` gives their types, with its mark in `row_mark`.
+
+    Rows are chosen by address, time, mark and place alone; texts are read for the chosen ones.
+    """
+    rows = typed(arrival_ids(table, "_id"))
+    return _fetched(rows, materialize(_newest_places(rows), "newest"))
 
 
 def staging_delta(transformed: DataFrame, known: DataFrame) -> DataFrame:
-    """The delta of one load: latest row per address, kept if new or changed.
+    """The delta of one load, a file table: latest row per address, kept if new or changed.
 
-    `known` holds `article_url` and `row_mark` of the articles in the warehouse.
+    `known` holds `article_url` and `row_mark` of the articles in the warehouse. What is new or changed is found by
+    address, mark and place of the rows; texts are read for those rows only, and not sorted.
     """
-    return find_changes(materialize(newest_articles(transformed), "newest"), known, ["article_url"], "row_mark")
+    rows = arrival_ids(transformed, "_id")
+    newest = materialize(_newest_places(rows), "newest")
+    return _fetched(rows, materialize(find_changes(newest, known, ["article_url"], "row_mark"), "changed"))

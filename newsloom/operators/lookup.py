@@ -55,12 +55,12 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
 
 
 def with_keys(table: DataFrame, keys: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows of a large table whose key is in `keys` (or is not, by `left_anti`).
+    """Rows of a large table whose key is in `keys` (or is not, by `left_anti`; by `left`, all rows and what `keys` adds).
 
     While the measured keys fit, they are broadcast and the table is only
     scanned. `keys` should be written rows, as measuring reads them once more.
     """
-    wanted = keys.select(*key)
+    wanted = keys if how == "left" else keys.select(*key)
     if measured_bytes(wanted) <= KEY_SET_BYTES:
         wanted = F.broadcast(wanted)
     return table.join(wanted, list(key), how)

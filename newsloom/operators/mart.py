@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.schemas import ARTICLE_ID, MONTH
 from newsloom.sources.csv_files import read_mart_file
-from newsloom.sources.tables import publish
+from newsloom.sources.publication import publish
+from newsloom.sources.tables import in_places
 
 
 def monthly_counts(fact: DataFrame, bridge: DataFrame, category: str = "category_key",
@@ -20,16 +22,22 @@ def monthly_counts(fact: DataFrame, bridge: DataFrame, category: str = "category
     first, so that the join moves one row per article and its output needs no
     further distinct.
     """
-    tags = bridge.groupBy("article_key").agg(F.collect_set(tag).alias("_tags"))
+    tags = bridge.groupBy(*ARTICLE_ID).agg(F.collect_set(tag).alias("_tags"))
     return (
-        fact.select("article_key", "article_year", "article_month", category, source)
-        .join(tags, "article_key")
+        fact.select(*ARTICLE_ID, "article_year", "article_month", category, source)
+        .join(tags, ARTICLE_ID)
         .select("article_year", "article_month", category, F.explode("_tags").alias(tag), source)
         .groupBy("article_year", "article_month", category, tag, source)
         .agg(F.count("*").alias("total_articles"))
     )
 
 
+def recounted(fact: DataFrame, bridge: DataFrame, months: Sequence[tuple[int | None, int | None]]) -> DataFrame:
+    """Monthly counts of some months only, for tables partitioned by month: the others are not read."""
+    names = [f.name for f in MONTH.fields]
+    return monthly_counts(fact.filter(in_places(names, months)), bridge.filter(in_places(names, months)))
+
+
 def top_trends(counts: DataFrame, k: int, tag: str = "tag_key") -> DataFrame:
     """The `k` tags with the most articles in each month; ties go by tag."""
     month = ["article_year", "article_month"]
@@ -39,6 +47,5 @@ def top_trends(counts: DataFrame, k: int, tag: str = "tag_key") -> DataFrame:
 
 
 def load_mart(spark: SparkSession, paths: Mapping[str, str], database: str) -> dict[str, int]:
-    """Load one file per mart table and swap all tables in; a missing file stops it before any write."""
-    frames = {f"{database}.{table}": read_mart_file(spark, path) for table, path in paths.items()}
-    return publish(spark, frames)
+    """Load one file per mart table and publish all as one; a missing file stops it before any write."""
+    return publish(spark, database, {table: read_mart_file(spark, path) for table, path in paths.items()})

@@ -1,6 +1,9 @@
 """Row numbers and running totals over a whole table, without one task seeing it all.
 
-Rows are range-partitioned and sorted, written once, and then shifted by the
+Rows of a file table are numbered as they lie in its files (`arrival_ids`): a row's number is its place in the file, plus the rows
+of all files before, so the rows are not moved, sorted or copied. For another order
+
+rows are range-partitioned and sorted, written once, and then shifted by the
 total of the partitions before theirs. Only that list of totals, one entry per
 partition, is summed up in a single task and broadcast.
 """
@@ -12,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.lookup import KEY_SET_BYTES, lookup
 from newsloom.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
@@ -41,6 +45,20 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, first: int | Col
     )
 
 
+def arrival_ids(table: DataFrame, name: str, first: int = 1) -> DataFrame:
+    """Add dense numbers to the rows of a scan of parquet files, by file path and place in the file.
+
+    The same files give the same numbers, in every scan and however they are split between tasks. Only one row per file is
+    summed up in a single task; within a measured bound these are broadcast.
+    """
+    located = table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = located.groupBy("_file").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    placed = lookup(located, shifts, "_file", "inner", max_bytes=KEY_SET_BYTES)
+    return placed.select(*table.columns, (F.col("_shift") + F.col("_row") + first).alias(name))
+
+
 def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add the sum of `value` over all rows up to each, in the given order."""
     placed = materialize(

@@ -15,6 +15,8 @@ START, END = "START", "END"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 SYSTEM_CHECK = "SYSTEM_CHECK"
 NO_CONFIG = -1
+# What a step gives: a row count, an error text, or neither.
+ROWS, ERROR = "rows", "error"
 
 
 def open_runs(log: DataFrame) -> DataFrame:
@@ -40,9 +42,9 @@ def run_state(log: DataFrame) -> DataFrame:
 
 def outcome(result_kind: Column, error: Column) -> tuple[Column, Column]:
     """Status and message of a step result that is a row count, an error text or nothing."""
-    status = F.when(result_kind == "rows", SUCCESS).otherwise(FAILED)
-    message = F.when(result_kind == "error", F.concat(F.lit("SQL Error: "), error)).when(
-        (result_kind != "rows") | result_kind.isNull(), "Procedure returned None")
+    status = F.when(result_kind == ROWS, SUCCESS).otherwise(FAILED)
+    message = F.when(result_kind == ERROR, F.concat(F.lit("SQL Error: "), error)).when(
+        (result_kind != ROWS) | result_kind.isNull(), "Procedure returned None")
     return status, message
 
 
@@ -57,8 +59,11 @@ class RunLog:
         return self.spark.table(self.table)
 
     def _append(self, **values) -> None:
+        def as_column(value) -> Column:
+            return value if isinstance(value, Column) else F.lit(value)
+
         row = self.spark.range(0, 1, 1, 1).select(*[
-            (F.current_timestamp() if f.name == "logged_at" else F.lit(values.get(f.name)))
+            (F.current_timestamp() if f.name == "logged_at" else as_column(values.get(f.name)))
             .cast(f.dataType).alias(f.name)
             for f in RUN_LOG.fields
         ])
@@ -72,8 +77,15 @@ class RunLog:
         self._append(run_id=run_id, event=START, config_id=config_id, job_name=job_name)
         return run_id
 
-    def end(self, run_id: str, status: str, extracted: int, loaded: int, error: str | None = None) -> None:
-        self._append(run_id=run_id, event=END, status=status, extracted=extracted, loaded=loaded, error=error)
+    def end(self, run_id: str, kind: str | None, extracted: int, loaded: int, error: str | None = None) -> None:
+        """The END row of a run that gave `rows`, an `error` with its text, or nothing, by the rule of `outcome`."""
+        status, message = outcome(F.lit(kind).cast("string"), F.lit(error).cast("string"))
+        self._append(run_id=run_id, event=END, status=status, extracted=extracted, loaded=loaded, error=message)
+
+    def note(self, job_name: str, run_id: str, extracted: int, loaded: int) -> None:
+        """START and END rows of a part of a run that is still open, with the part's own counters."""
+        self._append(run_id=run_id, event=START, job_name=job_name)
+        self.end(run_id, ROWS, extracted, loaded)
 
     def append_jobs(self, summary: DataFrame, run_id: str) -> None:
         """START and END rows of crawl jobs that ran together, under ids that extend `run_id`."""
@@ -90,20 +102,31 @@ class RunLog:
             F.current_timestamp().alias("logged_at"),
         ), self.table)
 
-    def run(self, job_name: str, step: Callable[[str], tuple[int, int]],
+    def run(self, job_name: str, step: Callable[[str], tuple[int, int] | None],
             config_id: int | None = None) -> tuple[str | None, str]:
         """Run `step(run_id) -> (extracted, loaded)` between its two events.
 
-        Zero rows are a success. An error is logged as FAILED with its text and
-        not raised again, so the caller looks at the status.
+        Zero rows are a success; a step that gives nothing has failed. An error is logged as FAILED with its
+        text and not raised again, so the caller looks at the status.
         """
         run_id = self.start(job_name, config_id)
         if run_id is None:
             return None, "BUSY"
         try:
-            extracted, loaded = step(run_id)
+            result = step(run_id)
         except Exception as e:
-            self.end(run_id, FAILED, 0, 0, str(e))
+            self.end(run_id, ERROR, 0, 0, str(e))
+            return run_id, FAILED
+        if result is None:
+            self.end(run_id, None, 0, 0)
             return run_id, FAILED
-        self.end(run_id, SUCCESS, extracted, loaded)
+        self.end(run_id, ROWS, *result)
         return run_id, SUCCESS
+
+    def check(self, message: str) -> str:
+        """A system check that has failed: its own run, under no configuration."""
+        run_id = self.start(SYSTEM_CHECK, NO_CONFIG)
+        if run_id is None:
+            return "BUSY"
+        self._append(run_id=run_id, event=END, status=FAILED, extracted=0, loaded=0, error=message)
+        return FAILED

@@ -9,7 +9,7 @@ from newsloom.functions.dates import parse_published, parse_time
 from newsloom.functions.html import clean_content
 from newsloom.functions.nulls import column_or_blank
 from newsloom.functions.text import trim_spaces
-from newsloom.operators.ordering import number_rows
+from newsloom.operators.ordering import arrival_ids
 from newsloom.schemas import CLEAN_COLUMNS, DELTA_COLUMNS, RAW_TO_STAGING, STAGING_COLUMNS
 
 
@@ -27,13 +27,8 @@ def clean_rows(staged: DataFrame, fix_quotes: bool = False) -> DataFrame:
 
 
 def clean_rows_with_ids(staged: DataFrame) -> DataFrame:
-    """Clean rows under dense ids by address and crawl time.
-
-    Rows equal in both come in the order the staging table gives them, which
-    also keeps a pile of copies from ending up in one range.
-    """
-    arrival = staged.withColumn("_arrival", F.monotonically_increasing_id())
-    numbered = number_rows(arrival, ["article_url", "scraped_at", "_arrival"], "id")
+    """Clean rows of a file table under dense ids in the order of their arrival; the rows stay where they are."""
+    numbered = arrival_ids(staged, "id")
     return numbered.select("id", *[
         (clean_content(F.col("content")) if c == "content" else F.col(c)).alias(c) for c in CLEAN_COLUMNS
     ])

@@ -4,16 +4,19 @@ For each delta row with tags, the keys of its known tags are compared with the
 keys that the bridge holds for the article. Equal: nothing happens. Different:
 all bridge rows of the article go, and the new keys come in. Every row is
 compared with the bridge as it was before the run.
+
+Articles are told apart by `ARTICLE_ID`: two addresses of one CRC keep their own tags.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.tags import has_tags, split_tags
-from newsloom.functions.urls import article_key
+from newsloom.functions.urls import with_article_id
 from newsloom.operators.lookup import lookup, with_keys
+from newsloom.schemas import ARTICLE_ID
 
 
 def tag_names(rows: DataFrame) -> DataFrame:
@@ -27,20 +30,19 @@ def known_tags(names: DataFrame, dim_tag: DataFrame) -> DataFrame:
 
 
 def new_tag_sets(delta: DataFrame, dim_tag: DataFrame) -> DataFrame:
-    """`article_key`, `tags`, `n_rows`, `new_keys`: the key set of every distinct tag list of an article.
+    """`ARTICLE_ID`, `tags`, `n_rows`, `new_keys`: the key set of every distinct tag list of an article.
 
     Equal rows are counted up first: one article may fill much of the delta.
     The set holds at most the tags written in one row.
     """
-    key = F.col("article_key") if "article_key" in delta.columns else article_key(F.col("article_url"))
     lists = (
-        delta.filter(has_tags(F.col("tags")))
-        .groupBy(key.alias("article_key"), "tags").agg(F.count("*").alias("n_rows"))
+        with_article_id(delta.filter(has_tags(F.col("tags"))))
+        .groupBy(*ARTICLE_ID, "tags").agg(F.count("*").alias("n_rows"))
     )
     names = lists.withColumn("tag_name", F.explode(F.array_distinct(split_tags(F.col("tags")))))
     # A left join, so that a list of unknown names stays, with an empty set.
     keyed = lookup(names, dim_tag.select("tag_name", "tag_key"), "tag_name", "left")
-    return keyed.groupBy("article_key", "tags").agg(
+    return keyed.groupBy(*ARTICLE_ID, "tags").agg(
         F.first("n_rows").alias("n_rows"),
         F.array_sort(F.collect_set("tag_key")).alias("new_keys"),
     )
@@ -49,40 +51,44 @@ def new_tag_sets(delta: DataFrame, dim_tag: DataFrame) -> DataFrame:
 def compare_with_bridge(sets: DataFrame, bridge: DataFrame) -> DataFrame:
     """Add `changed`: does the new set differ from the bridge's?"""
     current = (
-        with_keys(bridge, sets, ["article_key"])
-        .groupBy("article_key").agg(F.array_sort(F.collect_set("tag_key")).alias("old_keys"))
+        with_keys(bridge, sets, ARTICLE_ID)
+        .groupBy(*ARTICLE_ID).agg(F.array_sort(F.collect_set("tag_key")).alias("old_keys"))
     )
     old = F.coalesce("old_keys", F.array().cast("array<bigint>"))
-    return sets.join(current, "article_key", "left").select(
-        "article_key", "n_rows", "new_keys", (F.col("new_keys") != old).alias("changed"))
+    return sets.join(current, ARTICLE_ID, "left").select(
+        *ARTICLE_ID, "n_rows", "new_keys", (F.col("new_keys") != old).alias("changed"))
 
 
 def replaced_articles(compared: DataFrame) -> DataFrame:
-    """Keys whose bridge rows are deleted."""
-    return compared.filter("changed").select("article_key").distinct()
+    """Articles whose bridge rows are deleted."""
+    return compared.filter("changed").select(*ARTICLE_ID).distinct()
 
 
 def new_pairs(compared: DataFrame) -> DataFrame:
     """Pairs that come in; a pair named by several rows comes once."""
     return compared.filter("changed").select(
-        "article_key", F.explode("new_keys").alias("tag_key")).distinct()
+        *ARTICLE_ID, F.explode("new_keys").alias("tag_key")).distinct()
 
 
 def synced_bridge(bridge: DataFrame, compared: DataFrame) -> DataFrame:
-    kept = bridge.join(replaced_articles(compared), "article_key", "left_anti")
-    return kept.select("article_key", "tag_key").unionByName(new_pairs(compared))
+    kept = bridge.join(replaced_articles(compared), ARTICLE_ID, "left_anti")
+    return kept.select(*ARTICLE_ID, "tag_key").unionByName(new_pairs(compared))
 
 
-def sync_counts(compared: DataFrame) -> DataFrame:
-    """Delta rows that led to an update, and rows that were skipped."""
-    return compared.agg(
+def sync_metrics() -> list[Column]:
+    """Delta rows that led to an update, and rows that were skipped, as aggregates over compared sets."""
+    return [
         F.coalesce(F.sum(F.when(F.col("changed"), F.col("n_rows"))), F.lit(0)).alias("updated"),
         F.coalesce(F.sum(F.when(~F.col("changed"), F.col("n_rows"))), F.lit(0)).alias("skipped"),
-    )
+    ]
+
+
+def sync_counts(compared: DataFrame) -> DataFrame:
+    return compared.agg(*sync_metrics())
 
 
 def insert_if_absent(bridge: DataFrame, pairs: DataFrame) -> DataFrame:
     """Append the pairs that the bridge does not hold yet."""
-    key = ["article_key", "tag_key"]
+    key = [*ARTICLE_ID, "tag_key"]
     fresh = pairs.select(*key).distinct().join(bridge.select(*key), key, "left_anti")
     return bridge.select(*key).unionByName(fresh)

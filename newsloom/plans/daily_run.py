@@ -22,13 +22,15 @@ from newsloom.functions.dates import DAY_FILE_FORMAT
 from newsloom.operators import (
     crawl_jobs, date_dim, delta, dimensions, extraction, mart, runlog, staging, tag_bridge, warehouse,
 )
-from newsloom.session import materialize, tune
-from newsloom.sources import csv_files, newest, tables
-
-FACT_PARTITIONS = ["article_year", "article_month"]
-# Pairs lie in the partition of the month that brought them in, so a merge
-# rewrites that of the current run and those that hold replaced pairs.
-BRIDGE_PARTITIONS = ["load_month"]
+from newsloom.operators.lookup import with_keys
+from newsloom.schemas import ARTICLE_ID
+from newsloom.session import materialize, materialize_observed, tune
+from newsloom.sources import csv_files, newest, publication, tables
+
+FACT_PARTITIONS = ["article_year", "article_month", "bucket"]
+MONTH = FACT_PARTITIONS[:2]
+# Pairs lie in the month of their article, so counting some months anew reads only these.
+BRIDGE_PARTITIONS = MONTH
 DIMENSIONS = {"category": "DimCategory", "source": "DimSource", "author": "DimAuthor", "tag": "DimTag"}
 
 
@@ -59,6 +61,9 @@ class DailyRun:
         self.spark, self.layers = tune(spark), layers
         self.folder = folder.rstrip("/")
         self.catalogue = extraction.selector_catalogue(spark, selectors)
+        # A run that broke off may have left a table aside: first that is mended.
+        for database in (layers.staging, layers.warehouse):
+            tables.recover(spark, database)
         self.create_tables()
         self.log = runlog.RunLog(spark, f"{layers.control}.run_log")
 
@@ -73,14 +78,16 @@ class DailyRun:
             (f"{at.staging}.staging_delta", schemas.TRANSFORMED, []),
             (f"{at.warehouse}.buffer_delta", schemas.DELTA, []),
             (f"{at.warehouse}.DimDate", schemas.DATE_DIM, []),
-            (f"{at.warehouse}.Agg_Temp_Mart", schemas.MART_AGGREGATE, []),
-            (f"{at.mart}.Agg_Mart_Top_Trends", schemas.MART_AGGREGATE, []),
+            (f"{at.warehouse}.Agg_Temp_Mart", schemas.MART_AGGREGATE, MONTH),
+            (f"{at.warehouse}.Touched_Months", schemas.MONTH, []),
             (at.fact, schemas.ARTICLE_FACT, FACT_PARTITIONS),
             (at.bridge, schemas.BRIDGE_BY_MONTH, BRIDGE_PARTITIONS),
             *[(at.dim(p), schemas.dimension(p), []) for p in DIMENSIONS],
-            *[(f"{at.mart}.{DIMENSIONS[p]}", schemas.dimension(p), []) for p in ("category", "tag", "source")],
         ]:
             tables.create_table(spark, table, schema, places)
+        publication.create(spark, at.mart, {
+            "Agg_Mart_Top_Trends": schemas.MART_AGGREGATE,
+            **{DIMENSIONS[p]: schemas.dimension(p) for p in ("category", "tag", "source")}})
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(name)
@@ -107,24 +114,19 @@ class DailyRun:
                                      self.table(f"{self.layers.control}.crawl_categories"))
         usable = materialize(crawl_jobs.jobs_with_selectors(jobs, self.catalogue.select("source_name")), "jobs")
         if usable.isEmpty():
-            run_id = self.log.start(runlog.SYSTEM_CHECK, runlog.NO_CONFIG)
-            if run_id is None:
-                return "BUSY"
-            self.log.end(run_id, runlog.FAILED, 0, 0, crawl_jobs.NO_JOBS)
-            return runlog.FAILED
+            return self.log.check(crawl_jobs.NO_JOBS)
 
         day = day if day is not None else F.date_format(F.current_date(), DAY_FILE_FORMAT)
 
         def step(run_id: str) -> tuple[int, int]:
             outcomes = materialize(extraction.crawl_outcomes(usable, pages, self.catalogue, run_id), "articles")
             articles = outcomes.filter("error IS NULL")
-            csv_files.write_daily_articles(
+            n = csv_files.write_daily_articles(
                 articles.withColumn("scraped_at", F.col("scraped_at").cast("string")), self.article_days, day)
             named = outcomes.select("config_id", F.col("source_name_raw").alias("source_name"),
                                     F.col("category_raw").alias("category_name"), "error")
             self.log.append_jobs(crawl_jobs.job_summary(
                 crawl_jobs.with_reached(usable, pages), named, ["config_id", "source_name", "category_name"]), run_id)
-            n = articles.count()
             return n, n
 
         return self.log.run("crawl", step)[1]
@@ -181,9 +183,7 @@ class DailyRun:
 
     def export_delta(self) -> str:
         def step(run_id: str) -> tuple[int, int]:
-            rows = self.table(f"{self.layers.staging}.staging_delta")
-            csv_files.write_delta(rows, self.delta_path)
-            n = rows.count()
+            n = csv_files.write_delta(self.table(f"{self.layers.staging}.staging_delta"), self.delta_path)
             return n, n
 
         return self.log.run("export_staging_file", step)[1]
@@ -194,21 +194,28 @@ class DailyRun:
 
     # --- warehouse ------------------------------------------------------------------------
 
-    def load_warehouse(self, load_month: int) -> str:
-        """Delta file -> buffer -> dimensions, fact and tag bridge; loaded are the changed articles."""
+    def load_warehouse(self) -> str:
+        """Delta file -> buffer -> dimensions, fact and tag bridge; loaded are the changed articles.
+
+        The months that the run touches are noted before anything moves, for the next count.
+        """
         def step(run_id: str) -> tuple[int, int]:
             at = self.layers
             extracted = tables.replace_rows(csv_files.read_delta(self.spark, self.delta_path),
                                             f"{at.warehouse}.buffer_delta")
-            buffer = warehouse.buffer_rows(self.table(f"{at.warehouse}.buffer_delta"))
+            buffer = self.table(f"{at.warehouse}.buffer_delta")
             self._extend_dimensions(buffer)
             rows = warehouse.fact_rows(buffer, *[self.table(at.dim(p)) for p in ("category", "source", "author")])
             rows = materialize(rows, "fact-rows")
-            changes = materialize(warehouse.changed_facts(rows, self.table(at.fact)), "changes")
-            loaded = changes.count()
-            tables.merge_rows(self.spark, at.fact, changes, warehouse.FACT_KEY, FACT_PARTITIONS, written=True)
-            self._sync_tags(buffer, load_month)
-            return extracted, loaded
+            changes, seen = materialize_observed(
+                warehouse.changed_facts(rows, self.table(at.fact)), "changes", [F.count(F.lit(1)).alias("n")])
+            before = materialize(with_keys(
+                self.table(at.fact).select(*warehouse.FACT_KEY, *MONTH), rows, warehouse.FACT_KEY), "before")
+            tables.append_rows(warehouse.touched_months(rows, before), f"{at.warehouse}.Touched_Months")
+            moved = materialize(warehouse.moved_articles(changes, before), "moved")
+            tables.merge_rows(self.spark, at.fact, changes.drop("change"), warehouse.FACT_KEY, FACT_PARTITIONS, written=True)
+            self._sync_tags(buffer, rows, moved, run_id)
+            return extracted, seen["n"]
 
         return self.log.run("load_warehouse", step)[1]
 
@@ -220,23 +227,39 @@ class DailyRun:
             table = self.layers.dim(prefix)
             tables.append_rows(dimensions.new_members(self.table(table), names, f"{prefix}_key", name), table)
 
-    def _sync_tags(self, buffer: DataFrame, load_month: int) -> None:
+    def _sync_tags(self, buffer: DataFrame, rows: DataFrame, moved: DataFrame, run_id: str) -> None:
+        """The bridge after the delta: changed tag sets replaced, and pairs of articles in a new month moved there.
+
+        Rows that led to an update, and all rows with tags, are logged as loaded and extracted of a part of the run.
+        """
         at = self.layers
         sets = materialize(tag_bridge.new_tag_sets(
             buffer.select("article_url", "tags"), self.table(at.dim("tag"))), "new-tag-sets")
-        compared = materialize(tag_bridge.compare_with_bridge(sets, self.table(at.bridge)), "compared-tags")
-        pairs = tag_bridge.new_pairs(compared).withColumn("load_month", F.lit(load_month))
-        tables.merge_rows(self.spark, at.bridge, pairs, ["article_key"], BRIDGE_PARTITIONS,
-                          removed=tag_bridge.replaced_articles(compared), written=True)
+        compared, seen = materialize_observed(
+            tag_bridge.compare_with_bridge(sets, self.table(at.bridge)), "compared-tags", tag_bridge.sync_metrics())
+        replaced = tag_bridge.replaced_articles(compared)
+        pairs = tag_bridge.new_pairs(compared).join(rows.select(*ARTICLE_ID, *MONTH), ARTICLE_ID)
+        staying = moved.join(replaced, ARTICLE_ID, "left_anti")
+        carried = with_keys(self.table(at.bridge).select(*ARTICLE_ID, "tag_key"), moved, ARTICLE_ID).join(staying, ARTICLE_ID)
+        tables.merge_rows(self.spark, at.bridge, pairs.unionByName(carried), ARTICLE_ID, BRIDGE_PARTITIONS, removed=replaced)
+        self.log.note("sync_tags", f"{run_id}/tags", seen["updated"] + seen["skipped"], seen["updated"])
 
     # --- mart -----------------------------------------------------------------------------
 
     def aggregate(self, day: str) -> str:
-        """Monthly counts, and the files for the mart; loaded is the number of files."""
+        """Monthly counts, and the files for the mart; loaded is the number of files.
+
+        Counted are the months that runs have touched since the last count; the others stay as they are.
+        """
         def step(run_id: str) -> tuple[int, int]:
             at = self.layers
-            counts = mart.monthly_counts(self.table(at.fact), self.table(at.bridge))
-            rows = tables.replace_rows(counts, f"{at.warehouse}.Agg_Temp_Mart")
+            touched = f"{at.warehouse}.Touched_Months"
+            months = [tuple(r) for r in self.table(touched).distinct().collect()]  # calendar months
+            rows = 0
+            if months:
+                counts = mart.recounted(self.table(at.fact), self.table(at.bridge), months)
+                rows = tables.replace_places(counts, f"{at.warehouse}.Agg_Temp_Mart", MONTH, months)
+                self.spark.sql(f"TRUNCATE TABLE {touched}")
             dims = {DIMENSIONS[p]: self.table(at.dim(p)) for p in ("category", "tag", "source")}
             frames = {"Agg_Mart_Top_Trends": self.table(f"{at.warehouse}.Agg_Temp_Mart"), **dims}
             return rows, csv_files.dump_tables(frames, csv_files.mart_paths(self.folder, day))
@@ -250,7 +273,7 @@ class DailyRun:
 
         return self.log.run("load_to_datamart", step)[1]
 
-    def run_day(self, day: str, load_month: int, crawled: bool = False) -> list[str]:
+    def run_day(self, day: str, crawled: bool = False) -> list[str]:
         """All jobs from staging to mart for a day (yyyyMMdd); stops at the first that fails.
 
         Staging takes the newest article file, or, if `crawled`, what `crawl_articles` has written for that day and
@@ -259,7 +282,7 @@ class DailyRun:
         load = self.load_staging if not crawled else lambda: self.load_staging_day(day[6:8] + day[4:6] + day[2:4])
         outcomes = []
         for job in (load, self.transform_staging, self.load_delta, self.export_delta,
-                    lambda: self.load_warehouse(load_month), lambda: self.aggregate(day),
+                    self.load_warehouse, lambda: self.aggregate(day),
                     lambda: self.load_mart(day)):
             outcomes.append(job())
             if outcomes[-1] != runlog.SUCCESS:

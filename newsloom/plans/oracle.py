@@ -182,18 +182,25 @@ SELECT 'doc/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || CASE WHEN blank THEN
 FROM (SELECT *, false AS blank FROM documents
       UNION ALL SELECT *, true FROM documents WHERE source IN ('src3', 'src7'))"""
 
+def _mark(prefix: str, key: str) -> str:
+    return f"('0x' || substr(md5('{prefix}' || {key}), 1, 15))::BIGINT AS address_mark"
+
+
+_PART_ID = f"p_partkey % 500 AS article_key, {_mark('part/', 'p_partkey')}"
+_ID = "article_key, address_mark"
+
 _WORDS = "SELECT p_partkey, p_size, p_brand, p_type, string_split(p_name, ' ') AS words FROM part"
 _DIM_TAG = """
 SELECT w AS tag_name, row_number() OVER (ORDER BY w) AS tag_key
 FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part) WHERE w NOT LIKE 'r%'"""
-_PART_LISTS = """
-SELECT p_partkey AS article_key, 1 AS n,
+_PART_LISTS = f"""
+SELECT {_PART_ID}, 1 AS n,
        CASE WHEN p_brand = 'Brand#5' THEN [' never seen', ''] ELSE string_split(replace(p_name, ' ', ', '), ',') END AS names
 FROM part WHERE p_type NOT IN ('SMALL', 'ECONOMY')
 UNION ALL
-SELECT p_partkey, 2, [split_part(p_name, ' ', 1)] FROM part WHERE p_size > 40"""
+SELECT {_PART_ID}, 2, [split_part(p_name, ' ', 1)] FROM part WHERE p_size > 40"""
 _OLD_BRIDGE = f"""
-SELECT DISTINCT p_partkey AS article_key, tag_key
+SELECT DISTINCT {_PART_ID}, tag_key
 FROM (SELECT p_partkey, unnest(CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN [words[len(words)]] ELSE words END) AS tag_name
       FROM ({_WORDS}) WHERE p_size <= 45)
 JOIN ({_DIM_TAG}) USING (tag_name)"""
@@ -201,17 +208,13 @@ _TAG_SYNC = f"""
 WITH dim AS ({_DIM_TAG}), bridge AS ({_OLD_BRIDGE}),
 lists AS ({_PART_LISTS}),
 sets AS (
-  SELECT l.article_key, l.n, coalesce(list_sort(list_distinct(list(d.tag_key) FILTER (d.tag_key IS NOT NULL))), []) AS new_keys
-  FROM (SELECT article_key, n, trim(unnest(names)) AS tag_name FROM lists) l LEFT JOIN dim d USING (tag_name)
-  GROUP BY l.article_key, l.n),
-held AS (SELECT article_key, list_sort(list(tag_key)) AS old_keys FROM bridge GROUP BY article_key),
+  SELECT {_ID}, l.n, coalesce(list_sort(list_distinct(list(d.tag_key) FILTER (d.tag_key IS NOT NULL))), []) AS new_keys
+  FROM (SELECT {_ID}, n, trim(unnest(names)) AS tag_name FROM lists) l LEFT JOIN dim d USING (tag_name)
+  GROUP BY {_ID}, l.n),
+held AS (SELECT {_ID}, list_sort(list(tag_key)) AS old_keys FROM bridge GROUP BY {_ID}),
 compared AS (
-  SELECT s.article_key, s.new_keys, s.new_keys <> coalesce(h.old_keys, []) AS changed
-  FROM sets s LEFT JOIN held h USING (article_key))"""
-
-_CHANGED = f"""
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'insert' WHEN o_orderpriority = '1-URGENT' THEN 'update' END AS change
-FROM orders"""
+  SELECT {_ID}, s.new_keys, s.new_keys <> coalesce(h.old_keys, []) AS changed
+  FROM sets s LEFT JOIN held h USING ({_ID}))"""
 
 _CALENDAR = """
 SELECT CAST(date_diff('day', DATE '2005-01-01', d) + 1 AS INTEGER) AS date_key, d AS full_date,
@@ -288,7 +291,9 @@ ORACLE_SQL = {
                || replace(text, '&', '+') AS text FROM documents""",
     "stage_rows": _STAGED,
     "clean_staging": f"SELECT * EXCLUDE (run_id) REPLACE ({_clean_plain('content')} AS content) FROM ({_STAGED})",
-    "clean_ids": f"SELECT row_number() OVER (ORDER BY article_url) AS id, article_url, source_name FROM ({_STAGED})",
+    "clean_ids": f"""
+        SELECT row_number() OVER (ORDER BY article_url) AS id, article_url, source_name, {_clean_plain('content')} AS content
+        FROM ({_STAGED}) WHERE NOT article_url LIKE '%/blank'""",
     "null_tokens": """
         SELECT doc_id, CASE WHEN lang IN ('de', 'fr', 'es') THEN NULL ELSE lang END AS lang, source,
                CASE WHEN n_chars > 100 THEN CAST(n_chars AS DOUBLE) END AS n_chars
@@ -304,31 +309,33 @@ ORACLE_SQL = {
         FROM orders""",
     "transform_run": "SELECT 'run-1' AS run_id, count(*) AS n_rows FROM orders",
     "rows_per_run": "SELECT event_type AS run_id, count(*) AS n_rows FROM events GROUP BY event_type",
-    "tags_present": f"SELECT article_key, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS})",
+    "tags_present": f"SELECT {_ID}, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS})",
     "tag_lookup": f"""
-        SELECT article_key, tag_name, tag_key
-        FROM (SELECT article_key, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS}))
+        SELECT {_ID}, tag_name, tag_key
+        FROM (SELECT {_ID}, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS}))
         JOIN ({_DIM_TAG}) USING (tag_name)""",
     "tag_bridge_sync": f"""{_TAG_SYNC}
-        SELECT article_key, tag_key FROM bridge WHERE article_key NOT IN (SELECT article_key FROM compared WHERE changed)
+        SELECT {_ID}, tag_key FROM bridge ANTI JOIN (SELECT * FROM compared WHERE changed) c USING ({_ID})
         UNION
-        SELECT article_key, unnest(new_keys) AS tag_key FROM compared WHERE changed""",
+        SELECT {_ID}, unnest(new_keys) AS tag_key FROM compared WHERE changed""",
     "tag_sync_stats": f"""{_TAG_SYNC}
         SELECT count(*) FILTER (changed) AS updated, count(*) FILTER (NOT changed) AS skipped FROM compared""",
     "bridge_insert_absent": f"""
         {_OLD_BRIDGE}
         UNION
-        SELECT article_key, tag_key FROM (SELECT article_key, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS}))
+        SELECT {_ID}, tag_key FROM (SELECT {_ID}, trim(unnest(names)) AS tag_name FROM ({_PART_LISTS}))
         JOIN ({_DIM_TAG}) USING (tag_name)""",
-    "staging_delta": f"""
-        SELECT 'order/' || o_orderkey AS article_url, change, '2024-01-02 06:00:00' AS scraped_at
-        FROM ({_CHANGED}) WHERE change IS NOT NULL""",
+    "staging_delta": """
+        SELECT 'doc/' || doc_id AS article_url, CASE lang WHEN 'es' THEN 'insert' ELSE 'update' END AS change,
+               CASE lang WHEN 'de' THEN text || ' more' ELSE text END AS content, '2024-01-02 06:00:00' AS scraped_at
+        FROM documents WHERE lang IN ('de', 'es')""",
     "warehouse_upsert": f"""
         SELECT o_orderkey, o_orderstatus, {_RAISED} AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year
         FROM orders""",
     "merge_touched_partitions": f"""
         SELECT o_orderkey, o_orderstatus, p AS o_totalprice,
-               CAST(year(o_orderdate) + CASE WHEN p > 400000 THEN 1 ELSE 0 END AS INTEGER) AS o_year
+               CAST(year(o_orderdate) + CASE WHEN p > 400000 THEN 1 ELSE 0 END AS INTEGER) AS o_year,
+               CAST(o_orderkey % 8 AS INTEGER) AS bucket
         FROM (SELECT *, {_RAISED} AS p FROM orders)""",
     "dim_new_members": """
         SELECT (SELECT count(DISTINCT c_name) FROM customer WHERE c_acctbal > 0)
@@ -342,7 +349,7 @@ ORACLE_SQL = {
                    FROM (SELECT DISTINCT author FROM o WHERE author IS NOT NULL)),
         category AS ({_NUMBERED.format(name='o_orderstatus', key='category_key', of='o_orderstatus', table='orders')}),
         source AS ({_NUMBERED.format(name='o_orderpriority', key='source_key', of='o_orderpriority', table='orders')})
-        SELECT {_crc32('u')} AS article_key, u AS article_url,
+        SELECT {_crc32('u')} AS article_key, {_mark('', 'u')}, u AS article_url, ({_crc32('u')} % 16)::INTEGER AS bucket,
                CAST(date_diff('day', DATE '2005-01-01', CAST(o_orderdate AS DATE)) + 1 AS INTEGER) AS date_key,
                category_key, source_key, author_key,
                CAST(year(o_orderdate) AS INTEGER) AS article_year, CAST(month(o_orderdate) AS INTEGER) AS article_month
@@ -403,6 +410,43 @@ ORACLE_SQL = {
         UNION ALL SELECT 'DimSource', source_name, source_key FROM source""",
 }
 
+ORACLE_SQL |= {
+    "incremental_counts": """
+        SELECT CAST(year(o.o_orderdate) AS INTEGER) AS article_year, CAST(month(o.o_orderdate) AS INTEGER) AS article_month,
+               CASE WHEN year(o.o_orderdate) = 2001 AND o_orderkey % 7 = 0 THEN 9 ELSE left(o.o_orderpriority, 1)::BIGINT END
+                   AS category_key,
+               w.tag_key, c.c_nationkey::BIGINT AS source_key, count(DISTINCT o.o_orderkey) AS total_articles
+        FROM lineitem l
+        JOIN orders o ON o.o_orderkey = l.l_orderkey
+        JOIN customer c ON c.c_custkey = o.o_custkey
+        JOIN (SELECT p_partkey, (ascii(tag) * 100 + length(tag))::BIGINT AS tag_key
+              FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tag FROM part)) w ON w.p_partkey = l.l_partkey
+        WHERE o_orderstatus <> 'P' OR year(o_orderdate) = 2000
+        GROUP BY ALL""",
+    "run_log_counters": f"""{_TAG_SYNC},
+        kept AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 = 0),
+        synced AS (SELECT count(*) AS n, count(*) FILTER (changed) AS updated FROM compared)
+        SELECT 'empty' AS job_name, 'SUCCESS' AS status, 0::BIGINT AS extracted, 0::BIGINT AS loaded, NULL AS error
+        UNION ALL SELECT 'customers', 'SUCCESS', count(*), count(*), NULL FROM kept
+        UNION ALL SELECT 'broken', 'FAILED', 0, 0, 'SQL Error: no article file'
+        UNION ALL SELECT 'nothing', 'FAILED', 0, 0, 'Procedure returned None'
+        UNION ALL SELECT 'sync_tags', 'SUCCESS', n, updated, NULL FROM synced
+        UNION ALL SELECT 'tags', 'SUCCESS', (SELECT count(*) FROM bridge), updated, NULL FROM synced
+        UNION ALL SELECT 'SYSTEM_CHECK', 'FAILED', 0, 0, 'There are no jobs to run (Check Active=1)'
+        UNION ALL SELECT 'left after FAILED', NULL, c_custkey, NULL, c_name FROM kept""",
+    "published_page_forms": """
+        SELECT o_orderkey, strftime(CASE o_orderkey % 5 WHEN 0 THEN date_trunc('minute', o_orderdate)
+            WHEN 1 THEN date_trunc('second', o_orderdate) WHEN 2 THEN date_trunc('minute', o_orderdate)
+            WHEN 3 THEN date_trunc('day', o_orderdate) END, '%Y-%m-%d %H:%M:%S') AS published_at
+        FROM orders""",
+    "publish_after_failure": """
+        SELECT 'customer' AS table_name, c_custkey AS key, lower(c_name) AS name, 2 AS loaded, 1 AS left FROM customer
+        UNION ALL SELECT 'supplier', s_suppkey, s_name, 2, 1 FROM supplier""",
+    "header_hygiene": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_nationkey > 5 THEN c_name ELSE '' END AS c_name
+        FROM customer""",
+}
+
 _CRAWL = f"""
     WITH fields AS ({ORACLE_SQL['extract_fields']}),
     jobs AS (
@@ -421,7 +465,7 @@ ORACLE_SQL |= {
                CASE WHEN config_id % 5 = 4 THEN 'FAILED' ELSE 'SUCCESS' END AS status, n AS extracted,
                CASE WHEN n = 0 THEN 0 ELSE CAST(sum(n) OVER (ORDER BY config_id) AS BIGINT) END AS loaded,
                nullif(concat_ws('; ', CASE WHEN config_id % 5 = 4 THEN 'Start page not found' WHEN n = 0 THEN 'No article found' END,
-                                CASE WHEN failed > 0 THEN failed || ' pages failed' END), '') AS note
+                                CASE WHEN failed > 0 THEN 'Pages failed: ' || failed END), '') AS note
         FROM (SELECT config_id, source_name, count(article_url) FILTER (page_id % 9 <> 0 AND page_id % 11 <> 0) AS n,
                      count(article_url) FILTER (page_id % 9 = 0 OR page_id % 11 = 0) AS failed
               FROM jobs LEFT JOIN crawled USING (config_id)

@@ -8,6 +8,7 @@ configuration, `events` for the run log.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,12 +18,12 @@ from newsloom.functions import dates, elements, html, nulls, tags, text, urls
 from newsloom.operators import (
     crawl_jobs, date_dim, delta, dimensions, extraction, mart, runlog, staging, tag_bridge, warehouse,
 )
-from newsloom.operators.lookup import lookup
+from newsloom.operators.lookup import lookup, with_keys
 from newsloom.schemas import (
-    ARTICLE_CSV, CLEAN_COLUMNS, DELTA_COLUMNS, MART_AGGREGATE, dimension,
+    ARTICLE_CSV, ARTICLE_ID, CLEAN_COLUMNS, DELTA_COLUMNS, MART_AGGREGATE, dimension,
 )
-from newsloom.session import materialize, scratch_path, spread, tune
-from newsloom.sources import csv_files, newest, tables
+from newsloom.session import materialize, materialize_observed, scratch_path, spread, tune
+from newsloom.sources import csv_files, newest, publication, tables
 from newsloom.streaming import article_files
 
 RUN_ID = "run-1"
@@ -49,12 +50,17 @@ def _fresh_database(spark: SparkSession, label: str) -> str:
 
 # --- stand-ins --------------------------------------------------------------------------------
 
+def _article_id(name: str, prefix: str) -> list[Column]:
+    """The key columns of an article, with keys forced to be equal for every 500th address."""
+    return [(F.col(name) % 500).alias("article_key"), urls.address_mark(F.concat(F.lit(prefix), name)).alias("address_mark")]
+
+
 def _order_facts(spark: SparkSession, d: str) -> DataFrame:
     """Orders as articles: key, month, category name and source key."""
     customers = _table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
                                                     F.col("c_nationkey").alias("source_key"))
     orders = _table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("article_key"), "o_custkey",
+        *_article_id("o_orderkey", "order/"), "o_custkey",
         F.year("o_orderdate").alias("article_year"), F.month("o_orderdate").alias("article_month"),
         F.col("o_orderpriority").alias("category_name"))
     return lookup(orders, customers, "o_custkey", "inner").drop("o_custkey")
@@ -64,9 +70,9 @@ def _order_tags(spark: SparkSession, d: str) -> DataFrame:
     """The words of the ordered parts' names as tags of an order."""
     words = _table(spark, d, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.array_distinct(F.split("p_name", " ")).alias("words"))
-    lines = _table(spark, d, "lineitem").select(F.col("l_orderkey").alias("article_key"), "l_partkey")
+    lines = _table(spark, d, "lineitem").select(*_article_id("l_orderkey", "order/"), "l_partkey")
     return lookup(lines, words, "l_partkey", "inner").select(
-        "article_key", F.explode("words").alias("tag_name"))
+        *ARTICLE_ID, F.explode("words").alias("tag_name"))
 
 
 def _order_articles(spark: SparkSession, d: str, price: Column, scraped_at: datetime) -> DataFrame:
@@ -92,9 +98,9 @@ def _raised() -> Column:
     return F.when(F.col("o_orderpriority") == "1-URGENT", price + 1).otherwise(price)
 
 
-def _document_articles(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as raw article rows, without author and tags; some have a second row with a missing text."""
-    rows = _texts(spark, d, "documents").select(
+def _document_rows(documents: DataFrame) -> DataFrame:
+    """Documents as raw article rows, without author and tags."""
+    return documents.select(
         F.concat(F.lit("doc/"), F.lpad("doc_id", 12, "0")).alias("article_url"),
         F.col("source").alias("source_name_raw"),
         F.when(F.col("lang") != "es", F.col("lang")).alias("category_raw"),
@@ -105,6 +111,11 @@ def _document_articles(spark: SparkSession, d: str) -> DataFrame:
         F.lit("2024-01-01 06:00:00").alias("scraped_at"),
         F.lit("crawl-1").alias("run_id"),
     )
+
+
+def _document_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The same; some have a second row with a missing text."""
+    rows = _document_rows(_texts(spark, d, "documents"))
     blank = rows.filter(F.col("source_name_raw").isin("src3", "src7")).withColumns({
         "article_url": F.concat("article_url", F.lit("/blank")),
         "content_raw": F.when(F.col("source_name_raw") == "src7", ""),
@@ -116,12 +127,12 @@ def _part_delta(spark: SparkSession, d: str) -> DataFrame:
     """Parts as delta rows; some have no tags, some only unknown ones, and some come twice."""
     part = _table(spark, d, "part")
     first = part.select(
-        F.col("p_partkey").alias("article_key"),
+        *_article_id("p_partkey", "part/"),
         F.when(F.col("p_type") == "SMALL", F.lit(None).cast("string")).when(F.col("p_type") == "ECONOMY", "")
         .when(F.col("p_brand") == "Brand#5", " never seen,")
         .otherwise(F.replace("p_name", F.lit(" "), F.lit(", "))).alias("tags"))
     again = part.filter("p_size > 40").select(
-        F.col("p_partkey").alias("article_key"), F.substring_index("p_name", " ", 1).alias("tags"))
+        *_article_id("p_partkey", "part/"), F.substring_index("p_name", " ", 1).alias("tags"))
     return first.unionByName(again)
 
 
@@ -137,8 +148,8 @@ def _part_bridge(spark: SparkSession, d: str, dim_tag: DataFrame) -> DataFrame:
     words = F.when(F.col("p_brand").isin("Brand#1", "Brand#2"),
                    F.array(F.substring_index("p_name", " ", -1))).otherwise(F.split("p_name", " "))
     names = _table(spark, d, "part").filter("p_size <= 45").select(
-        F.col("p_partkey").alias("article_key"), F.explode(words).alias("tag_name"))
-    return tag_bridge.known_tags(names, dim_tag).select("article_key", "tag_key").distinct()
+        *_article_id("p_partkey", "part/"), F.explode(words).alias("tag_name"))
+    return tag_bridge.known_tags(names, dim_tag).select(*ARTICLE_ID, "tag_key").distinct()
 
 
 def _compared_tags(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -402,7 +413,9 @@ def clean_staging(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_ids(spark: SparkSession, d: str) -> DataFrame:
-    return staging.clean_rows_with_ids(_staged_with_nulls(spark, d)).select("id", "article_url", "source_name")
+    """Rows numbered in the order in which the documents lie in their files."""
+    landed = _document_rows(_table(spark, d, "documents"))
+    return staging.clean_rows_with_ids(staging.stage_rows(landed, RUN_ID)).select("id", "article_url", "source_name", "content")
 
 
 def null_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -449,12 +462,12 @@ def rows_per_run(spark: SparkSession, d: str) -> DataFrame:
 # --- tags -------------------------------------------------------------------------------------
 
 def tags_present(spark: SparkSession, d: str) -> DataFrame:
-    return tag_bridge.tag_names(_part_delta(spark, d)).select("article_key", "tag_name")
+    return tag_bridge.tag_names(_part_delta(spark, d)).select(*ARTICLE_ID, "tag_name")
 
 
 def tag_lookup(spark: SparkSession, d: str) -> DataFrame:
     names = tag_bridge.tag_names(_part_delta(spark, d))
-    return tag_bridge.known_tags(names, _part_dim_tag(spark, d)).select("article_key", "tag_name", "tag_key")
+    return tag_bridge.known_tags(names, _part_dim_tag(spark, d)).select(*ARTICLE_ID, "tag_name", "tag_key")
 
 
 def tag_bridge_sync(spark: SparkSession, d: str) -> DataFrame:
@@ -473,18 +486,27 @@ def bridge_insert_absent(spark: SparkSession, d: str) -> DataFrame:
 
 # --- delta and warehouse ----------------------------------------------------------------------
 
-def _known_marks(spark: SparkSession, d: str) -> DataFrame:
-    """What the warehouse knows: the orders that are not pending, at their first price."""
-    known = _order_articles(spark, d, F.col("o_totalprice"), DAY_1).filter("category_name <> 'P'")
-    return known.withColumn("row_mark", delta.article_mark(known)).select("article_url", "row_mark")
+def _document_versions(spark: SparkSession, d: str, text: Column, scraped_at: datetime) -> DataFrame:
+    """Documents as transformed article rows."""
+    values = {
+        "article_url": F.concat(F.lit("doc/"), "doc_id"), "source_name": F.col("source"), "category_name": F.col("lang"),
+        "published_at": F.lit(DAY_1), "content": text, "scraped_at": F.lit(scraped_at), "run_id": F.lit(RUN_ID),
+    }
+    return _texts(spark, d, "documents").select(*[values.get(c, F.lit("N/A")).alias(c) for c in DELTA_COLUMNS])
 
 
 def staging_delta(spark: SparkSession, d: str) -> DataFrame:
-    """The new load holds every order at its new price, and at its first price from the day before."""
-    load = _order_articles(spark, d, _raised(), DAY_2).unionByName(
-        _order_articles(spark, d, F.col("o_totalprice"), DAY_1))
-    return delta.staging_delta(load, _known_marks(spark, d)).select(
-        "article_url", "change", dates.time_text(F.col("scraped_at")).alias("scraped_at"))
+    """The new load holds every document, the German ones longer, and as it was the day before.
+
+    What the warehouse knows: the documents that are not Spanish, as they were first.
+    """
+    first, longer = F.col("text"), F.when(F.col("lang") == "de", F.concat("text", F.lit(" more"))).otherwise(F.col("text"))
+    known = _document_versions(spark, d, first, DAY_1).filter("category_name <> 'es'")
+    marks = materialize(known.select("article_url", delta.article_mark(known).alias("row_mark")), "known-marks")
+    load = materialize(_document_versions(spark, d, longer, DAY_2).unionByName(
+        _document_versions(spark, d, first, DAY_1)), "transformed")
+    return delta.staging_delta(load, marks).select(
+        "article_url", "change", "content", dates.time_text(F.col("scraped_at")).alias("scraped_at"))
 
 
 def _priced(spark: SparkSession, d: str, price: Column) -> DataFrame:
@@ -501,19 +523,65 @@ def warehouse_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def merge_touched_partitions(spark: SparkSession, d: str) -> DataFrame:
-    """The same in a table by year, where raised orders also move on by a year."""
+    """The same in a table by year and bucket, where raised orders also move on by a year."""
     db = _fresh_database(spark, "merge_query")
-    current = _priced(spark, d, F.col("o_totalprice")).filter("o_orderstatus <> 'P'")
-    tables.create_table(spark, f"{db}.orders", current.schema, ["o_year"])
+    places = ["o_year", "bucket"]
+    bucket = (F.col("o_orderkey") % 8).cast("int")
+    current = _priced(spark, d, F.col("o_totalprice")).filter("o_orderstatus <> 'P'").withColumn("bucket", bucket)
+    tables.create_table(spark, f"{db}.orders", current.schema, places)
     tables.append_rows(current, f"{db}.orders")
     moved = _priced(spark, d, _raised()).withColumn(
         "o_year", F.col("o_year") + F.when(F.col("o_totalprice") > 400000, 1).otherwise(0))
-    moved = moved.withColumn("row_mark", urls.row_mark("o_orderstatus", "o_totalprice", "o_year"))
+    moved = moved.withColumns({"bucket": bucket, "row_mark": urls.row_mark("o_orderstatus", "o_totalprice", "o_year")})
     changes = delta.find_changes(moved, spark.table(f"{db}.orders"), ["o_orderkey"], "row_mark")
-    tables.merge_rows(spark, f"{db}.orders", changes, ["o_orderkey"], ["o_year"])
+    tables.merge_rows(spark, f"{db}.orders", changes, ["o_orderkey"], places)
     return spark.table(f"{db}.orders").drop("row_mark")
 
 
+def _count_tables(spark: SparkSession, d: str, db: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as fact rows and their tags as bridge pairs, each in the month of its order."""
+    month = ["article_year", "article_month"]
+    customers = _table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                                    F.col("c_nationkey").cast("long").alias("source_key"))
+    orders = lookup(_table(spark, d, "orders"), customers, "o_custkey", "inner").select(
+        "o_orderkey", *_article_id("o_orderkey", "order/"), "o_orderstatus", "source_key",
+        F.left("o_orderpriority", F.lit(1)).cast("long").alias("category_key"),
+        F.year("o_orderdate").alias("article_year"), F.month("o_orderdate").alias("article_month"))
+    words = _order_tags(spark, d).select(*ARTICLE_ID, (F.ascii("tag_name") * 100 + F.length("tag_name")).cast("long").alias("tag_key"))
+    pairs = words.distinct().join(orders.select(*ARTICLE_ID, "o_orderstatus", *month), ARTICLE_ID)
+    for table, rows in (("fact", orders.drop("o_orderstatus")), ("bridge", pairs.drop("o_orderstatus"))):
+        tables.create_table(spark, f"{db}.{table}", rows.schema, month)
+    tables.create_table(spark, f"{db}.counts", MART_AGGREGATE, month)
+    return orders, pairs
+
+
+def _apply_delta(spark: SparkSession, db: str, orders: DataFrame, pairs: DataFrame) -> list[tuple]:
+    """Merge orders and their pairs into fact and bridge, and count the touched months anew; these months."""
+    month = ["article_year", "article_month"]
+    orders, pairs = materialize(orders, "delta-orders"), materialize(pairs, "delta-pairs")
+    before = materialize(with_keys(
+        spark.table(f"{db}.fact").select("o_orderkey", *month), orders, ["o_orderkey"]), "before")
+    months = [tuple(r) for r in warehouse.touched_months(orders, before).collect()]
+    tables.merge_rows(spark, f"{db}.fact", orders, ["o_orderkey"], month, written=True)
+    tables.merge_rows(spark, f"{db}.bridge", pairs, ARTICLE_ID, month, written=True)
+    counts = mart.recounted(spark.table(f"{db}.fact"), spark.table(f"{db}.bridge"), months)
+    tables.replace_places(counts, f"{db}.counts", month, months)
+    return months
+
+
+def incremental_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly counts after two deltas: first the orders not pending; then the pending ones of 2000, and some of 2001 in another category."""
+    db = _fresh_database(spark, "count_query")
+    orders, pairs = _count_tables(spark, d, db)
+    settled = F.col("o_orderstatus") != "P"
+    _apply_delta(spark, db, orders.filter(settled).drop("o_orderstatus"), pairs.filter(settled).drop("o_orderstatus"))
+    late = ~settled & (F.col("article_year") == 2000)
+    changed = orders.filter(settled & (F.col("article_year") == 2001) & (F.col("o_orderkey") % 7 == 0)).withColumn(
+        "category_key", F.lit(9).cast("long"))
+    _apply_delta(spark, db, orders.filter(late).unionByName(changed).drop("o_orderstatus"), pairs.filter(late).drop("o_orderstatus"))
+    return spark.table(f"{db}.counts").select(*[f.name for f in MART_AGGREGATE.fields])
+
+
 def dim_new_members(spark: SparkSession, d: str) -> DataFrame:
     """Customers in credit have keys already; the others are numbered after them."""
     customers = _table(spark, d, "customer").select(F.col("c_name").alias("author_name"), "c_acctbal")
@@ -524,14 +592,14 @@ def dim_new_members(spark: SparkSession, d: str) -> DataFrame:
 
 def fact_dimension_keys(spark: SparkSession, d: str) -> DataFrame:
     """Order articles with the keys of their category, source, author and date."""
-    buffer = nulls.tokens_to_null(_order_articles(spark, d, F.col("o_totalprice"), DAY_1))
+    buffer = materialize(nulls.tokens_to_null(_order_articles(spark, d, F.col("o_totalprice"), DAY_1)), "buffer")
     def dim(prefix: str, name: str) -> DataFrame:
         none = spark.createDataFrame([], dimension(prefix))
         return dimensions.extended(none, buffer.select(F.col(name).alias(f"{prefix}_name")),
                                    f"{prefix}_key", f"{prefix}_name")
     rows = warehouse.fact_rows(buffer, dim("category", "category_name"), dim("source", "source_name"),
                                dim("author", "author_name"))
-    return rows.select("article_key", "article_url", "date_key", "category_key", "source_key", "author_key",
+    return rows.select(*ARTICLE_ID, "article_url", "bucket", "date_key", "category_key", "source_key", "author_key",
                        "article_year", "article_month")
 
 
@@ -560,6 +628,47 @@ def run_outcome(spark: SparkSession, d: str) -> DataFrame:
         "status", "note").agg(F.count("*").alias("n_runs"))
 
 
+def run_log_counters(spark: SparkSession, d: str) -> DataFrame:
+    """How the steps of a log ended: rows, none, an error that leaves the table, no result, a part of a run, no jobs."""
+    db = _fresh_database(spark, "log_query")
+    log = runlog.RunLog(spark, f"{db}.run_log")
+    customers = _table(spark, d, "customer").select("c_custkey", "c_name")
+    kept = customers.filter("c_custkey % 3 = 0")
+
+    def load(rows: DataFrame) -> Callable[[str], tuple[int, int]]:
+        def step(run_id: str) -> tuple[int, int]:
+            n = tables.replace_rows(rows, f"{db}.customer")
+            return n, n
+
+        return step
+
+    def sync(run_id: str) -> tuple[int, int]:
+        bridge, compared = _compared_tags(spark, d)
+        _, seen = materialize_observed(compared, "log-tags", tag_bridge.sync_metrics())
+        log.note("sync_tags", f"{run_id}/tags", seen["updated"] + seen["skipped"], seen["updated"])
+        return bridge.count(), seen["updated"]
+
+    def fail(run_id: str) -> tuple[int, int]:
+        broken = customers.withColumn("c_name", F.when(F.col("c_custkey") > 0, F.raise_error(F.lit("no name"))))
+        return load(broken)(run_id)
+
+    def stop(run_id: str) -> tuple[int, int]:
+        raise FileNotFoundError("no article file")
+
+    for name, step in [("empty", load(customers.limit(0))), ("customers", load(kept)), ("broken", stop), ("tags", sync),
+                       ("nothing", lambda run_id: None)]:
+        log.run(name, step)
+    _, status = log.run("failing load", fail)
+    log.check(crawl_jobs.NO_JOBS)
+    rows = log.rows()
+    names = rows.filter(F.col("event") == runlog.START).select("run_id", "job_name")
+    ended = rows.filter((F.col("event") == runlog.END)).drop("job_name").join(names, "run_id").filter("job_name <> 'failing load'")
+    left = spark.table(f"{db}.customer").select(F.lit(f"left after {status}").alias("job_name"), F.lit(None).alias("status"),
+                                                F.col("c_custkey").alias("extracted"), F.lit(None).alias("loaded"),
+                                                F.col("c_name").alias("error"))
+    return ended.select("job_name", "status", "extracted", "loaded", "error").unionByName(left)
+
+
 # --- dates ------------------------------------------------------------------------------------
 
 def _order_calendar(spark: SparkSession, d: str) -> DataFrame:
@@ -578,6 +687,19 @@ def date_dim_positional(spark: SparkSession, d: str) -> DataFrame:
     return date_dim.from_wide_rows(csv_files.read_wide_dates(spark, path))
 
 
+def published_page_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates as news pages print them: with a weekday in front, or the session's offset behind."""
+    date, offset = F.col("o_orderdate"), F.date_format("o_orderdate", "xxx")
+    forms = F.array(
+        F.concat(F.lit("Thứ hai, "), F.date_format(date, "d/M/yyyy, H:mm"), F.lit(" (GMT"), offset, F.lit(")")),
+        F.concat(F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss"), offset),
+        F.concat(F.lit("Thứ 7, "), F.date_format(date, "d-M-yyyy H:mm")),
+        F.concat(F.lit(" "), F.date_format(date, "d/M/yyyy"), F.lit(" ")),
+        F.lit("hôm qua"))
+    said = _table(spark, d, "orders").select("o_orderkey", F.get(forms, (F.col("o_orderkey") % 5).cast("int")).alias("said"))
+    return said.select("o_orderkey", dates.time_text(dates.parse_published(F.col("said"))).alias("published_at"))
+
+
 # --- files ------------------------------------------------------------------------------------
 
 def _document_delta(spark: SparkSession, d: str) -> DataFrame:
@@ -688,9 +810,7 @@ def mart_publish(spark: SparkSession, d: str) -> DataFrame:
     paths = csv_files.mart_paths(folder, "20240101")
     csv_files.dump_tables(frames, paths)
 
-    schemas = {"Agg_Mart_Top_Trends": MART_AGGREGATE, **{t: df.schema for t, df in dims.items()}}
-    for table, schema in schemas.items():
-        tables.create_table(spark, f"{db}.{table}", schema)
+    publication.create(spark, db, {"Agg_Mart_Top_Trends": MART_AGGREGATE, **{t: df.schema for t, df in dims.items()}})
     mart.load_mart(spark, paths, db)
     agg = spark.table(f"{db}.Agg_Mart_Top_Trends")
     parts = [agg.select(
@@ -707,6 +827,35 @@ def mart_publish(spark: SparkSession, d: str) -> DataFrame:
     return result
 
 
+def publish_after_failure(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables published, then a publication whose second table fails: both are as before, and nothing is left over."""
+    db = _fresh_database(spark, "publish_query")
+    customers = _table(spark, d, "customer").select("c_custkey", F.lower("c_name").alias("c_name"))
+    suppliers = _table(spark, d, "supplier").select("s_suppkey", "s_name")
+    publication.publish(spark, db, {"customer": customers, "supplier": suppliers})
+    broken = suppliers.withColumn("s_name", F.when(F.col("s_suppkey") > 0, F.raise_error(F.lit("no name"))))
+    try:
+        publication.publish(spark, db, {"customer": customers.filter("c_custkey < 9"), "supplier": broken})
+    except Exception:
+        loaded = spark.table(f"{db}.customer__rows").select("publication").distinct().count()
+        publication.recover(spark, db)
+    left = spark.table(f"{db}.customer__rows").select("publication").distinct().count()
+    return spark.table(f"{db}.customer").select(
+        F.lit("customer").alias("table_name"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name")).unionByName(
+        spark.table(f"{db}.supplier").select(F.lit("supplier").alias("table_name"), "s_suppkey", "s_name").toDF(
+            "table_name", "key", "name")).withColumns({"loaded": F.lit(loaded), "left": F.lit(left)})
+
+
+def header_hygiene(spark: SparkSession, d: str) -> DataFrame:
+    """A mart file with spaces in its header and columns without a real name."""
+    path = scratch_path(spark, "header-file")
+    rows = _table(spark, d, "customer").select(
+        F.col("c_custkey").alias("Unnamed: 0"), F.col("c_custkey").alias(" c_custkey "), F.col("c_nationkey").alias("NaN"),
+        F.when(F.col("c_nationkey") > 5, F.col("c_name")).alias("c_name\t"), F.lit("x").alias(" "))
+    csv_files.write_with_header(rows, path)
+    return csv_files.read_mart_file(spark, path)
+
+
 QUERIES = {
     f.__name__: f for f in (
         agg_mart_monthly, top_trends, article_key, clean_html, html_text, entity_text, player_texts, clean_text,
@@ -719,6 +868,7 @@ QUERIES = {
         merge_touched_partitions, dim_new_members, fact_dimension_keys, run_state, open_runs,
         run_outcome, date_dimension, date_dim_positional, csv_delta_roundtrip, csv_article_scan,
         latest_file, daily_article_sink, streamed_staging, config_append, truncate_load,
-        append_insert, mart_publish,
+        append_insert, mart_publish, incremental_counts, run_log_counters, published_page_forms, publish_after_failure,
+        header_hygiene,
     )
 }

@@ -50,6 +50,11 @@ NULL_TOKENS = [
 ]
 # End of fixed values.
 
+# What names an article in the warehouse: the CRC-32 of its address, and 60 further bits, as CRCs collide.
+ARTICLE_ID = ["article_key", "address_mark"]
+# A month of the fact is split into so many buckets, which a merge rewrites one by one.
+FACT_BUCKETS = 16
+
 STAGING = text_columns(*STAGING_COLUMNS)
 DELTA = text_columns(*DELTA_COLUMNS)
 
@@ -73,6 +78,7 @@ DATE_DIM = T.StructType([
 
 ARTICLE_FACT = T.StructType([
     T.StructField("article_key", T.LongType()),
+    T.StructField("address_mark", T.LongType()),
     T.StructField("article_url", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("description", T.StringType()),
@@ -87,14 +93,22 @@ ARTICLE_FACT = T.StructType([
     T.StructField("row_mark", T.StringType()),
     T.StructField("article_year", T.IntegerType()),
     T.StructField("article_month", T.IntegerType()),
+    T.StructField("bucket", T.IntegerType()),
+])
+
+MONTH = T.StructType([
+    T.StructField("article_year", T.IntegerType()),
+    T.StructField("article_month", T.IntegerType()),
 ])
 
 BRIDGE = T.StructType([
     T.StructField("article_key", T.LongType()),
+    T.StructField("address_mark", T.LongType()),
     T.StructField("tag_key", T.LongType()),
 ])
 
-BRIDGE_BY_MONTH = T.StructType(BRIDGE.fields + [T.StructField("load_month", T.IntegerType())])
+# Pairs lie in the month of their article.
+BRIDGE_BY_MONTH = T.StructType(BRIDGE.fields + MONTH.fields)
 
 MART_AGGREGATE = T.StructType([
     T.StructField(c, T.IntegerType() if c in ("article_year", "article_month") else T.LongType())

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 ADAPTIVE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -13,8 +15,6 @@ ADAPTIVE_DEFAULTS = {
     # Split a partition that one hot key has blown up, also when that costs a later shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Type-1 merges rewrite only the partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -53,6 +53,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block; the caller's own value comes back after it."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -69,6 +83,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, label: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
+    """The same, with aggregates over the rows, taken as they are written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    seen = Observation()
+    df.observe(seen, *metrics).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal out a table just read, if its files are too few for all cores, before costly work per row.
 

@@ -7,9 +7,9 @@ writers therefore write a folder of part files, which is read in parallel.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,13 @@ def read_with_header(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     return spark.read.options(header=True, inferSchema=False, **_READ).csv(path)
 
 
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """The number of rows that `write` writes, counted on the way."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
+
+
 def write_with_header(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, **_WRITE).csv(path)
 
@@ -43,21 +50,23 @@ def read_articles(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return raw.toDF(*names)
 
 
-def write_daily_articles(df: DataFrame, path: str, day: Column, fmt: str = "parquet") -> None:
-    """Articles under a folder per crawl day; writing a day again replaces that day only."""
-    writer = df.select(*ARTICLE_CSV).withColumn("crawl_date", day).write.mode("overwrite").partitionBy(
-        "crawl_date").option("partitionOverwriteMode", "dynamic")
-    if fmt == "csv":
-        writer = writer.options(header=True, **_WRITE)
-    writer.format(fmt).save(path)
+def write_daily_articles(df: DataFrame, path: str, day: Column, fmt: str = "parquet") -> int:
+    """Articles under a folder per crawl day; writing a day again replaces that day only. Rows written."""
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite").partitionBy("crawl_date").option("partitionOverwriteMode", "dynamic")
+        if fmt == "csv":
+            writer = writer.options(header=True, **_WRITE)
+        writer.format(fmt).save(path)
+
+    return _counted(df.select(*ARTICLE_CSV).withColumn("crawl_date", day), write)
 
 
 # --- delta ------------------------------------------------------------------------------------
 
-def write_delta(df: DataFrame, path: str) -> None:
-    """Headerless, in the column order that the warehouse load counts on; times as text."""
-    df.select(*[F.col(c).cast("string").alias(c) for c in DELTA_COLUMNS]).write.mode("overwrite").options(
-        header=False, **_WRITE).csv(path)
+def write_delta(df: DataFrame, path: str) -> int:
+    """Headerless, in the column order that the warehouse load counts on; times as text. Rows written."""
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in DELTA_COLUMNS])
+    return _counted(texts, lambda rows: rows.write.mode("overwrite").options(header=False, **_WRITE).csv(path))
 
 
 def read_delta(spark: SparkSession, path: str) -> DataFrame:

@@ -8,14 +8,14 @@ write has succeeded; merges rewrite only the partitions they touch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.operators.lookup import with_keys
-from newsloom.session import materialize, tune
+from newsloom.session import materialize, setting
 
 
 def create_table(spark: SparkSession, table: str, schema: T.StructType,
@@ -26,17 +26,30 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{places}")
 
 
-def append_rows(df: DataFrame, table: str) -> None:
-    """Append by column name; columns that `df` lacks become NULL."""
+def append_rows(df: DataFrame, table: str) -> int:
+    """Append by column name; columns that `df` lacks become NULL. Rows written."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        df.write.format("parquet").saveAsTable(table)
-        return
-    _insert_by_name(df, table, overwrite=False)
+        create_table(spark, table, df.schema)
+    return insert_by_name(df, table)
+
+
+def in_places(columns: Sequence[str], places: Collection[Sequence]) -> Column:
+    """Does a row lie in one of these partitions? On partition columns alone, so the other partitions are not read."""
+    def marked(values: Sequence) -> str:
+        return "/".join("-" if v is None else f"={v}" for v in values)
+
+    place = F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+    return place.isin(*[marked(p) for p in places]) if places else F.lit(False)
 
 
-def _insert_by_name(df: DataFrame, table: str, overwrite: bool) -> None:
-    target = df.sparkSession.table(table).schema
+def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> int:
+    """Insert by column name, columns that `df` lacks as NULL; the number of rows, counted as they are written.
+
+    With `overwrite`, the partitions that `df` has rows for are replaced.
+    """
+    spark = df.sparkSession
+    target = spark.table(table).schema
     present = {c.lower(): c for c in df.columns}
     unknown = set(present) - {f.name.lower() for f in target.fields}
     if unknown:
@@ -52,30 +65,61 @@ def _insert_by_name(df: DataFrame, table: str, overwrite: bool) -> None:
 
     columns = [value(f.name, f.dataType).cast(f.dataType).alias(f.name) for f in target.fields]
     rows = df.select(*columns)
-    places = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
+    places = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if places:
         # Gather a partition's rows into few files; a large partition is split again at run time.
         rows = rows.hint("rebalance", *places)
-    rows.write.insertInto(table, overwrite=overwrite)
+    # Observed behind the last shuffle, so that a repeated task counts once.
+    seen = Observation()
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.insertInto(table, overwrite=overwrite)
+    return seen.get["n"]
+
+
+# --- replacement by swap ------------------------------------------------------------------------
+#
+# A replacement is loaded into clones `<table>_temp_<suffix>`. When all are loaded, a row in the swap log says so: before
+# it, nothing has happened, and after it, the swap is completed, by this run or by the next start (`recover`).
+
+LOADED, DONE = "LOADED", "DONE"
+SWAP_LOG_SCHEMA = T.StructType([
+    T.StructField("suffix", T.StringType()), T.StructField("tables", T.StringType()),
+    T.StructField("state", T.StringType()), T.StructField("logged_at", T.TimestampType())])
+
+
+def _database(table: str) -> str:
+    return table.rsplit(".", 1)[0]
+
+
+def _swap_log(database: str) -> str:
+    return f"{database}.swap_log"
+
+
+def _log_swap(spark: SparkSession, database: str, suffix: str, names: Sequence[str], state: str) -> None:
+    create_table(spark, _swap_log(database), SWAP_LOG_SCHEMA)
+    # One file, which is there as a whole or not at all.
+    insert_by_name(spark.range(0, 1, 1, 1).select(
+        F.lit(suffix).alias("suffix"), F.lit(",".join(names)).alias("tables"), F.lit(state).alias("state"),
+        F.current_timestamp().alias("logged_at")), _swap_log(database))
 
 
 def temp_suffix() -> str:
     return f"_temp_{uuid.uuid4().hex[:8]}"
 
 
+def _aside(suffix: str) -> str:
+    return suffix.replace("_temp_", "_old_")
+
+
 def publish(spark: SparkSession, frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Replace the tables by the given rows, all of them or none.
+    """Replace tables of one database by the given rows, all of them or none; rows per table.
 
-    Each is loaded into a temporary clone first. Only when all loads have
-    succeeded are the live tables renamed out of the way, the clones renamed to
-    them, and the old tables dropped last. If anything fails before that, the old
-    names are restored and the clones dropped. Gives rows per table.
+    Between the renames of a table it is missing for a moment. Where readers must see several tables change as
+    one, use `sources.publication`.
     """
     suffix = temp_suffix()
-    aside = suffix.replace("_temp_", "_old_")
+    database = _database(next(iter(frames)))
     loaded = {}
-    moved: list[str] = []
-    placed: list[str] = []
     try:
         for table, df in frames.items():
             clone = table + suffix
@@ -83,27 +127,43 @@ def publish(spark: SparkSession, frames: Mapping[str, DataFrame]) -> dict[str, i
                 spark.sql(f"CREATE TABLE {clone} LIKE {table}")
             else:
                 create_table(spark, clone, df.schema)
-            _insert_by_name(df, clone, overwrite=False)
-            loaded[table] = spark.table(clone).count()
-        for table in frames:
-            if spark.catalog.tableExists(table):
-                _rename(spark, table, table + aside)
-                moved.append(table)
-            _rename(spark, table + suffix, table)
-            placed.append(table)
+            loaded[table] = insert_by_name(df, clone)
     except Exception:
-        for table in placed:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-        for table in moved:
-            _rename(spark, table + aside, table)
         for table in frames:
             spark.sql(f"DROP TABLE IF EXISTS {table + suffix}")
         raise
-    for table in moved:
-        spark.sql(f"DROP TABLE IF EXISTS {table + aside}")
+    _log_swap(spark, database, suffix, list(frames), LOADED)
+    _swap(spark, database, suffix, list(frames))
     return loaded
 
 
+def _swap(spark: SparkSession, database: str, suffix: str, names: Sequence[str]) -> None:
+    """Put loaded clones in the place of their tables, from wherever an earlier attempt was left."""
+    for table in names:
+        clone, old = table + suffix, table + _aside(suffix)
+        if spark.catalog.tableExists(clone):
+            if spark.catalog.tableExists(table):
+                _rename(spark, table, old)
+            _rename(spark, clone, table)
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    _log_swap(spark, database, suffix, names, DONE)
+
+
+def recover(spark: SparkSession, database: str) -> None:
+    """Complete swaps that were logged as loaded and not done, and drop clones of those that were not loaded."""
+    if not spark.catalog.databaseExists(database):
+        return
+    if spark.catalog.tableExists(_swap_log(database)):
+        spark.catalog.refreshTable(_swap_log(database))
+        log = spark.table(_swap_log(database))
+        done = log.filter(F.col("state") == DONE).select("suffix")
+        # Only swaps of runs that broke off: as a rule none.
+        for row in log.filter(F.col("state") == LOADED).join(done, "suffix", "left_anti").orderBy("logged_at").collect():
+            _swap(spark, database, row["suffix"], row["tables"].split(","))
+    for row in spark.sql(f"SHOW TABLES IN {database}").filter(F.col("tableName").rlike("_temp_[0-9a-f]{8}$")).collect():
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{row['tableName']}")
+
+
 def _rename(spark: SparkSession, old: str, new: str) -> None:
     spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
@@ -125,11 +185,11 @@ def merge_rows(spark: SparkSession, table: str, incoming: DataFrame, key: Sequen
 
     `incoming` replaces all rows of its keys and those of `removed`. Both may
     come out of the table itself, so they are written down first, unless the
-    caller says that they stem from `written` rows. Only key and partition
-    columns are read to find the partitions. The list of them is held in the
-    driver: partitions are calendar months, so it is short.
+    caller says that they stem from `written` rows. Key and partition columns
+    are read to find the partitions, and which of them end up empty; whole rows
+    are read and written once, in these partitions. The list of them is held in the
+    driver: partitions are calendar months or buckets of them, so it is short.
     """
-    tune(spark)
     key, partition_by = list(key), list(partition_by)
     incoming = incoming.select(*spark.table(table).columns)
     if not written:
@@ -139,24 +199,37 @@ def merge_rows(spark: SparkSession, table: str, incoming: DataFrame, key: Sequen
         gone = gone.unionByName(removed.select(*key))
     gone = materialize(gone.distinct(), "merge-keys")
 
-    old_places = with_keys(spark.table(table).select(*key, *partition_by), gone, key).select(*partition_by)
-    touched = {tuple(r) for r in old_places.unionByName(incoming.select(*partition_by)).distinct().collect()}
-    if not touched:
+    held = with_keys(spark.table(table).select(*key, *partition_by), gone.withColumn("_gone", F.lit(True)), key, "left")
+    per_place = held.groupBy(*partition_by).agg(
+        F.count_if(F.col("_gone").isNotNull()).alias("_gone"), F.count("*").alias("_held")).filter("_gone > 0")
+    old = {tuple(r[c] for c in partition_by): r["_held"] - r["_gone"] for r in per_place.collect()}
+    new = {tuple(r) for r in incoming.select(*partition_by).distinct().collect()}
+    if not old and not new:
         return
-    place = F.concat_ws("/", *[F.col(c).cast("string") for c in partition_by])
-    in_touched = place.isin(*["/".join(str(v) for v in p if v is not None) for p in touched])
     current = spark.table(table)
-    kept = with_keys(current.filter(in_touched), gone, key, "left_anti").select(*current.columns)
-    result = kept.unionByName(incoming)
-    left = {tuple(r) for r in result.select(*partition_by).distinct().collect()}
-    _insert_by_name(result, table, overwrite=True)
-    for values in touched - left:
-        # No row is left there, so the overwrite has not reached it.
+    kept = with_keys(current.filter(in_places(partition_by, old.keys() | new)), gone, key, "left_anti")
+    insert_by_name(kept.select(*current.columns).unionByName(incoming), table, overwrite=True)
+    drop_places(spark, table, partition_by, [p for p, left in old.items() if not left and p not in new])
+
+
+def drop_places(spark: SparkSession, table: str, partition_by: Sequence[str], places: Sequence[Sequence]) -> None:
+    """Drop partitions that an overwrite has not reached, as no row is left for them."""
+    for values in places:
         spec = ", ".join(f"{c}={_sql_literal(v)}" for c, v in zip(partition_by, values))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(table)
 
 
+def replace_places(df: DataFrame, table: str, partition_by: Sequence[str], places: Sequence[Sequence]) -> int:
+    """Replace the named partitions of a table by `df`, which has rows for these only; rows written."""
+    spark = df.sparkSession
+    rows = materialize(df, "replaced-places")
+    left = {tuple(r) for r in rows.select(*partition_by).distinct().collect()}
+    n = insert_by_name(rows, table, overwrite=True)
+    drop_places(spark, table, partition_by, [p for p in places if tuple(p) not in left])
+    return n
+
+
 def _sql_literal(value) -> str:
     if value is None:
         return "NULL"

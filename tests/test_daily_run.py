@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import runlog
 from newsloom.plans.daily_run import DailyRun, Layers
-from newsloom.schemas import ARTICLE_CSV
+from newsloom.schemas import ARTICLE_CSV, ARTICLE_ID
 from newsloom.sources import csv_files, tables
 from test_extraction import tables as crawl_tables
 
@@ -24,7 +24,7 @@ def write(spark, tmp_path, rows, name):
 def state(spark, at):
     facts = {r.article_url: (r.title, r.article_year, r.article_month) for r in spark.table(at.fact).collect()}
     tags = spark.table(at.bridge).join(spark.table(at.dim("tag")), "tag_key").join(
-        spark.table(at.fact).select("article_key", "article_url"), "article_key")
+        spark.table(at.fact).select(*ARTICLE_ID, "article_url"), ARTICLE_ID)
     mart = {tuple(r) for r in spark.table(f"{at.mart}.Agg_Mart_Top_Trends").collect()}
     return facts, {(r.article_url, r.tag_name) for r in tags.collect()}, mart
 
@@ -42,7 +42,7 @@ def test_days(spark, tmp_path):
         article("http://a/1", "t1", "a, b"), article("http://a/2", "t2", "b, c", published="10/12/2023 08:00"),
         article("http://a/3", "t3", "N/A"), article("http://a/1", "t1 new", "a, b", scraped="2024-01-01 07:00:00")],
         "article_010124.csv")
-    assert run.run_day("20240101", 202401) == ok
+    assert run.run_day("20240101") == ok
     facts, tags, mart = state(spark, run.layers)
     assert facts == {"http://a/1": ("t1 new", 2024, 1), "http://a/2": ("t2", 2023, 12), "http://a/3": ("t3", 2024, 1)}
     assert tags == {("http://a/1", "a"), ("http://a/1", "b"), ("http://a/2", "b"), ("http://a/2", "c")}
@@ -51,15 +51,16 @@ def test_days(spark, tmp_path):
     assert content == "Xin chào ."
 
     # The same file again: an empty delta, and nothing moves.
-    assert run.run_day("20240102", 202401) == ok
+    assert run.run_day("20240102") == ok
     assert state(spark, run.layers) == (facts, tags, mart)
-    assert ends(run)[9:12] == [("load_delta", "SUCCESS", 0, 0), ("export_staging_file", "SUCCESS", 0, 0),
-                               ("load_warehouse", "SUCCESS", 0, 0)]
+    assert ends(run)[4:6] == [("sync_tags", "SUCCESS", 2, 2), ("load_warehouse", "SUCCESS", 3, 3)]
+    assert ends(run)[10:14] == [("load_delta", "SUCCESS", 0, 0), ("export_staging_file", "SUCCESS", 0, 0),
+                                ("sync_tags", "SUCCESS", 0, 0), ("load_warehouse", "SUCCESS", 0, 0)]
 
     write(spark, tmp_path, [
         article("http://a/2", "t2 newer", "d", scraped="2024-02-03 07:00:00", published="2024-02-01 05:00:00"),
         article("http://a/4", "t4", "d")], "article_030224.csv")
-    assert run.run_day("20240203", 202402) == ok
+    assert run.run_day("20240203") == ok
     facts, tags, _ = state(spark, run.layers)
     assert facts["http://a/2"] == ("t2 newer", 2024, 2) and len(facts) == 4
     assert {t for t in tags if t[0] == "http://a/2"} == {("http://a/2", "d")}
@@ -70,7 +71,7 @@ def test_failures_are_logged_and_leave_the_tables(spark, tmp_path):
     run = make(spark, tmp_path, "fails")
     assert run.load_staging() == "FAILED"
     write(spark, tmp_path, [article("http://a/1", "t1", "a")], "article_010124.csv")
-    assert run.run_day("20240101", 202401) == ["SUCCESS"] * 7
+    assert run.run_day("20240101") == ["SUCCESS"] * 7
     before = state(spark, run.layers)
     assert run.load_mart("20991231") == "FAILED"
     assert state(spark, run.layers) == before
@@ -83,7 +84,7 @@ def test_busy_while_a_run_is_open(spark, tmp_path):
     open_id = run.log.start("other")
     assert run.log.start("next") is None
     assert run.load_delta() == "BUSY"
-    run.log.end(open_id, "SUCCESS", 0, 0)
+    run.log.end(open_id, runlog.ROWS, 0, 0)
     assert run.load_delta() == "SUCCESS"
     last = {r.run_id: r for r in runlog.run_state(run.log.rows()).collect()}
     assert last[open_id].event == "END" and last[open_id].status == "SUCCESS"
@@ -104,7 +105,7 @@ def test_crawl(spark, tmp_path):
     assert [(r.id, r.article_url) for r in clean] == [(1, "https://vn/a1"), (2, "https://vn/a1"), (3, "https://vn/a2")]
     jobs = run.log.rows().filter("event = 'END' AND run_id LIKE '%/%'").orderBy("run_id").collect()
     assert [(r.run_id.split("/")[-1], r.config_id, r.status, r.extracted, r.loaded, r.error) for r in jobs] == [
-        ("Gone", 1, "FAILED", 0, 0, "Start page not found"), ("Xe", 1, "SUCCESS", 3, 3, None),
+        ("Gone", 1, "FAILED", 0, 0, "Start page not found"), ("Xe", 1, "SUCCESS", 3, 3, "Pages failed: 1"),
         ("Zero", 1, "SUCCESS", 0, 0, "No article found")]
 
 
@@ -117,12 +118,12 @@ def test_crawl_to_mart(spark, tmp_path):
         tables.append_rows(categories, "chain_control.crawl_categories")
     write(spark, tmp_path, [article("http://stale/1", "old", "a")], "article_300124.csv")
     assert run.crawl_articles(pages, F.lit("310124")) == "SUCCESS"
-    assert run.run_day("20240131", 202401, crawled=True) == ["SUCCESS"] * 7
+    assert run.run_day("20240131", crawled=True) == ["SUCCESS"] * 7
     facts, tags, counts = state(spark, run.layers)
     assert facts == {"https://vn/a1": ("First", None, None), "https://vn/a2": (None, None, None)}
     assert tags == {("https://vn/a1", "xe"), ("https://vn/a1", "nhà")} and {m[:2] for m in counts} == {(None, None)}
     # A day without crawled articles takes in nothing.
-    assert run.run_day("20240201", 202402, crawled=True) == ["SUCCESS"] * 7
+    assert run.run_day("20240201", crawled=True) == ["SUCCESS"] * 7
     assert state(spark, run.layers) == (facts, tags, counts)
 
 

@@ -67,7 +67,7 @@ def test_a_bad_page_costs_its_record_only(spark):
         ("0", "T", None), ("1", None, "Page is not text"), ("2", None, "Page not fetched"), ("3", None, "Page not fetched")}
     named = outcomes.select("config_id", F.col("source_name_raw").alias("source_name"), "error")
     row, = crawl_jobs.job_summary(jobs.select("config_id", "source_name"), named, ["config_id", "source_name"]).collect()
-    assert (row.status, row.extracted, row.note) == ("SUCCESS", 1, "3 pages failed")
+    assert (row.status, row.extracted, row.note) == ("SUCCESS", 1, "Pages failed: 3")
 
 
 def test_the_last_version_of_a_page_counts(spark):

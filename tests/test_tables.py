@@ -1,12 +1,14 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import delta, dimensions, mart
 from newsloom.operators.lookup import lookup, measured_bytes
-from newsloom.operators.ordering import number_rows, running_total
+from newsloom.operators.ordering import arrival_ids, number_rows, running_total
 from newsloom.schemas import dimension
 from newsloom.session import scratch_dir
-from newsloom.sources import csv_files, tables
+from newsloom.sources import csv_files, publication, tables
 
 
 @pytest.fixture
@@ -39,7 +41,7 @@ def test_publish_all_or_none(spark, db):
     with pytest.raises(Exception):
         tables.publish(spark, {f"{db}.t1": one, f"{db}.t2": bad})
     assert rows(spark.table(f"{db}.t1")) == [(2, "b"), (3, "c")]
-    assert tables_of(spark, db) == ["t1", "t2"]
+    assert tables_of(spark, db) == ["swap_log", "t1", "t2"]
 
 
 def test_unknown_columns_are_refused(spark, db):
@@ -48,16 +50,150 @@ def test_unknown_columns_are_refused(spark, db):
         tables.append_rows(spark.createDataFrame([(1, 2)], "k int, other int"), f"{db}.t")
 
 
+def one_row(spark, value):
+    return spark.createDataFrame([(value,)], "v string")
+
+
+@pytest.mark.parametrize("gap", range(7))
+def test_a_swap_that_breaks_off_is_mended_at_the_next_start(spark, db, gap, monkeypatch):
+    """The process ends after any number of renames, drops and log rows; before the log row all is old, after it all new."""
+    names = [f"{db}.a", f"{db}.b"]
+    tables.publish(spark, {n: one_row(spark, "old") for n in names})
+    steps = []
+
+    def ending(step):
+        def run(*args, **kinds):
+            if len(steps) == gap:
+                raise SystemExit
+            steps.append(step)
+            return step(*args, **kinds)
+        return run
+
+    monkeypatch.setattr(tables, "_rename", ending(tables._rename))
+    monkeypatch.setattr(tables, "_log_swap", ending(tables._log_swap))
+    if gap < 6:
+        with pytest.raises(SystemExit):
+            tables.publish(spark, {n: one_row(spark, "new") for n in names})
+    else:
+        tables.publish(spark, {n: one_row(spark, "new") for n in names})
+    monkeypatch.undo()
+    tables.recover(spark, db)
+    assert {spark.table(n).first().v for n in names} == {"old" if gap == 0 else "new"}
+    assert tables_of(spark, db) == ["a", "b", "swap_log"]
+    tables.recover(spark, db)
+    assert tables.replace_rows(one_row(spark, "next"), names[0]) == 1
+
+
+def test_publications_change_all_tables_at_once(spark, db, monkeypatch):
+    frames = {"t1": one_row(spark, "1"), "t2": one_row(spark, "1")}
+    assert publication.publish(spark, db, frames) == {"t1": 1, "t2": 1}
+    assert rows(spark.table(f"{db}.t1")) == [("1",)]
+    two = {"t1": one_row(spark, "2").union(one_row(spark, "2")), "t2": one_row(spark, "2")}
+    # The process ends when the first table is loaded, and when all are.
+    for step, n_calls in (("insert_by_name", 2), ("_point_to", 1)):
+        calls = []
+        real = getattr(publication, step)
+
+        def ending(*args, **kinds):
+            calls.append(1)
+            if len(calls) == n_calls:
+                raise SystemExit
+            return real(*args, **kinds)
+
+        monkeypatch.setattr(publication, step, ending)
+        with pytest.raises(SystemExit):
+            publication.publish(spark, db, two)
+        monkeypatch.undo()
+        assert rows(spark.table(f"{db}.t1")) == rows(spark.table(f"{db}.t2")) == [("1",)]
+        assert spark.sql(f"SHOW PARTITIONS {db}.t1__rows").count() == 2
+    publication.publish(spark, db, two)
+    assert rows(spark.table(f"{db}.t1")) == [("2",), ("2",)] and rows(spark.table(f"{db}.t2")) == [("2",)]
+    # Leftovers are gone, the publication before stays.
+    assert spark.sql(f"SHOW PARTITIONS {db}.t1__rows").count() == 2
+    publication.publish(spark, db, {"t1": one_row(spark, "3")})
+    assert rows(spark.table(f"{db}.t1")) == [("3",)] and rows(spark.table(f"{db}.t2")) == []
+    with pytest.raises(ValueError):
+        publication.publish(spark, db, {"t1": spark.range(1).withColumnRenamed("id", "Publication")})
+
+
+def test_readers_of_a_published_table_scan_one_publication(spark, db):
+    for value in "12":
+        publication.publish(spark, db, {"t": one_row(spark, value)})
+    plan = spark.table(f"{db}.t")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"t__rows.*PartitionFilters: \[.*publication#[0-9]+ = ", plan), plan
+
+
 def test_load_mart_stops_before_any_write_if_a_file_is_missing(spark, db, tmp_path):
     old = spark.createDataFrame([(1, "old")], "tag_key long, tag_name string")
-    for table in ("DimTag", "DimSource"):
-        tables.append_rows(old, f"{db}.{table}")
+    publication.publish(spark, db, {"DimTag": old, "DimSource": old})
     csv_files.write_with_header(spark.createDataFrame([(2, "new")], old.schema), str(tmp_path / "tag.csv"))
     paths = {"DimTag": str(tmp_path / "tag.csv"), "DimSource": str(tmp_path / "missing.csv")}
     with pytest.raises(Exception):
         mart.load_mart(spark, paths, db)
     assert rows(spark.table(f"{db}.DimTag")) == [(1, "old")]
-    assert tables_of(spark, db) == ["dimsource", "dimtag"]
+    assert spark.sql(f"SHOW PARTITIONS {db}.DimTag__rows").count() == 1
+
+
+def files_of(spark, table):
+    import glob
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first().data_type.split(":", 1)[1]
+    return {f[len(location):] for f in glob.glob(f"{location}/**/*.parquet", recursive=True)}
+
+
+def test_merge_rewrites_touched_buckets_only(spark, db):
+    table, schema = f"{db}.facts", "k long, v string, m int, bucket int"
+    old = spark.range(200).selectExpr("id AS k", "'old' AS v", "cast(id % 3 AS int) AS m", "cast(id % 8 AS int) AS bucket")
+    tables.create_table(spark, table, old.schema, ["m", "bucket"])
+    tables.append_rows(old, table)
+    before = files_of(spark, table)
+    assert len(before) == 24
+    # Key 0 lies in month 0, bucket 0; key 9 moves from month 0 to month 2, both in bucket 1; key 208 is new.
+    tables.merge_rows(spark, table, spark.createDataFrame([(0, "new", 0, 0), (9, "new", 2, 1), (208, "new", 1, 0)], schema), ["k"],
+                      ["m", "bucket"])
+    written = {f.rsplit("/", 1)[0] for f in files_of(spark, table) - before}
+    assert written == {"/m=0/bucket=0", "/m=0/bucket=1", "/m=2/bucket=1", "/m=1/bucket=0"}
+    assert {f.rsplit("/", 1)[0] for f in before - files_of(spark, table)} == written
+    assert rows(spark.table(table).select("k", "m").filter("v = 'new'")) == [(0, 0), (9, 2), (208, 1)]
+    assert spark.table(table).count() == 201
+
+
+def test_the_overwrite_mode_of_the_session_stays(spark, db):
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    tables.create_table(spark, f"{db}.t", spark.createDataFrame([], "k int, m int").schema, ["m"])
+    assert tables.append_rows(spark.createDataFrame([(1, 1)], "k int, m int"), f"{db}.t") == 1
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def moved_columns(df):
+    """Columns that exchanges and sorts of the plan pass on; broadcasts apart."""
+    def nodes(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.initialPlan()
+        yield plan
+        children = plan.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    moving = [n for n in nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName() in ("Exchange", "Sort")]
+    return {n.output().apply(i).name() for n in moving for i in range(n.output().size())}
+
+
+def test_ids_follow_the_files_and_move_nothing(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id AS k", "repeat('x', 50) AS content").repartition(7).write.parquet(path)
+    table = spark.read.parquet(path)
+    numbered = arrival_ids(table, "no")
+    assert sorted(r.no for r in numbered.collect()) == list(range(1, 1001))
+    again = {r.no: r.k for r in arrival_ids(table.filter("k % 2 = 0"), "no").collect()}
+    assert {n: k for n, k in ((r.no, r.k) for r in numbered.collect()) if n in again}.keys() == again.keys()
+    assert sorted(r.no for r in arrival_ids(table.limit(0), "no", 5).collect()) == []
+    assert moved_columns(numbered.select("no", "content")) == {"_file", "count", "_rows"}
+
+
+def test_clean_ids_and_deltas_do_not_move_texts(spark):
+    from newsloom.plans import queries
+    assert moved_columns(queries.clean_ids(spark, "/root/testdata/sf0.001")) == {"_file", "count", "_rows"}
+    assert moved_columns(queries.staging_delta(spark, "/root/testdata/sf0.001")) <= {"_file", "count", "_rows"}
 
 
 def test_merge_rewrites_touched_partitions_only(spark, db):
@@ -129,9 +265,11 @@ def test_latest_per_key_cuts_before_the_shuffle(spark):
 
 
 def test_top_trends_and_monthly_counts(spark):
-    fact = spark.createDataFrame([(1, 2024, 1, 1, 1), (2, 2024, 1, 1, 1), (3, 2024, 2, 1, 2), (4, 2024, 2, 2, 2)],
-                                 "article_key long, article_year int, article_month int, category_key long, source_key long")
-    bridge = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 10), (3, 10), (9, 10)], "article_key long, tag_key long")
+    # Articles 1 and 2 have one CRC.
+    fact = spark.createDataFrame([(7, 1, 2024, 1, 1, 1), (7, 2, 2024, 1, 1, 1), (3, 3, 2024, 2, 1, 2), (4, 4, 2024, 2, 2, 2)],
+                                 "article_key long, address_mark long, article_year int, article_month int, category_key long, source_key long")
+    bridge = spark.createDataFrame([(7, 1, 10), (7, 1, 10), (7, 1, 11), (7, 2, 10), (3, 3, 10), (9, 9, 10), (7, 9, 12)],
+                                   "article_key long, address_mark long, tag_key long")
     counts = mart.monthly_counts(fact, bridge)
     assert rows(counts) == [(2024, 1, 1, 10, 1, 2), (2024, 1, 1, 11, 1, 1), (2024, 2, 1, 10, 2, 1)]
     assert rows(mart.top_trends(counts, 1)) == [(2024, 1, 10, 2, 1), (2024, 2, 10, 1, 1)]

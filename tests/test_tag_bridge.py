@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -9,16 +10,16 @@ DIM = {"a": 1, "b": 2, "c": 3, "A": 4}
 
 
 def key(url):
-    return zlib.crc32(url.encode())
+    return zlib.crc32(url.encode()), int(hashlib.md5(url.encode()).hexdigest()[:15], 16)
 
 
 def sync(spark, delta, bridge, dim=DIM):
     dim_tag = spark.createDataFrame([(v, k) for k, v in dim.items()], "tag_key long, tag_name string")
     rows = spark.createDataFrame(delta, "article_url string, tags string")
-    old = spark.createDataFrame(bridge, "article_key long, tag_key long")
+    old = spark.createDataFrame([(*k, t) for k, t in bridge], "article_key long, address_mark long, tag_key long")
     compared = tag_bridge.compare_with_bridge(tag_bridge.new_tag_sets(rows, dim_tag), old).cache()
     counts = tag_bridge.sync_counts(compared).first()
-    pairs = [tuple(r) for r in tag_bridge.synced_bridge(old, compared).collect()]
+    pairs = [((r.article_key, r.address_mark), r.tag_key) for r in tag_bridge.synced_bridge(old, compared).collect()]
     assert len(pairs) == len(set(pairs))
     return set(pairs), (counts.updated, counts.skipped)
 
@@ -63,7 +64,18 @@ def test_second_run_changes_nothing(spark):
     assert again == once and counts == (0, 3)
 
 
+def test_addresses_of_one_crc_keep_their_own_tags(spark):
+    """Two addresses that CRC-32 does not tell apart."""
+    one, other = "plumless", "buckeroo"
+    assert key(one)[0] == key(other)[0] and key(one) != key(other)
+    bridge = [(key(one), 1), (key(other), 2)]
+    after, counts = sync(spark, [(one, "c")], bridge)
+    assert after == {(key(one), 3), (key(other), 2)} and counts == (1, 0)
+    assert sync(spark, [(one, "a"), (other, "b")], bridge) == (set(bridge), (0, 2))
+
+
 def test_insert_if_absent(spark):
-    old = spark.createDataFrame([(1, 1), (1, 2)], "article_key long, tag_key long")
-    new = spark.createDataFrame([(1, 2), (1, 3), (1, 3)], "article_key long, tag_key long")
-    assert sorted(map(tuple, tag_bridge.insert_if_absent(old, new).collect())) == [(1, 1), (1, 2), (1, 3)]
+    schema = "article_key long, address_mark long, tag_key long"
+    old = spark.createDataFrame([(1, 5, 1), (1, 5, 2)], schema)
+    new = spark.createDataFrame([(1, 5, 2), (1, 5, 3), (1, 5, 3), (1, 6, 2)], schema)
+    assert sorted(map(tuple, tag_bridge.insert_if_absent(old, new).collect())) == [(1, 5, 1), (1, 5, 2), (1, 5, 3), (1, 6, 2)]
