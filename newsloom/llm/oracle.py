@@ -133,21 +133,18 @@ _OP10 = f"""
         SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
         FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS k FROM grams WHERE times > 1) GROUP BY doc_id),
     lines AS (
-        SELECT * FROM (SELECT doc_id, source, w, unnest(string_split(t, chr(10))) AS line FROM texts)
+        SELECT * FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS line FROM texts)
         WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
     dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
-    longest AS (
-        SELECT doc_id, max(struct_pack(n := length(word), word := word)) AS longest
-        FROM (SELECT doc_id, unnest(w) AS word FROM texts) GROUP BY doc_id),
     normal AS (
-        SELECT doc_id, source, longest, len({_words("line")}) AS n_words, regexp_replace(
+        SELECT doc_id, source, md5(t) AS said_in, len({_words("line")}) AS n_words, regexp_replace(
             lower(array_to_string({_words("line")}, ' ')), '[0-9]', '0', 'g') AS said
-        FROM lines JOIN longest USING (doc_id)),
+        FROM lines),
     hosts AS (SELECT source, count(*) AS host_docs FROM documents GROUP BY source),
     common AS (
         SELECT normal.source, said FROM normal JOIN hosts ON hosts.source IS NOT DISTINCT FROM normal.source
         GROUP BY normal.source, said, host_docs
-        HAVING count(DISTINCT longest) > 50 AND count(DISTINCT longest) > 0.01 * host_docs),
+        HAVING count(DISTINCT said_in) > 50 AND count(DISTINCT said_in) > 0.01 * host_docs),
     removed AS (
         SELECT doc_id, sum(n_words) AS n_removed FROM normal JOIN common
         ON common.source IS NOT DISTINCT FROM normal.source AND common.said = normal.said GROUP BY doc_id),

@@ -1,10 +1,11 @@
 """Quality rules: figures of each text, and lines that many documents of a host share.
 
 One pass over the texts works out all figures of a row and the hashes of its normalised lines; only these are kept.
-A line is counted once for each document of its host that has it. Copies and near copies, which are for deduplication to
-settle, count as one document, so that they do not make their own lines look like boilerplate. Rows are counted first,
-then distinct texts; only texts with a line above the limit in both are put together by the similarity of their shingles.
-Lines above the limit are taken out; a document of which too little is left is rejected.
+A line is counted once for each document of its host that has it; rows of equal text are one document. Rows are counted first,
+then, for lines above the limit by rows, distinct texts. Lines above the limit are taken out; a document of which too
+little is left is rejected.
+
+Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.minhash_dedup import near_duplicates
-from newsloom.llm.texts import SPACE_CHARS, SPACES, id_key, rows_with, rows_without, text_key, whole_text, words
+from newsloom.llm.texts import SPACE_CHARS, SPACES, id_key, rows_without, text_key, whole_text, words
 from newsloom.session import materialize
 
 SYMBOLS = "[#*$%&|<>]"
@@ -86,31 +86,22 @@ def _common(found: DataFrame, hosts: DataFrame, line_docs: int, line_share: floa
         "host", "hash"), label)
 
 
-def common_lines(figures: DataFrame, texts: DataFrame, line_docs: int, line_share: float) -> DataFrame:
-    """(host, hash) of the lines above the limits; `texts` (text) are those of `figures`."""
+def common_lines(figures: DataFrame, line_docs: int, line_share: float) -> DataFrame:
+    """(host, hash) of the lines above the limits, by the distinct texts of a host that have them."""
     # Hosts and lines are counted with partial sums, so that neither a large host nor a common line meets in one task.
     hosts = figures.groupBy(_host_hash(F.col("host")).alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
     lines = figures.select(_host_hash(F.col("host")).alias("host"), "key",
                            F.explode(F.array_distinct("lines.hash")).alias("hash"))
-    # Rows are at least as many as distinct texts, and these as groups of copies: each count leaves fewer lines to the next.
+    # Rows are at least as many as distinct texts, so that most lines need no look at the texts they are in.
     common = _common(lines, hosts, line_docs, line_share, "quality-row-lines")
-    held = materialize(lines.join(common, ["host", "hash"], "left_semi").distinct(), "quality-held")
-    common = _common(held, hosts, line_docs, line_share, "quality-text-lines")
-    held = materialize(held.join(common, ["host", "hash"], "left_semi"), "quality-held")
-    if held.isEmpty():
-        return common
-    wanted = materialize(held.select("key").distinct(), "quality-wanted")
-    chosen = rows_with(texts.select(text_key(F.col("text")).alias("key"), "text"), wanted, ["key"]).dropDuplicates(["key"])
-    groups = near_duplicates(materialize(chosen, "quality-texts"), "key", "text").select(
-        F.col("id").alias("key"), F.col("component_id").alias("group"))
-    grouped = held.join(materialize(groups, "quality-groups"), "key").select("host", "hash", "group").distinct()
-    return _common(grouped, hosts, line_docs, line_share, "quality-lines")
-
-
-def judge(figures: DataFrame, texts: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
+    held = lines.join(common, ["host", "hash"], "left_semi").distinct()
+    return _common(held, hosts, line_docs, line_share, "quality-text-lines")
+
+
+def judge(figures: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
           least_left: float = LEAST_LEFT) -> DataFrame:
-    """Add n_removed, base_failed and kept to written rows of `text_figures`; `texts` (text) are those they came from."""
-    common = common_lines(figures, texts, line_docs, line_share)
+    """Add n_removed, base_failed and kept to written rows of `text_figures`."""
+    common = common_lines(figures, line_docs, line_share)
     lines = figures.select("row", _host_hash(F.col("host")).alias("host"), F.explode("lines").alias("line"))
     removed = lines.select("row", "host", "line.hash", "line.n_words").join(common, ["host", "hash"], "left_semi").groupBy(
         "row").agg(F.sum("n_words").alias("n_removed"))
@@ -129,8 +120,7 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text is empty and fails; a null host is a host of its own; repeated rows are judged alike; an empty table
     gives no rows; other columns are not looked at.
     """
-    figures = materialize(text_figures(docs, id_col, text_col, host_col), "quality-figures")
-    return judge(figures, docs.select(whole_text(F.col(text_col)).alias("text")), **limits)
+    return judge(materialize(text_figures(docs, id_col, text_col, host_col), "quality-figures"), **limits)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",

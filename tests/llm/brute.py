@@ -120,6 +120,27 @@ def quality(row) -> tuple:
             len(lines) - len(set(lines)), len(covered), failed)
 
 
+def quality_verdicts(rows, line_docs=50, line_share=0.01, least_left=0.3) -> list[tuple]:
+    """As `quality`, with the words in lines that too many distinct texts of a host have, and the verdict."""
+    def said(row):
+        text = row["text"] or ""
+        lines = [line for line in text.split("\n") if WORD.search(line)]
+        return [(re.sub("[0-9]", "0", " ".join(WORD.findall(line)).lower()), len(WORD.findall(line))) for line in lines]
+
+    hosts = Counter(r["source"] for r in rows)
+    texts = defaultdict(set)
+    for r in rows:
+        for line, _ in said(r):
+            texts[r["source"], line].add(r["text"])
+    out = []
+    for r in rows:
+        figures = quality(r)
+        removed = sum(n for line, n in said(r) if len(texts[r["source"], line]) > line_docs
+                      and len(texts[r["source"], line]) > line_share * hosts[r["source"]])
+        out.append((*figures[:-1], removed, figures[-1], not figures[-1] and figures[1] - removed >= least_left * figures[1]))
+    return out
+
+
 def conversations(rows) -> list[tuple]:
     by_id = defaultdict(list)
     for r in rows:
