@@ -9,8 +9,8 @@ all pairs up to distance 15; a pair of similarity 0.85 differs in 5 on average a
 Texts with equal sets are one class and stand for each other. Candidates are confirmed on full shingle sets. A bucket
 (all classes with a key) is never turned into all its pairs: its members meet the member that sits in the largest
 buckets, which is the one nearest to all others; then components are formed, and members that this leaves apart from
-their bucket's others meet new leaders. Only what is still apart after `STAR_ROUNDS` meets all members of other
-components in its buckets, so no link is lost.
+their bucket's others meet new leaders. What is still apart after `STAR_ROUNDS` meets the sets of other components that an
+exact prefix filter over the shingles lets pass (`prefix_join`), so no link is lost.
 """
 
 from __future__ import annotations
@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
 from newsloom.llm.components import components
+from newsloom.llm.prefix_join import candidates
 from newsloom.llm.texts import BROADCAST_ROWS, id_key, keyed, rows_with, rows_without, text_key, whole_text
-from newsloom.session import materialize
+from newsloom.session import materialize, setting
 
 SHINGLE_WORDS = 5
 PERCENT = 85
 VALUES, BITS, CHUNKS, ALLOWED = 32, 16, 8, 1
 STAR_ROUNDS = 2
+#: Rows that are handed to Python at once where each holds two sets, or a whole text.
+ROWS_AT_ONCE = 500
 
 _rng = np.random.default_rng(20240131)
 _FACTORS = _rng.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -151,25 +154,28 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     members = materialize(members.join(weights, "class").select("class", "bucket", "weight"), "minhash-weighted")
 
     pairs = materialize(_ordered(_with_leaders(members, members)), "minhash-pairs")
-    found = materialize(confirmed(pairs, sets, percent), "minhash-links")
+    found = _confirmed(pairs, sets, percent)
     tried = pairs
     for turn in range(star_rounds):
         apart = _apart(members, components(found))
         if apart.isEmpty():
             return found
-        outside = apart.filter("label != main")
         if turn < star_rounds - 1:
-            pairs = _with_leaders(apart, outside)
+            pairs = _ordered(_with_leaders(apart, apart.filter("label != main")))
         else:
-            pairs = apart.join(outside.select("bucket", F.col("class").alias("leader"), F.col("label").alias(
-                "leader_label")), "bucket").filter("label != leader_label").select(
-                F.col("class").alias("a"), F.col("leader").alias("b"))
-        pairs = materialize(_ordered(pairs).join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-        found = materialize(found.unionByName(confirmed(pairs, sets, percent)), "minhash-links")
+            labels = materialize(apart.select("class", "label").distinct(), "minhash-labels")
+            pairs = candidates(materialize(sets.join(labels, "class"), "minhash-apart-sets"), percent)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
+        found = materialize(found.unionByName(_confirmed(pairs, sets, percent)), "minhash-links")
         tried = tried.unionByName(pairs)
     return found
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    with setting(pairs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE)):
+        return materialize(confirmed(pairs, sets, percent), "minhash-links")
+
+
 def _with_leaders(members: DataFrame, among: DataFrame) -> DataFrame:
     """Each member of a bucket with the heaviest one `among` its members, unless they are already connected."""
     leaders = among.groupBy("bucket").agg(F.max(F.struct("weight", "class", *_label(among))).alias("top"))
@@ -207,7 +213,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row's own, so rows repeated with that id all stay. Null and empty texts have no shingles and link with nothing. A
     null id counts as the smallest. An empty table gives no rows; other columns are not looked at.
     """
-    rows = materialize(features(docs, id_col, text_col), "minhash-features")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE)):
+        rows = materialize(features(docs, id_col, text_col), "minhash-features")
     texts = rows.filter("n_shingles > 0")
     # A class is shipped as one row from each task, however many copies it has.
     classes = texts.groupBy("class").agg(
@@ -219,7 +226,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = rows_with(keyed(docs, id_col, text_col), wanted, ["id", "key"])
     # Copies of a row are dropped where the join has put them; rows of equal class but other ids are not chosen.
     chosen = chosen.dropDuplicates(["id", "key"])
-    sets = materialize(shingle_sets(chosen), "minhash-sets")
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE)):
+        sets = materialize(shingle_sets(chosen), "minhash-sets")
     labels = components(links(members, sets, percent))
 
     named = labels.join(classes.select(F.col("class").alias("node"), "first_id"), "node")
