@@ -34,6 +34,8 @@ SHINGLE_WORDS = 5
 PERCENT = 85
 VALUES, BITS, CHUNKS, ALLOWED = 32, 16, 8, 1
 STAR_ROUNDS = 2
+#: Classes that a class is compared with in one turn.
+LEADERS = 2
 #: Rows that are handed to Python at once where each holds two sets, or a whole text.
 ROWS_AT_ONCE = 500
 
@@ -177,14 +179,21 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_leaders(members: DataFrame, among: DataFrame) -> DataFrame:
-    """Each member of a bucket with the heaviest one `among` its members, unless they are already connected."""
+    """Each class with the `LEADERS` classes that lead most of its buckets, unless they are already connected.
+
+    A bucket's leader is the heaviest one `among` its members. Whom this does not bring together, the prefix filter does.
+    """
     leaders = among.groupBy("bucket").agg(F.max(F.struct("weight", "class", *_label(among))).alias("top"))
     leaders = leaders.select("bucket", F.col("top.class").alias("leader"), *(
         F.col(f"top.{c}").alias("leader_label") for c in _label(among)))
     new = F.col("class") != F.col("leader")
     if _label(among):
         new = F.col("label") != F.col("leader_label")
-    return members.join(materialize(leaders, "minhash-leaders"), "bucket").filter(new).select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    met = members.join(materialize(leaders, "minhash-leaders"), "bucket").filter(new).groupBy(
+        F.col("class").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # A class has one bucket for each of its keys, so this list is short.
+    best = met.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "b")), asc=False), 1, LEADERS).alias("best"))
+    return best.select("a", F.explode("best.b").alias("b"))
 
 
 def _label(members: DataFrame) -> list[str]:
