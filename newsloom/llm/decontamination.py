@@ -42,17 +42,21 @@ def shingles_of(text: Column, size: int) -> Column:
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, size, n, shingles) of items with words; an item of fewer words than a shingle is one shingle by itself."""
+    """(item, item_id, size, n, shingles) of items with words; an item of fewer words than a shingle is one shingle by itself.
+
+    `item` names an id, null included, and a text: texts that share an id are items of their own.
+    """
     rows = items.select(F.col(id_col).alias("item_id"), whole_text(F.col(text_col)).alias("text"))
+    rows = rows.withColumn("item", F.xxhash64(F.col("item_id").isNull(), "item_id", "text")).dropDuplicates(["item"])
     rows = materialize(rows.withColumn("n", F.size(words(F.col("text")))), "item-texts")
     sized = [
         rows.filter(F.col("n") == size if size < SHINGLE_WORDS else F.col("n") >= size).select(
-            "item_id", F.lit(size).alias("size"), "n", shingles_of(F.col("text"), size).alias("shingles"))
+            "item", "item_id", F.lit(size).alias("size"), "n", shingles_of(F.col("text"), size).alias("shingles"))
         for size in range(1, SHINGLE_WORDS + 1)]
     every = sized[0]
     for more in sized[1:]:
         every = every.unionByName(more)
-    return materialize(every.select("item_id", "size", "n", "shingles"), "items")
+    return materialize(every, "items")
 
 
 def fingerprints(windows: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,9 +98,10 @@ def _fewest_shared(m_window: Column, m_item: Column, similarity: float) -> Colum
 
 
 def _counted(shingles: str) -> Column:
-    """Each shingle with how often it came before, so that sets of these are lists with multiplicities."""
+    """Each shingle hashed with how often it came before, if it did, so that sets of these are lists with multiplicities."""
     before = f"size(filter(slice({shingles}, 1, i), y -> y = x))"
-    return F.expr(f"transform({shingles}, (x, i) -> struct(x AS x, {before} AS k))")
+    counted = f"transform({shingles}, (x, i) -> IF(array_position({shingles}, x) > i, x, xxhash64(x, {before})))"
+    return F.expr(f"IF(size(array_distinct({shingles})) = size({shingles}), {shingles}, {counted})")
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -105,8 +110,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     similarity, distance (of fingerprints), of the most similar window, the first of equals.
 
     Texts are compared in lower case. Null and empty texts and items match nothing; repeated rows of a document give one
-    row; a null id counts as the smallest; repeated items, by id, give one row; empty tables give no rows; other columns
-    are not looked at.
+    row; a null id counts as the smallest; a null item id is an id like others; of several texts under one item id each is
+    looked for, and the most similar window of any counts; empty tables give no rows; other columns are not looked at.
     """
     known = item_shingles(items, item_col, item_text_col)
     found = None
@@ -127,7 +132,7 @@ def _leaks_of_size(docs: DataFrame, known: DataFrame, id_col: str, text_col: str
     # The outer form adds no filter on the list, which would be worked out twice.
     places = texts.select("id", "key", (F.size("shingles") + size - 1).alias("n_doc"),
                           F.posexplode_outer("shingles").alias("place", "shingle"))
-    sought = known.select("item_id", F.col("n").alias("n_item"), F.explode("shingles").alias("shingle")).distinct()
+    sought = known.select("item", F.col("n").alias("n_item"), F.explode("shingles").alias("shingle")).distinct()
     sought = materialize(sought, "item-shingles")
     hits = places.join(F.broadcast(sought) if sought.count() <= BROADCAST_ROWS else sought, "shingle")
     hits = materialize(hits, "item-hits")
@@ -136,14 +141,14 @@ def _leaks_of_size(docs: DataFrame, known: DataFrame, id_col: str, text_col: str
     length = F.least("n_item", "n_doc")
     last = F.least(F.col("place"), F.col("n_doc") - length)
     first = F.least(last, F.greatest(F.lit(0), F.col("place") + size - length))
-    around = hits.select("id", "key", "item_id", "n_item", length.alias("n_words"),
+    around = hits.select("id", "key", "item", "n_item", length.alias("n_words"),
                          F.explode(F.sequence(first, last)).alias("start"))
-    counted = around.groupBy("id", "key", "item_id", "n_item", "n_words", "start").agg(F.count(F.lit(1)).alias("hits"))
+    counted = around.groupBy("id", "key", "item", "n_item", "n_words", "start").agg(F.count(F.lit(1)).alias("hits"))
     enough = F.col("hits") >= _fewest_shared(F.col("n_words") - size + 1, F.col("n_item") - size + 1, similarity)
-    windows = materialize(counted.filter(enough).select("id", "key", "n_item", "n_words", "start").distinct(), "windows")
+    windows = materialize(counted.filter(enough).select("id", "key", "item", "n_item", "n_words", "start"), "windows")
 
-    # Their shingles, from the few texts that have such windows.
-    wanted = windows.groupBy("id", "key").agg(F.collect_list(F.struct("n_item", "n_words", "start")).alias("windows"))
+    # Their shingles, from the few texts that have such windows; several items may ask for one window.
+    wanted = windows.groupBy("id", "key").agg(F.collect_set(F.struct("n_item", "n_words", "start")).alias("windows"))
     chosen = rows_with(keyed(docs, id_col, text_col), materialize(wanted, "window-texts"), ["id", "key"])
     chosen = chosen.select("id", "key", "windows", shingles_of(F.col("text"), size).alias("shingles"))
     chosen = materialize(chosen, "window-docs").dropDuplicates(["id", "key"])
@@ -153,12 +158,12 @@ def _leaks_of_size(docs: DataFrame, known: DataFrame, id_col: str, text_col: str
 
     place = ["id", "key", "n_item", "n_words", "start"]
     prints = fingerprints(cut.select(*place, F.explode("own").alias("shingle")), place)
-    item_prints = fingerprints(
-        known.select("item_id", F.col("n").alias("n_item"), F.explode("shingles").alias("shingle")), ["item_id", "n_item"])
-    near = hamming_join(prints, item_prints, ["n_item"])
+    item_prints = fingerprints(known.select("item", F.explode("shingles").alias("shingle")), ["item"])
+    # A window is compared with the items that it shares enough shingles with.
+    near = hamming_join(windows.join(prints, place), item_prints, ["item"])
 
     # The exact check.
-    pairs = near.join(cut, place).join(known.select("item_id", F.col("n").alias("n_item"), "shingles"), ["item_id", "n_item"])
+    pairs = near.join(cut, place).join(known.select("item", "item_id", "shingles"), "item")
     both = F.size(F.array_intersect(_counted("own"), _counted("shingles")))
     pairs = pairs.withColumn("similarity", both / (F.size("own") + F.size("shingles") - both))
     return pairs.filter(F.col("similarity") >= similarity).select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from newsloom.llm import decontamination, license_scan
+from newsloom.llm.queries import QUERIES
 from tests.llm import brute
 from tests.llm.test_operators import SF_DIR, frame, needs_tables, odd_documents, prose
 
@@ -59,6 +60,43 @@ def test_leaks(spark):
     assert decontamination.leaks(frame(spark, []), table).count() == 0
 
 
+def test_items_with_null_and_shared_ids_are_found(spark):
+    """24 texts under six ids, one of them null, and a verbatim copy of each."""
+    texts = [" ".join(prose(200 + i, 40)) for i in range(24)]
+    items = [(None if i % 6 == 5 else i % 6, t) for i, t in enumerate(texts)]
+    docs = [{"doc_id": i, "text": " ".join(prose(300 + i, 30)) + " " + t + " " + " ".join(prose(400 + i, 30)), "source": "s"}
+            for i, t in enumerate(texts)] + [{"doc_id": 99, "text": " ".join(prose(500, 90)), "source": "s"}]
+    table = spark.createDataFrame(items + items[:3], "item_id long, text string")
+    got = decontamination.leaks(frame(spark, docs), table).collect()
+    assert {(r["id"], r["item_id"]) for r in got} == {(i, item_id) for i, (item_id, _) in enumerate(items)}
+    assert all(r["similarity"] == 1.0 and r["distance"] == 0 and r["start"] == 30 for r in got)
+    assert [r["doc_id"] for r in decontamination.without_leaks(frame(spark, docs), table).collect()] == [99]
+
+
+def test_hamming_join_finds_all_pairs_within_the_radius(spark):
+    import random
+    rng = random.Random(4)
+    items = [(i, rng.getrandbits(64)) for i in range(20)]
+    windows = [(100 + i, items[i % 20][1] ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 40)))) for i in range(300)]
+
+    def signed(rows):
+        return [(i, f - 2**64 if f >= 2**63 else f, 1) for i, f in rows]
+
+    got = decontamination.hamming_join(spark.createDataFrame(signed(windows), "w long, fingerprint long, k int"),
+                                       spark.createDataFrame(signed(items), "i long, fingerprint long, k int"), ["k"])
+    pairs = sorted((r["w"], r["i"], r["distance"]) for r in got.collect())
+    assert pairs == sorted((w, i, (f ^ g).bit_count()) for w, f in windows for i, g in items
+                           if (f ^ g).bit_count() <= decontamination.RADIUS)
+
+
+@needs_tables
+def test_leaks_query(spark):
+    docs = [r.asDict() for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    got = QUERIES["op2_decontamination"](spark, SF_DIR)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute_leaks(docs, items)
+
+
 @needs_tables
 def test_leaks_of_tables(spark):
     docs = [r.asDict() for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
