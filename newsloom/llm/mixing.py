@@ -7,8 +7,10 @@ output shards by a tree: at each node half of the draws, a multivariate hypergeo
 goes left. A shard takes the next run of each source's permuted draws, so shards never share a draw, and orders
 its rows by a hash of its own.
 
-Only per-source totals reach the driver (one row for each source, at most `MAX_SOURCES`). Everything else is DataFrame
-operations: no window spans more than a source's blocks (at most `MAX_BLOCKS`) or one block's documents.
+Only totals reach the driver: one row for each source, or, of more than `MAX_SOURCES` sources, for each of `GROUPS` groups of them
+by hash. A group's draws are then dealt by one permutation of them all, which again is a multivariate hypergeometric sample of
+its sources for every shard: one more level of the tree. Everything else is DataFrame operations: no window spans more than a
+source's or a group's blocks (at most `MAX_BLOCKS` for a source) or one block's documents.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ MOST_PASSES = 3
 BLOCK_DOCS = 256
 MAX_BLOCKS = 65_536
 MAX_SOURCES = 100_000
+GROUPS = 4096
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES) -> DataFrame:
@@ -75,7 +78,8 @@ def shard_bounds(quotas: list[int], shards: int, seed: int) -> list[list[int]]:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES, shards: int = 8, seed: int = 7) -> DataFrame:
+        weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES, shards: int = 8, seed: int = 7,
+        max_sources: int = MAX_SOURCES) -> DataFrame:
     """One row for each row of `docs`: id, key, source, size, source_size, target, shards (one for each copy taken).
 
     `size(shards)` is how often the mix repeats the row; `key` is a hash of the text. Equal rows get results that
@@ -109,23 +113,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         blocks.withColumn("room", F.col("rest") - start)
         .withColumn("draws", F.col("passes") + F.when(F.col("room") > 0, 1).otherwise(0)), "mix-blocks")
 
-    quotas = blocks.groupBy("source_key").agg(F.sum("draws").alias("quota")).orderBy("source_key")
-    quotas = quotas.limit(MAX_SOURCES + 1).collect()
-    if len(quotas) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    own = blocks.groupBy("source_key").agg(F.sum("draws").alias("quota"))
+    many = own.limit(max_sources + 1).count() > max_sources
+    dealt_by = F.pmod(F.xxhash64(F.lit(seed + 4), "source_key"), F.lit(GROUPS)).cast("string") if many else F.col("source_key")
+    quotas = own.groupBy(dealt_by.alias("dealt_by")).agg(F.sum("quota").alias("quota")).orderBy("dealt_by").collect()
     bounds = spark.createDataFrame(
-        [(row.source_key, ends) for row, ends in
+        [(row.dealt_by, ends) for row, ends in
          zip(quotas, shard_bounds([row.quota for row in quotas], shards, seed), strict=True)],
-        "source_key string, bounds array<long>")
-    return _with_shards(placed, blocks, bounds, seed)
+        "dealt_by string, bounds array<long>")
+    return _with_shards(placed, blocks.withColumn("dealt_by", dealt_by), bounds, seed, ["source_key"] if many else [])
 
 
-def _with_shards(placed: DataFrame, blocks: DataFrame, bounds: DataFrame, seed: int) -> DataFrame:
-    """Deal the draws of each block, permuted within its source, to the shards and give the rows theirs."""
+def _with_shards(placed: DataFrame, blocks: DataFrame, bounds: DataFrame, seed: int, within: list[str]) -> DataFrame:
+    """Deal the draws of each block, permuted within its source or group of sources, to the shards and give the rows theirs."""
     draws = blocks.filter("draws > 0").select(
-        "source_key", "block", F.explode(F.sequence(F.lit(1), F.col("draws"))).alias("pass"))
-    permuted = Window.partitionBy("source_key").orderBy(F.xxhash64(F.lit(seed + 2), "block", "pass"), "block", "pass")
-    draws = draws.withColumn("rank", F.row_number().over(permuted) - 1).join(bounds, "source_key")
+        "dealt_by", "source_key", "block", F.explode(F.sequence(F.lit(1), F.col("draws"))).alias("pass"))
+    names = [*within, "block", "pass"]
+    permuted = Window.partitionBy("dealt_by").orderBy(F.xxhash64(F.lit(seed + 2), *names), *names)
+    draws = draws.withColumn("rank", F.row_number().over(permuted) - 1).join(bounds, "dealt_by")
     shard = F.size(F.filter("bounds", lambda end: end <= F.col("rank")))
     dealt = draws.groupBy("source_key", "block").agg(
         F.array_sort(F.collect_list(F.struct(F.col("pass"), shard.alias("shard")))).getField("shard").alias("dealt"))
@@ -145,8 +150,12 @@ def _with_shards(placed: DataFrame, blocks: DataFrame, bounds: DataFrame, seed:
 
 
 def copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> DataFrame:
-    """The rows of `docs`, once for each copy the mix takes, with shard, pass and order (to sort a shard by)."""
-    rows = docs.select(F.struct("*").alias("kept_row"), id_key(F.col(id_col)).alias("id"),
+    """The rows of `docs`, once for each copy the mix takes, with shard, pass and order (to sort a shard by).
+
+    These three replace columns of `docs` that have their names.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("pass", "shard", "order")]
+    rows = docs.select(F.struct(*kept).alias("kept_row"), id_key(F.col(id_col)).alias("id"),
                        text_key(whole_text(F.col(text_col))).alias("key"))
     # Equal rows may be repeated unequally; they then share the larger number.
     taken = mixed.select(id_key(F.col("id")).alias("id"), "key", "shards").groupBy("id", "key").agg(

@@ -116,6 +116,28 @@ def test_mix_query(spark):
         (r["doc_id"], r["taken"], r["shards"]) for r in again)
 
 
+def test_mix_of_more_sources_than_the_driver_takes(spark):
+    """By groups of sources, with the same contract, and the same words of each document as by sources."""
+    rows = [{"doc_id": i, "text": "w " * (1 + i % 40), "source": f"s{i % 60:02d}" if i % 61 else None} for i in range(900)]
+    df = frame(spark, rows)
+    grouped = [r.asDict() for r in mixing.mix(df, max_sources=5).withColumn("taken", mixing.words_taken()).collect()]
+    plain = mixing.mix(df).withColumn("taken", mixing.words_taken()).collect()
+    check_mix(grouped)
+    assert sorted((r["id"], r["taken"]) for r in grouped) == sorted((r["id"], r["taken"]) for r in plain)
+    again = mixing.mix(df, max_sources=5).collect()
+    assert sorted((r["id"], r["shards"]) for r in grouped) == sorted((r["id"], r["shards"]) for r in again)
+    # Every shard gets its part.
+    shards = [s for r in grouped for s in r["shards"]]
+    assert set(shards) == set(range(8))
+
+
+def test_copies_replace_columns_of_their_names(spark, tmp_path):
+    df = frame(spark, odd_documents()).selectExpr("*", "'x' AS shard", "1 AS Pass", "2 AS `order`")
+    made = mixing.copies(df, mixing.mix(df))
+    made.write.parquet(f"{tmp_path}/copies")
+    assert [c for c in made.columns if c.lower() in ("shard", "pass", "order")] == ["pass", "shard", "order"]
+
+
 def check_mix(rows):
     sizes, taken, largest = {}, {}, {}
     for r in rows:
