@@ -80,7 +80,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing will read again: what came from them is written, too."""
+    for df in written:
+        folder = getattr(df, "_scratch", None)
+        if folder:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize_observed(df: DataFrame, label: str, metrics: Sequence[Column]) -> tuple[DataFrame, dict]:
