@@ -9,8 +9,8 @@ all pairs up to distance 15; a pair of similarity 0.85 differs in 5 on average a
 Texts with equal sets are one class and stand for each other. Candidates are confirmed on full shingle sets. A bucket
 (all classes with a key) is never turned into all its pairs: its members meet the member that sits in the largest
 buckets, which is the one nearest to all others; then components are formed, and members that this leaves apart from
-their bucket's others meet new leaders. What is still apart after `STAR_ROUNDS` meets the sets of other components that an
-exact prefix filter over the shingles lets pass (`prefix_join`), so no link is lost.
+their bucket's others after `STAR_ROUNDS` turns go through an exact prefix filter over the shingles (`prefix_join`): first they
+meet leaders of their keys, then all nodes of their keys in other components, so no link is lost.
 """
 
 from __future__ import annotations
@@ -21,19 +21,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
 from newsloom.llm.components import components
-from newsloom.llm.prefix_join import candidates
+from newsloom.llm.prefix_join import all_pairs, entered, leading_pairs, still_open
 from newsloom.llm.texts import BROADCAST_ROWS, id_key, keyed, rows_with, rows_without, text_key, whole_text
-from newsloom.session import materialize, setting
+from newsloom.session import discard, materialize, setting
 
 SHINGLE_WORDS = 5
 PERCENT = 85
 VALUES, BITS, CHUNKS, ALLOWED = 32, 16, 8, 1
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: Classes that a class is compared with in one turn.
 LEADERS = 2
 #: Rows that are handed to Python at once where each holds two sets, or a whole text.
@@ -164,15 +164,43 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
             return found
         if turn < star_rounds - 1:
             pairs = _ordered(_with_leaders(apart, apart.filter("label != main")))
-        else:
-            labels = materialize(apart.select("class", "label").distinct(), "minhash-labels")
-            pairs = candidates(materialize(sets.join(labels, "class"), "minhash-apart-sets"), percent)
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-        found = materialize(found.unionByName(_confirmed(pairs, sets, percent)), "minhash-links")
-        tried = tried.unionByName(pairs)
+            pairs, found = _tried(pairs, tried, sets, found, percent)
+            tried = tried.unionByName(pairs)
+
+    # Nodes are numbers here, by the first half of the class's hash.
+    nodes = materialize(apart.select("class", "label").distinct().select(
+        _number("class").alias("node"), "class", _number("label").alias("label")), "minhash-nodes")
+    apart_sets = materialize(sets.join(nodes, "class").select("node", "shingles"), "minhash-apart-sets")
+    entries = entered(apart_sets, percent)
+    rows = still_open(entries, nodes.select("node", "label"))
+    discard(entries, apart_sets)
+    pairs, found = _tried(_classes(leading_pairs(rows, LEADERS), nodes), tried, sets, found, percent)
+    tried = tried.unionByName(pairs)
+    labels = nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
+        "node", F.coalesce(_number("to"), "node").alias("label"))
+    left = still_open(rows.drop("label"), labels)
+    _, found = _tried(_classes(all_pairs(left), nodes), tried, sets, found, percent)
+    discard(rows, left)
     return found
 
 
+def _number(column: str) -> Column:
+    return F.conv(F.left(F.hex(column), F.lit(15)), 16, 10).cast("long")
+
+
+def _classes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes as ordered pairs of their classes."""
+    named = nodes.select("node", "class")
+    return _ordered(pairs.join(named.toDF("a", "class_a"), "a").join(named.toDF("b", "class_b"), "b").select(
+        F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+
+
+def _tried(pairs: DataFrame, tried: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs that were not tried before, and the links with those among them."""
+    pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
+    return pairs, materialize(found.unionByName(_confirmed(pairs, sets, percent)), "minhash-links")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     with setting(pairs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE)):
         return materialize(confirmed(pairs, sets, percent), "minhash-links")

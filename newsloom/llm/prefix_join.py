@@ -24,7 +24,7 @@ from newsloom.session import materialize
 
 SLOT_BITS = 18
 #: Sizes in a band differ by about this factor.
-BAND = 1.05
+BAND = 1.12
 _SHIFT = fp.U64(64 - SLOT_BITS)
 _BOUNDS = np.unique(np.ceil(BAND ** np.arange(700)).astype(np.float64))
 _BOUNDS = _BOUNDS[_BOUNDS < 2**40].astype(np.int64)
@@ -68,8 +68,8 @@ def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
     return np.concatenate(keys), np.concatenate(sides)
 
 
-def candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of the written `sets` (class, label, shingles) that may be alike; those of equal label left out."""
+def entered(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, side, node) of the written `sets` (node, shingles), on disk."""
     counts = slot_counts(sets)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,16 +79,45 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
                 keys, sides = entries(hashes, counts, percent)
                 own = pa.array(np.full(len(keys), row, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("class").take(own),
-                     batch.column("label").take(own)], ["key", "side", "class", "label"])
-
-    found = sets.select("class", "label", "shingles").mapInArrow(work, "key long, side int, class binary, label binary")
-    found = materialize(found, "prefix-entries")
-    # Keys whose sets are connected already need no look at their pairs.
-    open_keys = found.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-    found = materialize(found.join(materialize(open_keys, "prefix-keys"), "key"), "prefix-open")
-    smaller = found.filter("side = 0").select("key", F.col("class").alias("a"), F.col("label").alias("label_a"))
-    larger = found.filter("side = 1").select("key", F.col("class").alias("b"), F.col("label").alias("label_b"))
+                    [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own)], ["key", "side", "node"])
+
+    return materialize(sets.select("node", "shingles").mapInArrow(work, "key long, side int, node long"), "prefix-entries")
+
+
+def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries (key, side, node) of keys that nodes of several `labels` (node, label) have, with the labels, on disk."""
+    named = found.join(labels, "node")
+    keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
+    return materialize(named.join(materialize(keys, "prefix-keys"), "key"), "prefix-open")
+
+
+def _facing(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    smaller = rows.filter("side = 0").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
+    larger = rows.filter("side = 1").select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    return smaller, larger
+
+
+def leading_pairs(rows: DataFrame, leaders: int) -> DataFrame:
+    """Pairs (a, b) of each node with at most `leaders` of the nodes that stand for a side of its keys, those of most keys."""
+    smaller, larger = _facing(rows)
+    first = smaller.groupBy("key").agg(F.max(F.struct("a", "label_a")).alias("top")).select("key", "top.*")
+    last = larger.groupBy("key").agg(F.max(F.struct("b", "label_b")).alias("top")).select("key", "top.*")
+    met = smaller.join(last, "key").filter("label_a != label_b").select("a", "b").unionByName(
+        larger.join(first, "key").filter("label_a != label_b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    # A node has a bounded number of keys, and so of leaders.
+    best = counted.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "b")), asc=False), 1, leaders).alias("best"))
+    return best.select("a", F.explode("best.b").alias("b"))
+
+
+def all_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs (a, b) of nodes on opposite sides of a key whose labels differ."""
+    smaller, larger = _facing(rows)
     # Within a band each pair meets from both sides.
     return smaller.join(larger, "key").filter("label_a != label_b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of the written `sets` (node, shingles) that may be alike; those of equal label left out."""
+    return all_pairs(still_open(entered(sets, percent), labels))

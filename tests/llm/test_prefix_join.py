@@ -42,9 +42,13 @@ def test_candidates_hold_all_pairs_of_other_labels(spark, percent):
         for _ in range(rng.randrange(1, 30)):
             own[rng.randrange(len(own))] = rng.randrange(2**64)
         sets.append((own[:rng.randrange(len(own) * 9 // 10, len(own) + 1)], i % 3))
-    rows = [(bytes([i]), bytes([label]), np.unique(np.array(s, dtype=np.uint64)).tobytes()) for i, (s, label) in enumerate(sets)]
-    frame = spark.createDataFrame(rows, "class binary, label binary, shingles binary").repartition(4)
-    got = {(r["a"][0], r["b"][0]) for r in prefix_join.candidates(frame, percent).collect()}
+    rows = [(i, label, np.unique(np.array(s, dtype=np.uint64)).tobytes()) for i, (s, label) in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "node long, label long, shingles binary").repartition(4)
+    labels = frame.select("node", "label")
+    got = {(r["a"], r["b"]) for r in prefix_join.candidates(frame, labels, percent).collect()}
+    rows = prefix_join.still_open(prefix_join.entered(frame, percent), labels)
+    led = [(r["a"], r["b"]) for r in prefix_join.leading_pairs(rows, 2).collect()]
+    assert {tuple(sorted(p)) for p in led} <= got and max(sum(a == i for a, _ in led) for i in range(len(sets))) <= 2
     alike = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
              if 100 * jaccard(set(sets[i][0]), set(sets[j][0])) >= percent and sets[i][1] != sets[j][1]}
     assert alike and alike <= got
@@ -53,5 +57,5 @@ def test_candidates_hold_all_pairs_of_other_labels(spark, percent):
 
 
 def test_no_sets_no_candidates(spark):
-    frame = spark.createDataFrame([], "class binary, label binary, shingles binary")
-    assert prefix_join.candidates(frame, 85).count() == 0
+    frame = spark.createDataFrame([], "node long, label long, shingles binary")
+    assert prefix_join.candidates(frame, frame.select("node", "label"), 85).count() == 0
