@@ -174,12 +174,12 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     entries = entered(apart_sets, percent)
     rows = still_open(entries, nodes.select("node", "label"))
     discard(entries, apart_sets)
-    pairs, found = _tried(_classes(leading_pairs(rows, LEADERS), nodes), tried, sets, found, percent)
+    pairs, found = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, found, percent)
     tried = tried.unionByName(pairs)
     labels = nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
         "node", F.coalesce(_number("to"), "node").alias("label"))
     left = still_open(rows.drop("label"), labels)
-    _, found = _tried(_classes(all_pairs(left), nodes), tried, sets, found, percent)
+    _, found = _tried(_classes(all_pairs(left, percent), nodes), tried, sets, found, percent)
     discard(rows, left)
     return found
 

@@ -4,7 +4,7 @@ All hashes are put into one order, the rarest first. Two sets of n and m hashes
 percent * (n + m) / (100 + percent) of them, their need. So the first hash that both have stands in each at a place
 that leaves room for the need behind it: in sets of like size among the first few, in a set much smaller than the other only at the
 very front. Sizes are cut into bands; a set enters, for each band of partners that its size allows, its hashes up to the last
-such place, under a key of the hash and both bands, and sets meet by key. A set with some hashes of its own thus meets none of
+such place, under a key of the hash and both bands, and sets meet by key if the need of their own sizes leaves room behind both places. A set with some hashes of its own thus meets none of
 the many that it shares frequent ones with.
 
 The order goes by counts of hashes in `2**SLOT_BITS` slots, a table of fixed size; any order is exact, a rough one costs candidates.
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
@@ -24,7 +24,7 @@ from newsloom.session import materialize
 
 SLOT_BITS = 18
 #: Sizes in a band differ by about this factor.
-BAND = 1.12
+BAND = 1.05
 _SHIFT = fp.U64(64 - SLOT_BITS)
 _BOUNDS = np.unique(np.ceil(BAND ** np.arange(700)).astype(np.float64))
 _BOUNDS = _BOUNDS[_BOUNDS < 2**40].astype(np.int64)
@@ -51,12 +51,15 @@ def band_of(size: int) -> int:
     return int(np.searchsorted(_BOUNDS, size, side="right")) - 1
 
 
-def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set of sorted distinct hashes, and the side of each: 0 beside larger partners, 1 beside smaller, each for equal bands."""
+def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a set of sorted distinct hashes, the side of each, and how many hashes are left from its place on.
+
+    The side is 0 beside larger partners and 1 beside smaller ones, and each of them for equal bands.
+    """
     n = len(hashes)
     ordered = hashes[np.lexsort((hashes, counts[(hashes >> _SHIFT).astype(np.int64)]))]
     own = band_of(n)
-    keys, sides = [], []
+    keys, sides, rooms = [], [], []
     for band in range(band_of(-(-percent * n // 100)), band_of(100 * n // percent) + 1):
         least = max(int(_BOUNDS[band]), -(-percent * n // 100))
         need = -(-percent * (n + least) // (100 + percent))
@@ -65,59 +68,71 @@ def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
         for side in ((0, 1) if band == own else (0,) if own < band else (1,)):
             keys.append(fp.mixed(front ^ pair))
             sides.append(np.full(len(front), side, dtype=np.int32))
-    return np.concatenate(keys), np.concatenate(sides)
+            rooms.append(n - np.arange(len(front), dtype=np.int32))
+    return np.concatenate(keys), np.concatenate(sides), np.concatenate(rooms)
 
 
 def entered(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, side, node) of the written `sets` (node, shingles), on disk."""
+    """(key, side, node, n, room) of the written `sets` (node, shingles), on disk; n is the set's size."""
     counts = slot_counts(sets)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 hashes = np.frombuffer(batch.column("shingles")[row].as_buffer(), dtype=fp.U64)
-                keys, sides = entries(hashes, counts, percent)
+                keys, sides, rooms = entries(hashes, counts, percent)
                 own = pa.array(np.full(len(keys), row, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own)], ["key", "side", "node"])
+                    [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own),
+                     pa.array(np.full(len(keys), len(hashes), dtype=np.int32)), pa.array(rooms)],
+                    ["key", "side", "node", "n", "room"])
 
-    return materialize(sets.select("node", "shingles").mapInArrow(work, "key long, side int, node long"), "prefix-entries")
+    return materialize(sets.select("node", "shingles").mapInArrow(
+        work, "key long, side int, node long, n int, room int"), "prefix-entries")
 
 
 def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries (key, side, node) of keys that nodes of several `labels` (node, label) have, with the labels, on disk."""
+    """The entries of keys that nodes of several `labels` (node, label) have, with the labels, on disk."""
     named = found.join(labels, "node")
     keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
     return materialize(named.join(materialize(keys, "prefix-keys"), "key"), "prefix-open")
 
 
 def _facing(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    smaller = rows.filter("side = 0").select("key", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    larger = rows.filter("side = 1").select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    names = ["node", "label", "n", "room"]
+    smaller = rows.filter("side = 0").select("key", *[F.col(c).alias(f"{c}_a") for c in names])
+    larger = rows.filter("side = 1").select("key", *[F.col(c).alias(f"{c}_b") for c in names])
     return smaller, larger
 
 
-def leading_pairs(rows: DataFrame, leaders: int) -> DataFrame:
+def _may_be_alike(percent: int) -> Column:
+    """Apart so far, and with room in both sets for what they must share, this key's hash included."""
+    fits = (100 + percent) * F.least("room_a", "room_b").cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
+    return (F.col("label_a") != F.col("label_b")) & fits
+
+
+def leading_pairs(rows: DataFrame, leaders: int, percent: int) -> DataFrame:
     """Pairs (a, b) of each node with at most `leaders` of the nodes that stand for a side of its keys, those of most keys."""
     smaller, larger = _facing(rows)
-    first = smaller.groupBy("key").agg(F.max(F.struct("a", "label_a")).alias("top")).select("key", "top.*")
-    last = larger.groupBy("key").agg(F.max(F.struct("b", "label_b")).alias("top")).select("key", "top.*")
-    met = smaller.join(last, "key").filter("label_a != label_b").select("a", "b").unionByName(
-        larger.join(first, "key").filter("label_a != label_b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    first, last = (side.groupBy("key").agg(F.max(F.struct(*[c for c in side.columns if c != "key"])).alias("top")).select(
+        "key", "top.*") for side in (smaller, larger))
+    fits = _may_be_alike(percent)
+    met = smaller.join(last, "key").filter(fits).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).unionByName(
+        larger.join(first, "key").filter(fits).select(F.col("node_b").alias("a"), F.col("node_a").alias("b")))
     counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     # A node has a bounded number of keys, and so of leaders.
     best = counted.groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "b")), asc=False), 1, leaders).alias("best"))
     return best.select("a", F.explode("best.b").alias("b"))
 
 
-def all_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs (a, b) of nodes on opposite sides of a key whose labels differ."""
+def all_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of nodes on opposite sides of a key whose labels differ and whose sizes and places allow it."""
     smaller, larger = _facing(rows)
     # Within a band each pair meets from both sides.
-    return smaller.join(larger, "key").filter("label_a != label_b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return smaller.join(larger, "key").filter(_may_be_alike(percent)).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def candidates(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of the written `sets` (node, shingles) that may be alike; those of equal label left out."""
-    return all_pairs(still_open(entered(sets, percent), labels))
+    return all_pairs(still_open(entered(sets, percent), labels), percent)

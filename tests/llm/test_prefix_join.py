@@ -27,9 +27,10 @@ def test_alike_sets_share_a_key(data):
     if b and 100 * len(a & b) >= percent * len(a | b):
         found = []
         for one in (a, b):
-            keys, sides = prefix_join.entries(np.array(sorted(one), dtype=np.uint64), counts, percent)
-            found.append({(int(k), int(s)) for k, s in zip(keys, sides)})
-        assert any((k, 1 - s) in found[1] for k, s in found[0])
+            keys, sides, rooms = prefix_join.entries(np.array(sorted(one), dtype=np.uint64), counts, percent)
+            found.append({(int(k), int(s)): int(r) for k, s, r in zip(keys, sides, rooms)})
+        assert any((100 + percent) * min(room, found[1].get((k, 1 - s), 0)) >= percent * (len(a) + len(b))
+                   for (k, s), room in found[0].items())
 
 
 @pytest.mark.parametrize("percent", [80, 85])
@@ -47,7 +48,7 @@ def test_candidates_hold_all_pairs_of_other_labels(spark, percent):
     labels = frame.select("node", "label")
     got = {(r["a"], r["b"]) for r in prefix_join.candidates(frame, labels, percent).collect()}
     rows = prefix_join.still_open(prefix_join.entered(frame, percent), labels)
-    led = [(r["a"], r["b"]) for r in prefix_join.leading_pairs(rows, 2).collect()]
+    led = [(r["a"], r["b"]) for r in prefix_join.leading_pairs(rows, 2, percent).collect()]
     assert {tuple(sorted(p)) for p in led} <= got and max(sum(a == i for a, _ in led) for i in range(len(sets))) <= 2
     alike = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
              if 100 * jaccard(set(sets[i][0]), set(sets[j][0])) >= percent and sets[i][1] != sets[j][1]}
