@@ -34,6 +34,8 @@ SHINGLE_WORDS = 5
 PERCENT = 85
 VALUES, BITS, CHUNKS, ALLOWED = 32, 16, 8, 1
 STAR_ROUNDS = 1
+#: Turns in which classes meet leaders of their prefix keys, before they meet all that are still apart.
+KEY_TURNS = 2
 #: Classes that a class is compared with in one turn.
 LEADERS = 2
 #: Rows that are handed to Python at once where each holds two sets, or a whole text.
@@ -174,13 +176,16 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     entries = entered(apart_sets, percent)
     rows = still_open(entries, nodes.select("node", "label"))
     discard(entries, apart_sets)
-    pairs, found = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, found, percent)
-    tried = tried.unionByName(pairs)
-    labels = nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
-        "node", F.coalesce(_number("to"), "node").alias("label"))
-    left = still_open(rows.drop("label"), labels)
-    _, found = _tried(_classes(all_pairs(left, percent), nodes), tried, sets, found, percent)
-    discard(rows, left)
+    for _ in range(KEY_TURNS):
+        pairs, found = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, found, percent)
+        tried = tried.unionByName(pairs)
+        labels = nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
+            "node", F.coalesce(_number("to"), "node").alias("label"))
+        left = still_open(rows.drop("label"), labels)
+        discard(rows)
+        rows = left
+    _, found = _tried(_classes(all_pairs(rows, percent), nodes), tried, sets, found, percent)
+    discard(rows)
     return found
 
 
