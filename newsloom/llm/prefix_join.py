@@ -7,7 +7,8 @@ very front. Sizes are cut into bands; a set enters, for each band of partners th
 such place, under a key of the hash and both bands, and sets meet by key if the need of their own sizes leaves room behind both places. A set with some hashes of its own thus meets none of
 the many that it shares frequent ones with.
 
-The order goes by counts of hashes in `2**SLOT_BITS` slots, a table of fixed size; any order is exact, a rough one costs candidates.
+The order goes by counts of hashes in two tables of `2**SLOT_BITS` slots each, by the smaller of a hash's two counts; their size is
+fixed. Any order is exact, a rough one costs candidates.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from newsloom.llm import fingerprints as fp
 from newsloom.session import materialize
 
-SLOT_BITS = 18
+SLOT_BITS = 20
 #: Sizes in a band differ by about this factor.
 BAND = 1.05
 _SHIFT = fp.U64(64 - SLOT_BITS)
@@ -30,20 +31,25 @@ _BOUNDS = np.unique(np.ceil(BAND ** np.arange(700)).astype(np.float64))
 _BOUNDS = _BOUNDS[_BOUNDS < 2**40].astype(np.int64)
 
 
+def slots_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of hashes in the first table and in the second, which stands behind it."""
+    return (hashes >> _SHIFT).astype(np.int64), (fp.mixed(hashes) >> _SHIFT).astype(np.int64) + (1 << SLOT_BITS)
+
+
 def slot_counts(sets: DataFrame) -> np.ndarray:
-    """How many hashes of the sets (`shingles` as bytes) fall into each slot: `2**SLOT_BITS` numbers, whatever the sets' number."""
+    """How many hashes of the sets (`shingles` as bytes) fall into each slot: 2 * 2**SLOT_BITS numbers, whatever the sets' number."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        counts = np.zeros(2 << SLOT_BITS, dtype=np.int64)
         for batch in batches:
             for one in batch.column("shingles"):
-                slots = np.frombuffer(one.as_buffer(), dtype=fp.U64) >> _SHIFT
-                np.add.at(counts, slots.astype(np.int64), 1)
+                for slots in slots_of(np.frombuffer(one.as_buffer(), dtype=fp.U64)):
+                    np.add.at(counts, slots, 1)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
 
-    totals = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+    totals = np.zeros(2 << SLOT_BITS, dtype=np.int32)
     summed = sets.select("shingles").mapInArrow(work, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    totals[summed["slot"].to_numpy(dtype=np.int64)] = summed["n"].to_numpy(dtype=np.int64)
+    totals[summed["slot"].to_numpy(dtype=np.int64)] = np.minimum(summed["n"].to_numpy(dtype=np.int64), 2**31 - 1)
     return totals
 
 
@@ -57,7 +63,8 @@ def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
     The side is 0 beside larger partners and 1 beside smaller ones, and each of them for equal bands.
     """
     n = len(hashes)
-    ordered = hashes[np.lexsort((hashes, counts[(hashes >> _SHIFT).astype(np.int64)]))]
+    first, second = slots_of(hashes)
+    ordered = hashes[np.lexsort((hashes, np.minimum(counts[first], counts[second])))]
     own = band_of(n)
     keys, sides, rooms = [], [], []
     for band in range(band_of(-(-percent * n // 100)), band_of(100 * n // percent) + 1):

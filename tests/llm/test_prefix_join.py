@@ -23,7 +23,7 @@ def test_alike_sets_share_a_key(data):
     gone = data.draw(st.sets(st.sampled_from(base), max_size=len(base) // 4))
     more = data.draw(st.lists(st.integers(0, 2**64 - 1), max_size=15, unique=True))
     a, b = set(base), (set(base) - gone) | set(more)
-    counts = np.random.default_rng(data.draw(st.integers(0, 99))).integers(0, 5, 1 << prefix_join.SLOT_BITS)
+    counts = np.random.default_rng(data.draw(st.integers(0, 99))).integers(0, 5, 2 << prefix_join.SLOT_BITS)
     if b and 100 * len(a & b) >= percent * len(a | b):
         found = []
         for one in (a, b):
