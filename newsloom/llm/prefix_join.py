@@ -48,8 +48,11 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
 
     totals = np.zeros(2 << SLOT_BITS, dtype=np.int32)
-    summed = sets.select("shingles").mapInArrow(work, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    totals[summed["slot"].to_numpy(dtype=np.int64)] = np.minimum(summed["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    summed = sets.select("shingles").mapInArrow(work, "slot long, n long").groupBy("slot").agg(
+        F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n"))
+    # As columns, 8 bytes a slot; rows would be objects of some hundred bytes each.
+    summed = summed.select(F.col("slot").cast("int"), "n").toArrow()
+    totals[summed["slot"].to_numpy()] = summed["n"].to_numpy()
     return totals
 
 
