@@ -34,8 +34,9 @@ CONTROLS = (*OPENERS.values(), OTHER, NAME_END, TURN_END)
 
 #: In content, what could be read as control, without the white space around it.
 _GUARDED = "|".join(re.escape(c.strip()) for c in CONTROLS)
-_TO_ESCAPE = re.compile(rf"(\\*)({_GUARDED})")
-_ESCAPED = re.compile(rf"(\\+)({_GUARDED})")
+#: Only the first backslash of a run begins a match, so a long run is looked at once.
+_TO_ESCAPE = re.compile(rf"(?<!\\)(\\*)({_GUARDED})")
+_ESCAPED = re.compile(rf"(?<!\\)(\\+)({_GUARDED})")
 
 TURN_COLUMNS = "conv_id long, turn long, role string, text string"
 TOKEN_COLUMNS = "conv_id long, turn long, role string, text string, n_tokens int, input_ids array<int>, " \

@@ -150,7 +150,7 @@ def scan(docs: DataFrame, path_col: str = "path", text_col: str = "text", templa
     name. Null texts are empty; a null path lies at the top; repeated rows are judged each; an empty table gives no rows;
     columns of `docs` named like added ones are replaced.
     """
-    added = ("license", "score", "line", "origin", "from_dir", "key", "row", "dir", "text", "lines", "n_terms")
+    added = ("license", "score", "line", "origin", "from_dir")
     plain = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("given"),
                         F.col(path_col).alias("path"), F.col(text_col).alias("text"))
     rows, best = own_licenses(plain, "text", templates, threshold)

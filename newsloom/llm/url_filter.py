@@ -87,13 +87,12 @@ def longest_match(trie: dict, host: str, path: str) -> tuple[str, str] | None:
     return best
 
 
-def _candidates(host: Column, path: Column) -> Column:
-    """All rules an URL could meet, as (depth, rule name)."""
-    labels = F.split(host, "\\.")
-    return F.expr("""flatten(transform(sequence(1, size(_labels)), n -> transform(sequence(1, size(_parts)),
+def _candidates(labels: str, parts: str) -> Column:
+    """All rules an URL with these host labels and path segments could meet, as (depth, rule name)."""
+    return F.expr(f"""flatten(transform(sequence(1, size({labels})), n -> transform(sequence(1, size({parts})),
         m -> struct(n AS labels, m AS segments,
-                    concat(array_join(slice(_labels, size(_labels) - n + 1, n), '.'),
-                           array_join(slice(_parts, 1, m), '')) AS name))))""") if labels is not None else host
+                    concat(array_join(slice({labels}, size({labels}) - n + 1, n), '.'),
+                           array_join(slice({parts}, 1, m), '')) AS name))))""")
 
 
 def judge(urls: DataFrame, rules: list[UrlRule], url_col: str = "url", default: str = "allow",
@@ -114,8 +113,9 @@ def judge(urls: DataFrame, rules: list[UrlRule], url_col: str = "url", default:
             found = [longest_match(trie.value, h, p) or (None, default) for h, p in zip(hosts, paths, strict=True)]
             yield pd.DataFrame(found, columns=["rule", "verdict"], dtype=object)
 
-    return rows.withColumn("_match", match("host", "path")).withColumns(
-        {"rule": F.col("_match.rule"), "verdict": F.col("_match.verdict")}).drop("_match")
+    found = rows.select(F.struct("*").alias("kept_row"), match("host", "path").alias("found"))
+    return found.select(*[F.col(f"kept_row.`{c}`") for c in rows.columns if c.lower() not in ("rule", "verdict")],
+                        "found.rule", "found.verdict")
 
 
 def _judge_by_join(rows: DataFrame, rules: list[UrlRule], default: str) -> DataFrame:
@@ -124,15 +124,13 @@ def _judge_by_join(rows: DataFrame, rules: list[UrlRule], default: str) -> DataF
     table = rows.sparkSession.createDataFrame(
         [(r.name, r.verdict) for r in rules], "name string, verdict string").groupBy("name").agg(
         F.max("verdict").alias("_verdict"))  # block is after allow
-    rows = rows.withColumns({
-        "_row": F.struct(*[F.col(c) for c in ("host", "path")]),
-        "_labels": F.split("host", "\\."), "_parts": F.regexp_extract_all("path", F.lit("[^/]*/|[^/]+"), F.lit(0))})
-    pairs = rows.select("host", "path", "_labels", "_parts").distinct().filter(F.size("_parts") > 0)
-    pairs = pairs.select("host", "path", F.explode(_candidates(F.col("host"), F.col("path"))).alias("c"))
+    pairs = rows.select("host", "path").distinct().withColumns({
+        "labels": F.split("host", "\\."), "parts": F.regexp_extract_all("path", F.lit("[^/]*/|[^/]+"), F.lit(0))})
+    pairs = pairs.filter(F.size("parts") > 0).select("host", "path", F.explode(_candidates("labels", "parts")).alias("c"))
     pairs = pairs.join(table, F.col("c.name") == table["name"])
     deepest = Window.partitionBy("host", "path").orderBy(F.desc("c.labels"), F.desc("c.segments"))
     best = pairs.withColumn("_n", F.row_number().over(deepest)).filter("_n = 1").select(
         "host", "path", F.col("name").alias("rule"), F.col("_verdict").alias("verdict"))
-    kept = [c for c in rows.columns if c not in ("rule", "verdict", "_row", "_labels", "_parts")]
+    kept = [c for c in rows.columns if c.lower() not in ("rule", "verdict")]
     return rows.select(*kept).join(best, ["host", "path"], "left").withColumn(
         "verdict", F.coalesce("verdict", F.lit(default)))
