@@ -7,6 +7,9 @@ very front. Sizes are cut into bands; a set enters, for each band of partners th
 such place, under a key of the hash and both bands, and sets meet by key if the need of their own sizes leaves room behind both places. A set with some hashes of its own thus meets none of
 the many that it shares frequent ones with.
 
+Each set also goes along with the parities of its hashes in `64 * MARKS` places. Where two sets' parities differ, there is a
+hash that only one of them has, so pairs with more such places than two alike sets have hashes apart are left out, too.
+
 The order goes by counts of hashes in two tables of `2**SLOT_BITS` slots each, by the smaller of a hash's two counts; their size is
 fixed. Any order is exact, a rough one costs candidates.
 """
@@ -26,6 +29,9 @@ from newsloom.session import materialize
 SLOT_BITS = 20
 #: Sizes in a band differ by about this factor.
 BAND = 1.05
+#: Numbers of 64 bits that hold a set's parities.
+MARKS = 4
+MARK_NAMES = [f"mark{i}" for i in range(MARKS)]
 _SHIFT = fp.U64(64 - SLOT_BITS)
 _BOUNDS = np.unique(np.ceil(BAND ** np.arange(700)).astype(np.float64))
 _BOUNDS = _BOUNDS[_BOUNDS < 2**40].astype(np.int64)
@@ -56,6 +62,13 @@ def slot_counts(sets: DataFrame) -> np.ndarray:
     return totals
 
 
+def marks(hashes: np.ndarray) -> np.ndarray:
+    """Whether the hashes that fall into each place are odd in number, as `MARKS` numbers."""
+    places = (fp.mixed(hashes) % fp.U64(64 * MARKS)).astype(np.int64)
+    odd = (np.bincount(places, minlength=64 * MARKS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def band_of(size: int) -> int:
     return int(np.searchsorted(_BOUNDS, size, side="right")) - 1
 
@@ -83,7 +96,7 @@ def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
 
 
 def entered(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, side, node, n, room) of the written `sets` (node, shingles), on disk; n is the set's size."""
+    """(key, side, node, n, room, marks) of the written `sets` (node, shingles), on disk; n is the set's size."""
     counts = slot_counts(sets)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,11 +107,13 @@ def entered(sets: DataFrame, percent: int) -> DataFrame:
                 own = pa.array(np.full(len(keys), row, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own),
-                     pa.array(np.full(len(keys), len(hashes), dtype=np.int32)), pa.array(rooms)],
-                    ["key", "side", "node", "n", "room"])
+                     pa.array(np.full(len(keys), len(hashes), dtype=np.int32)), pa.array(rooms),
+                     *[pa.array(np.full(len(keys), mark, dtype=np.int64)) for mark in marks(hashes)]],
+                    ["key", "side", "node", "n", "room", *MARK_NAMES])
 
     return materialize(sets.select("node", "shingles").mapInArrow(
-        work, "key long, side int, node long, n int, room int"), "prefix-entries")
+        work, ", ".join(["key long, side int, node long, n int, room int", *[f"{name} long" for name in MARK_NAMES]])),
+        "prefix-entries")
 
 
 def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
@@ -109,16 +124,20 @@ def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _facing(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    names = ["node", "label", "n", "room"]
+    names = ["node", "label", "n", "room", *MARK_NAMES]
     smaller = rows.filter("side = 0").select("key", *[F.col(c).alias(f"{c}_a") for c in names])
     larger = rows.filter("side = 1").select("key", *[F.col(c).alias(f"{c}_b") for c in names])
     return smaller, larger
 
 
 def _may_be_alike(percent: int) -> Column:
-    """Apart so far, and with room in both sets for what they must share, this key's hash included."""
-    fits = (100 + percent) * F.least("room_a", "room_b").cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
-    return (F.col("label_a") != F.col("label_b")) & fits
+    """Apart so far, with room in both sets for what they must share, this key's hash included, and with parities as alike."""
+    both = (F.col("n_a") + F.col("n_b")).cast("long")
+    fits = (100 + percent) * F.least("room_a", "room_b").cast("long") >= percent * both
+    differ = sum((F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b"))) for name in MARK_NAMES), F.lit(0))
+    # Of two sets that share x hashes, both - 2 * x are in one only; x is at least percent * both / (100 + percent).
+    near = (100 + percent) * (both - differ) >= 2 * percent * both
+    return (F.col("label_a") != F.col("label_b")) & fits & near
 
 
 def leading_pairs(rows: DataFrame, leaders: int, percent: int) -> DataFrame:

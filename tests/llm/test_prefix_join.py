@@ -33,6 +33,15 @@ def test_alike_sets_share_a_key(data):
                    for (k, s), room in found[0].items())
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=400), st.sets(st.integers(0, 2**64 - 1), max_size=400), st.integers(0, 400))
+def test_parities_never_differ_in_more_places_than_sets_have_hashes_apart(a, b, shared):
+    b = b | set(sorted(a)[:shared])
+    one, other = (prefix_join.marks(np.array(sorted(x), dtype=np.uint64)) for x in (a, b))
+    differ = sum(int(x).bit_count() for x in (one ^ other).view(np.uint64))
+    assert len(one) == prefix_join.MARKS and differ <= len(a ^ b) and (differ - len(a ^ b)) % 2 == 0
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_candidates_hold_all_pairs_of_other_labels(spark, percent):
     rng = random.Random(percent)
