@@ -10,8 +10,8 @@ the many that it shares frequent ones with.
 Each set also goes along with the parities of its hashes in `64 * MARKS` places. Where two sets' parities differ, there is a
 hash that only one of them has, so pairs with more such places than two alike sets have hashes apart are left out, too.
 
-The order goes by counts of hashes in two tables of `2**SLOT_BITS` slots each, by the smaller of a hash's two counts; their size is
-fixed. Any order is exact, a rough one costs candidates.
+The order goes by the number of sets that have a hash, counted in Spark. Hashes of one set alone come first, are met by no one
+and so never leave their set; only those of several sets are written under keys.
 """
 
 from __future__ import annotations
@@ -24,44 +24,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
-from newsloom.session import materialize
+from newsloom.llm.texts import BROADCAST_ROWS
+from newsloom.session import discard, materialize, setting
 
-SLOT_BITS = 20
 #: Sizes in a band differ by about this factor.
 BAND = 1.05
 #: Numbers of 64 bits that hold a set's parities.
 MARKS = 4
 MARK_NAMES = [f"mark{i}" for i in range(MARKS)]
-_SHIFT = fp.U64(64 - SLOT_BITS)
+#: Sets that are handed to Python at once.
+SETS_AT_ONCE = 500
 _BOUNDS = np.unique(np.ceil(BAND ** np.arange(700)).astype(np.float64))
 _BOUNDS = _BOUNDS[_BOUNDS < 2**40].astype(np.int64)
 
 
-def slots_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of hashes in the first table and in the second, which stands behind it."""
-    return (hashes >> _SHIFT).astype(np.int64), (fp.mixed(hashes) >> _SHIFT).astype(np.int64) + (1 << SLOT_BITS)
-
-
-def slot_counts(sets: DataFrame) -> np.ndarray:
-    """How many hashes of the sets (`shingles` as bytes) fall into each slot: 2 * 2**SLOT_BITS numbers, whatever the sets' number."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 << SLOT_BITS, dtype=np.int64)
-        for batch in batches:
-            for one in batch.column("shingles"):
-                for slots in slots_of(np.frombuffer(one.as_buffer(), dtype=fp.U64)):
-                    np.add.at(counts, slots, 1)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
-
-    totals = np.zeros(2 << SLOT_BITS, dtype=np.int32)
-    summed = sets.select("shingles").mapInArrow(work, "slot long, n long").groupBy("slot").agg(
-        F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n"))
-    # As columns, 8 bytes a slot; rows would be objects of some hundred bytes each.
-    summed = summed.select(F.col("slot").cast("int"), "n").toArrow()
-    totals[summed["slot"].to_numpy()] = summed["n"].to_numpy()
-    return totals
-
-
 def marks(hashes: np.ndarray) -> np.ndarray:
     """Whether the hashes that fall into each place are odd in number, as `MARKS` numbers."""
     places = (fp.mixed(hashes) % fp.U64(64 * MARKS)).astype(np.int64)
@@ -73,47 +49,92 @@ def band_of(size: int) -> int:
     return int(np.searchsorted(_BOUNDS, size, side="right")) - 1
 
 
-def entries(hashes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of a set of sorted distinct hashes, the side of each, and how many hashes are left from its place on.
+def entries(shared: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a set of n hashes, the side of each, and how many hashes are left from its place on.
 
-    The side is 0 beside larger partners and 1 beside smaller ones, and each of them for equal bands.
+    `shared` are those of its hashes that other sets have, too, in the order; the rest stand before them. The side is 0 beside
+    larger partners and 1 beside smaller ones, and each of them for equal bands.
     """
-    n = len(hashes)
-    first, second = slots_of(hashes)
-    ordered = hashes[np.lexsort((hashes, np.minimum(counts[first], counts[second])))]
+    alone = n - len(shared)
     own = band_of(n)
     keys, sides, rooms = [], [], []
     for band in range(band_of(-(-percent * n // 100)), band_of(100 * n // percent) + 1):
         least = max(int(_BOUNDS[band]), -(-percent * n // 100))
         need = -(-percent * (n + least) // (100 + percent))
-        front = ordered[:max(0, n - need + 1)]
+        front = shared[:max(0, n - need + 1 - alone)]
         pair = fp.mixed(np.array([(min(own, band) << 20) + max(own, band) + 1], dtype=fp.U64))
         for side in ((0, 1) if band == own else (0,) if own < band else (1,)):
             keys.append(fp.mixed(front ^ pair))
             sides.append(np.full(len(front), side, dtype=np.int32))
-            rooms.append(n - np.arange(len(front), dtype=np.int32))
+            rooms.append(len(shared) - np.arange(len(front), dtype=np.int32))
     return np.concatenate(keys), np.concatenate(sides), np.concatenate(rooms)
 
 
+def _hashes(sets: DataFrame) -> DataFrame:
+    """(node, hash), a row for each hash of each set."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(one.as_buffer(), dtype=np.int64) for one in batch.column("shingles")]
+            own = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
+            if len(own):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").take(pa.array(own)), pa.array(np.concatenate(parts))], ["node", "hash"])
+
+    return sets.select("node", "shingles").mapInArrow(work, "node long, hash long")
+
+
+def _heads(sets: DataFrame) -> DataFrame:
+    """(node, n, marks), a row for each set."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(one.as_buffer(), dtype=fp.U64) for one in batch.column("shingles")]
+            found = np.array([marks(part) for part in parts], dtype=np.int64).reshape(-1, MARKS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(part) for part in parts], pa.int32()), *map(pa.array, found.T.copy())],
+                ["node", "n", *MARK_NAMES])
+
+    return sets.select("node", "shingles").mapInArrow(
+        work, ", ".join(["node long, n int", *[f"{name} long" for name in MARK_NAMES]]))
+
+
+def _in_order(sets: DataFrame) -> DataFrame:
+    """(node, shared): each set's hashes that other sets have, too, those of the fewest sets first; sets without any left out."""
+    rows = _hashes(sets)
+    # Counted in each task before the shuffle; counts are written before they are joined, so that a frequent hash is split.
+    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    counts = materialize(counts, "prefix-counts")
+    few = counts.count() <= BROADCAST_ROWS
+    met = rows.join(F.broadcast(counts) if few else counts, "hash")
+    # A set is one text's, so its list is bounded by the text.
+    ordered = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "hash"))).alias("ordered"))
+    ordered = materialize(ordered.select("node", F.col("ordered.hash").alias("shared")), "prefix-order")
+    discard(counts)
+    return ordered
+
+
 def entered(sets: DataFrame, percent: int) -> DataFrame:
     """(key, side, node, n, room, marks) of the written `sets` (node, shingles), on disk; n is the set's size."""
-    counts = slot_counts(sets)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                hashes = np.frombuffer(batch.column("shingles")[row].as_buffer(), dtype=fp.U64)
-                keys, sides, rooms = entries(hashes, counts, percent)
-                own = pa.array(np.full(len(keys), row, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own),
-                     pa.array(np.full(len(keys), len(hashes), dtype=np.int32)), pa.array(rooms),
-                     *[pa.array(np.full(len(keys), mark, dtype=np.int64)) for mark in marks(hashes)]],
-                    ["key", "side", "node", "n", "room", *MARK_NAMES])
-
-    return materialize(sets.select("node", "shingles").mapInArrow(
-        work, ", ".join(["key long, side int, node long, n int, room int", *[f"{name} long" for name in MARK_NAMES]])),
-        "prefix-entries")
+            sizes = batch.column("n").to_numpy()
+            made = [entries(shared.values.to_numpy().view(fp.U64), int(n), percent)
+                    for shared, n in zip(batch.column("shared"), sizes, strict=True)]
+            if not made:
+                continue
+            keys, sides, rooms = (np.concatenate(parts) for parts in zip(*made, strict=True))
+            own = pa.array(np.repeat(np.arange(len(made)), [len(one[0]) for one in made]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fp.as_long(keys)), pa.array(sides), batch.column("node").take(own), batch.column("n").take(own),
+                 pa.array(rooms), *[batch.column(name).take(own) for name in MARK_NAMES]],
+                ["key", "side", "node", "n", "room", *MARK_NAMES])
+
+    with setting(sets.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(SETS_AT_ONCE)):
+        ordered = _in_order(sets)
+        made = materialize(ordered.join(_heads(sets), "node").mapInArrow(
+            work, ", ".join(["key long, side int, node long, n int, room int", *[f"{name} long" for name in MARK_NAMES]])),
+            "prefix-entries")
+    discard(ordered)
+    return made
 
 
 def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
