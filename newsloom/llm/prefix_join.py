@@ -178,8 +178,9 @@ def leading_pairs(rows: DataFrame, leaders: int, percent: int) -> DataFrame:
 def all_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of nodes on opposite sides of a key whose labels differ and whose sizes and places allow it."""
     smaller, larger = _facing(rows)
-    # Within a band each pair meets from both sides.
-    return smaller.join(larger, "key").filter(_may_be_alike(percent)).select(
+    # Within a band each node stands on both sides; sizes, then nodes, say on which of them a pair meets.
+    once = F.struct("n_a", "node_a") < F.struct("n_b", "node_b")
+    return smaller.join(larger, "key").filter(once & _may_be_alike(percent)).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
