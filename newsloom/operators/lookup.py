@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension measured at no more than this is broadcast, and a set of keys at no more than that.
+# A dimension measured at no more than this is broadcast, and a set of keys at no more than that. The driver holds a
+# broadcast table several times over (rows, hash table, both serialized), and one run makes several.
 BROADCAST_BYTES = 32 * 1024 * 1024
-KEY_SET_BYTES = 256 * 1024 * 1024
+KEY_SET_BYTES = 32 * 1024 * 1024
 # Keys that are looked at when a dimension is too large to broadcast.
 HOT_KEYS = 64
 
@@ -61,6 +62,6 @@ def with_keys(table: DataFrame, keys: DataFrame, key: Sequence[str], how: str =
     scanned. `keys` should be written rows, as measuring reads them once more.
     """
     wanted = keys if how == "left" else keys.select(*key)
-    if measured_bytes(wanted) <= KEY_SET_BYTES:
-        wanted = F.broadcast(wanted)
-    return table.join(wanted, list(key), how)
+    # Without the hint, Spark goes by the size of compressed files and may broadcast a table many times as large.
+    fits = measured_bytes(wanted) <= KEY_SET_BYTES
+    return table.join(F.broadcast(wanted) if fits else wanted.hint("merge"), list(key), how)

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import delta, dimensions, mart
-from newsloom.operators.lookup import lookup, measured_bytes
+from newsloom.operators.lookup import lookup, measured_bytes, with_keys
 from newsloom.operators.ordering import arrival_ids, number_rows, running_total
 from newsloom.schemas import dimension
-from newsloom.session import scratch_dir
+from newsloom.session import materialize, scratch_dir
 from newsloom.sources import csv_files, publication, tables
 
 
@@ -226,6 +226,21 @@ def test_lookup_with_hot_keys_gives_the_plain_join(spark, how):
     assert measured_bytes(dim) > 400 * 8
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti", "left"])
+def test_many_keys_are_not_broadcast(spark, how):
+    # Written, as merges do: the file is small, the hash table in the driver would not be.
+    keys = materialize(spark.range(1_500_000).withColumnRenamed("id", "k"), "test-keys")
+    assert measured_bytes(keys) > 32 * 1024 * 1024
+    table = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    assert "BroadcastExchange" not in _plan(with_keys(table, keys, ["k"], how))
+    assert with_keys(table, keys, ["k"], how).count() == (0 if how == "left_anti" else 10)
+    assert "BroadcastExchange" in _plan(with_keys(table, keys.filter("k < 1000000"), ["k"], how))
+
+
 def test_numbers_and_totals_over_partitions(spark):
     df = spark.range(1000).select(((F.col("id") * 37) % 1000).alias("k"), (F.col("id") % 5).alias("n")).repartition(7)
     numbered = number_rows(df, ["k"], "no", first=11).orderBy("k").collect()
