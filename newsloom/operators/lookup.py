@@ -46,12 +46,13 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
     if measured_bytes(dim) <= max_bytes:
         return facts.join(F.broadcast(dim), key, how)
     hot = hot_values(facts, key, hot_share)
+    # Without the hint, Spark goes by the size of compressed files and may broadcast a table many times as large.
     if not hot:
-        return facts.join(dim, key, how)
+        return facts.join(dim.hint("merge"), key, how)
     in_hot = F.col(key).isin(*hot)
     stays = F.coalesce(in_hot, F.lit(True))
     local = facts.filter(stays).join(F.broadcast(dim.filter(in_hot)), key, how)
-    shuffled = facts.filter(~stays).join(dim.filter(~in_hot), key, how)
+    shuffled = facts.filter(~stays).join(dim.filter(~in_hot).hint("merge"), key, how)
     return local.unionByName(shuffled)
 
 
@@ -62,6 +63,5 @@ def with_keys(table: DataFrame, keys: DataFrame, key: Sequence[str], how: str =
     scanned. `keys` should be written rows, as measuring reads them once more.
     """
     wanted = keys if how == "left" else keys.select(*key)
-    # Without the hint, Spark goes by the size of compressed files and may broadcast a table many times as large.
     fits = measured_bytes(wanted) <= KEY_SET_BYTES
     return table.join(F.broadcast(wanted) if fits else wanted.hint("merge"), list(key), how)

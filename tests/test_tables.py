@@ -241,6 +241,13 @@ def test_many_keys_are_not_broadcast(spark, how):
     assert "BroadcastExchange" in _plan(with_keys(table, keys.filter("k < 1000000"), ["k"], how))
 
 
+def test_a_dimension_measured_too_large_is_not_broadcast(spark):
+    dim = materialize(spark.range(1000).select(F.col("id").alias("k"), F.lit("name").alias("name")), "test-dim")
+    facts = spark.range(5000).select((F.col("id") % 1000).alias("k"))
+    assert "BroadcastExchange" not in _plan(lookup(facts, dim, "k", max_bytes=1))
+    assert lookup(facts, dim, "k", max_bytes=1).filter("name = 'name'").count() == 5000
+
+
 def test_numbers_and_totals_over_partitions(spark):
     df = spark.range(1000).select(((F.col("id") * 37) % 1000).alias("k"), (F.col("id") % 5).alias("n")).repartition(7)
     numbered = number_rows(df, ["k"], "no", first=11).orderBy("k").collect()
