@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from newsloom.llm import fingerprints as fp
 from newsloom.llm.components import components
 from newsloom.llm.prefix_join import all_pairs, entered, leading_pairs, still_open
-from newsloom.llm.texts import BROADCAST_ROWS, id_key, keyed, rows_with, rows_without, text_key, whole_text
+from newsloom.llm.texts import BROADCAST_ROWS, id_key, keyed, rows_with, rows_without, small, text_key, whole_text
 from newsloom.session import discard, materialize, setting
 
 SHINGLE_WORDS = 5
@@ -172,15 +172,17 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     # Nodes are numbers here, by the first half of the class's hash.
     nodes = materialize(apart.select("class", "label").distinct().select(
         _number("class").alias("node"), "class", _number("label").alias("label")), "minhash-nodes")
-    apart_sets = materialize(sets.join(nodes, "class").select("node", "shingles"), "minhash-apart-sets")
+    # Sets stay where they are while the nodes are few.
+    numbered = sets.select(_number("class").alias("node"), "shingles")
+    apart_sets = materialize(numbered.join(small(nodes.select("node")), "node", "left_semi"), "minhash-apart-sets")
     entries = entered(apart_sets, percent)
     rows = still_open(entries, nodes.select("node", "label"))
     discard(entries, apart_sets)
     for _ in range(KEY_TURNS):
         pairs, found = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, found, percent)
         tried = tried.unionByName(pairs)
-        labels = nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
-            "node", F.coalesce(_number("to"), "node").alias("label"))
+        labels = materialize(nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
+            "node", F.coalesce(_number("to"), "node").alias("label")), "minhash-labels")
         left = still_open(rows.drop("label"), labels)
         discard(rows)
         rows = left

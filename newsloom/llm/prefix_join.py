@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm import fingerprints as fp
-from newsloom.llm.texts import BROADCAST_ROWS
+from newsloom.llm.texts import small
 from newsloom.session import discard, materialize, setting
 
 #: Sizes in a band differ by about this factor.
@@ -99,17 +99,12 @@ def _heads(sets: DataFrame) -> DataFrame:
 
 def _in_order(sets: DataFrame) -> DataFrame:
     """(node, shared): each set's hashes that other sets have, too, those of the fewest sets first; sets without any left out."""
-    rows = _hashes(sets)
-    # Counted in each task before the shuffle; counts are written before they are joined, so that a frequent hash is split.
-    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    counts = materialize(counts, "prefix-counts")
-    few = counts.count() <= BROADCAST_ROWS
-    met = rows.join(F.broadcast(counts) if few else counts, "hash")
+    # Dealt by hash once and counted where they lie, as hashes of one set, which are most, would be moved again for their
+    # counts. A hash has at most one short row from each set.
+    met = _hashes(sets).withColumn("sets", F.count(F.lit(1)).over(Window.partitionBy("hash"))).filter("sets > 1")
     # A set is one text's, so its list is bounded by the text.
     ordered = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sets", "hash"))).alias("ordered"))
-    ordered = materialize(ordered.select("node", F.col("ordered.hash").alias("shared")), "prefix-order")
-    discard(counts)
-    return ordered
+    return materialize(ordered.select("node", F.col("ordered.hash").alias("shared")), "prefix-order")
 
 
 def entered(sets: DataFrame, percent: int) -> DataFrame:
@@ -138,10 +133,10 @@ def entered(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries of keys that nodes of several `labels` (node, label) have, with the labels, on disk."""
-    named = found.join(labels, "node")
+    """The entries of keys that nodes of several `labels` (node, label), a written table, have, with the labels, on disk."""
+    named = found.join(small(labels), "node")
     keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-    return materialize(named.join(materialize(keys, "prefix-keys"), "key"), "prefix-open")
+    return materialize(named.join(small(materialize(keys, "prefix-keys")), "key"), "prefix-open")
 
 
 def _facing(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from newsloom.llm import prefix_join
+from newsloom.session import setting
 
 
 def jaccard(a, b):
@@ -71,3 +73,21 @@ def test_candidates_hold_all_pairs_of_other_labels(spark, percent):
 def test_no_sets_no_candidates(spark):
     frame = spark.createDataFrame([], "node long, label long, shingles binary")
     assert prefix_join.candidates(frame, frame.select("node", "label"), 85).count() == 0
+
+
+def test_hashes_are_dealt_once_and_entries_stay_where_they_are(spark, monkeypatch):
+    plans, real = {}, prefix_join.materialize
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+
+    rows = [(i, np.unique(np.arange(i, i + 40, dtype=np.uint64)).tobytes()) for i in range(1, 30)]
+    frame = real(spark.createDataFrame(rows, "node long, shingles binary"), "test-sets")
+    labels = real(frame.select("node", F.col("node").alias("label")), "test-labels")
+    monkeypatch.setattr(prefix_join, "materialize", seen)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = prefix_join.entered(frame, 85)
+        assert "prefix-counts" not in plans and plans["prefix-order"].count("Exchange hashpartitioning(hash") == 1
+        assert prefix_join.still_open(found, labels).count() > 0
+    assert "SortMergeJoin" not in plans["prefix-open"]
