@@ -166,8 +166,9 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
             return found
         if turn < star_rounds - 1:
             pairs = _ordered(_with_leaders(apart, apart.filter("label != main")))
-            pairs, found = _tried(pairs, tried, sets, found, percent)
+            pairs, new = _tried(pairs, tried, sets, percent)
             tried = tried.unionByName(pairs)
+            found = found if new is None else found.unionByName(new)
 
     # Nodes are numbers here, by the first half of the class's hash.
     nodes = materialize(apart.select("class", "label").distinct().select(
@@ -179,16 +180,19 @@ def links(members: DataFrame, sets: DataFrame, percent: int = PERCENT, star_roun
     rows = still_open(entries, nodes.select("node", "label"))
     discard(entries, apart_sets)
     for _ in range(KEY_TURNS):
-        pairs, found = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, found, percent)
+        pairs, new = _tried(_classes(leading_pairs(rows, LEADERS, percent), nodes), tried, sets, percent)
         tried = tried.unionByName(pairs)
+        if new is None:  # labels stay as they are, and so do the leaders
+            break
+        found = found.unionByName(new)
         labels = materialize(nodes.join(components(found).withColumnRenamed("node", "class").withColumnRenamed("label", "to"), "class", "left").select(
             "node", F.coalesce(_number("to"), "node").alias("label")), "minhash-labels")
         left = still_open(rows.drop("label"), labels)
         discard(rows)
         rows = left
-    _, found = _tried(_classes(all_pairs(rows, percent), nodes), tried, sets, found, percent)
+    _, new = _tried(_classes(all_pairs(rows, percent), nodes), tried, sets, percent)
     discard(rows)
-    return found
+    return found if new is None else found.unionByName(new)
 
 
 def _number(column: str) -> Column:
@@ -202,10 +206,13 @@ def _classes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.col("class_a").alias("a"), F.col("class_b").alias("b")))
 
 
-def _tried(pairs: DataFrame, tried: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The pairs that were not tried before, and the links with those among them."""
+def _tried(pairs: DataFrame, tried: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """The pairs that were not tried before, and those of them that are links, none if there are none."""
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-    return pairs, materialize(found.unionByName(_confirmed(pairs, sets, percent)), "minhash-links")
+    if pairs.isEmpty():
+        return pairs, None
+    new = _confirmed(pairs, sets, percent)
+    return pairs, None if new.isEmpty() else new
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
