@@ -4,12 +4,14 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.llm import (
     chat_format, minhash_dedup, mixing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter,
 )
 from newsloom.llm.queries import QUERIES, URL_RULES, secret_columns
 from newsloom.llm.texts import shown_id
+from newsloom.session import materialize, setting
 from tests.llm import brute
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -202,6 +204,28 @@ def test_crowded_anchors_are_counted(spark):
     same(done.select(shown_id("id"), "n", "n_removed", "n_spans", "kept_sha256"), brute.strings(rows, 100))
 
 
+def test_runs_of_many_equals_stay_where_they_are(spark, monkeypatch):
+    """One run with most rows goes through no single task, and strings are the same with runs taken as crowded."""
+    monkeypatch.setattr(suffix_dedup, "CROWDED", 16)
+    rows = [(i, i, 7, 1, 0, 5, True) for i in range(800)] + [(i, i, i // 2, 2, 9, 12, False) for i in range(200)]
+    found = materialize(spark.createDataFrame(
+        rows, "id long, key long, anchor long, run long, start int, end int, open boolean").repartition(8), "found")
+    equal = materialize(found.groupBy("anchor", "run", "open").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "start", "end")).alias("first")), "equal")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), \
+            setting(spark, "spark.sql.files.openCostInBytes", "128m"):
+        plain = found.join(equal.filter("n > 1").select("anchor", "run", "first"), ["anchor", "run"])
+        got = suffix_dedup.with_firsts(found, equal)
+        same(got, [tuple(r) for r in plain.select(got.columns).collect()])
+        sizes = [max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) for df in (plain, got)]
+    assert sizes[0] >= 800 and sizes[1] < 400
+    odd = odd_documents()
+    for crowded, keep in ((2, "none"), (2, "first"), (5, "none")):
+        monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+        done, _ = suffix_dedup.dedup_strings(frame(spark, odd), length=100, keep=keep)
+        same(done.select(shown_id("id"), "n", "n_removed", "n_spans", "kept_sha256"), brute.strings(odd, 100, keep))
+
+
 def test_suffix_ranks_follow_byte_order():
     import numpy as np
     text = np.frombuffer(b"banana bandana banana bandana", dtype=np.uint8)
