@@ -204,18 +204,17 @@ def test_crowded_anchors_are_counted(spark):
     same(done.select(shown_id("id"), "n", "n_removed", "n_spans", "kept_sha256"), brute.strings(rows, 100))
 
 
-def test_runs_of_many_equals_stay_where_they_are(spark, monkeypatch):
-    """One run with most rows goes through no single task, and strings are the same with runs taken as crowded."""
+def test_keys_of_many_rows_stay_where_they_are(spark, monkeypatch):
+    """A key with most rows goes through no single task, and strings are the same with keys taken as crowded."""
     monkeypatch.setattr(suffix_dedup, "CROWDED", 16)
-    rows = [(i, i, 7, 1, 0, 5, True) for i in range(800)] + [(i, i, i // 2, 2, 9, 12, False) for i in range(200)]
-    found = materialize(spark.createDataFrame(
-        rows, "id long, key long, anchor long, run long, start int, end int, open boolean").repartition(8), "found")
-    equal = materialize(found.groupBy("anchor", "run", "open").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "start", "end")).alias("first")), "equal")
+    rows = [(i, 7, 1) for i in range(800)] + [(i, i // 2, 2) for i in range(200)]
+    found = materialize(spark.createDataFrame(rows, "id long, anchor long, run long").repartition(8), "found")
+    counted = materialize(found.groupBy("anchor", "run").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("anchor < 90"), "counted")
     with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), \
             setting(spark, "spark.sql.files.openCostInBytes", "128m"):
-        plain = found.join(equal.filter("n > 1").select("anchor", "run", "first"), ["anchor", "run"])
-        got = suffix_dedup.with_firsts(found, equal)
+        plain = found.join(counted, ["anchor", "run"])
+        got = suffix_dedup.meet(found, counted, ["anchor", "run"])
         same(got, [tuple(r) for r in plain.select(got.columns).collect()])
         sizes = [max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) for df in (plain, got)]
     assert sizes[0] >= 800 and sizes[1] < 400
